@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldkeep.functions.patterns import wildcard_regex
-from goldkeep.functions.tags import repeated_tags, tag_pairs
+from goldkeep.functions.tags import repeated, tag_pairs
 
 # Default vocabulary of the governance tags; None means any value.
 TAG_RULES = {
@@ -134,9 +134,9 @@ def tag_violations(
     objects: DataFrame, rules: dict[str, list[str] | None] = TAG_RULES
 ) -> DataFrame:
     """``(key, tag, value, problem)`` for missing, repeated and not allowed tags."""
-    pairs = F.coalesce(
-        tag_pairs(F.col("tags")), F.array().cast("array<struct<tag:string,value:string>>")
-    )
+    none = F.array().cast("array<struct<tag:string,value:string>>")
+    parsed = objects.select("key", F.coalesce(tag_pairs(F.col("tags")), none).alias("_pairs"))
+    pairs = F.col("_pairs")
 
     def problem(tag: Column, value: Column, text: str) -> Column:
         return F.struct(
@@ -157,13 +157,12 @@ def tag_violations(
         return found
 
     found = [c for tag, allowed in rules.items() for c in check(tag, allowed)]
-    repeats = F.transform(
-        repeated_tags(F.col("tags")), lambda t: problem(t, F.lit(None), "repeated")
-    )
-    found.append(repeats)
-    return objects.select("key", F.explode(F.array_compact(F.array(*found))).alias("_group")).select(
-        "key", F.inline("_group")
-    )
+    names = F.transform(pairs, lambda p: p["tag"])
+    found.append(F.transform(repeated(names), lambda t: problem(t, F.lit(None), "repeated")))
+    groups = parsed.select("key", F.flatten(F.array_compact(F.array(*found))).alias("_problems"))
+    # the outer form spares an inferred filter that would repeat all of the above
+    rows = groups.select("key", F.inline_outer("_problems"))
+    return rows.where(F.col("problem").isNotNull())
 
 
 def prefix_purpose(objects: DataFrame, prefixes: dict[str, str]) -> DataFrame:

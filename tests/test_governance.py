@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from goldkeep.functions.patterns import wildcard_regex
-from goldkeep.functions.tags import repeated_tags, tags_to_map
+from goldkeep.functions.tags import repeated, tags_to_map
 from goldkeep.operators import governance as g
 
 AS_OF = datetime(2024, 2, 1)
@@ -75,10 +75,11 @@ def test_wildcards_match_special_characters_literally(spark):
 
 def test_tag_functions(spark):
     df = spark.createDataFrame([("A=1&B=x=y&C",), ("A=1&A=2",), ("",), (None,)], "t string")
-    got = df.select(tags_to_map(F.col("t")).alias("m"), repeated_tags(F.col("t")).alias("r")).collect()
-    assert got[0].m == {"A": "1", "B": "x=y", "C": None} and got[0].r == []
-    assert got[1].m is None and got[1].r == ["A"]
-    assert got[2].m is None and got[3].m is None
+    got = df.select(tags_to_map(F.col("t")).alias("m")).collect()
+    assert got[0].m == {"A": "1", "B": "x=y", "C": None}
+    assert got[1].m is None and got[2].m is None and got[3].m is None
+    lists = spark.createDataFrame([(["a", "b", "a"],), (["a", "b"],), ([],)], "n array<string>")
+    assert [r[0] for r in lists.select(repeated(F.col("n"))).collect()] == [["a"], [], []]
 
 
 def test_tags_exploded_keep_repeats(objects):
