@@ -1,7 +1,7 @@
 """Referential integrity between fact keys and master keys.
 
-Key sets are one-column frames named ``id`` without repeats. A null fact key is an orphan:
-it matches no master key.
+Keys are one-column frames named ``id``; a key set is one without repeats. A null fact key
+is an orphan: it matches no master key.
 """
 
 from __future__ import annotations
@@ -21,13 +21,16 @@ class IntegrityReport(NamedTuple):
     unused: DataFrame
 
 
-def key_set(df: DataFrame, *columns: str) -> DataFrame:
-    """Distinct values of one or more key columns of a table, in one scan."""
+def keys(df: DataFrame, *columns: str) -> DataFrame:
+    """All values of one or more key columns of a table, in one scan."""
     if len(columns) == 1:
-        ids = df.select(F.col(columns[0]).alias("id"))
-    else:
-        ids = df.select(F.explode(F.array(*columns)).alias("id"))
-    return ids.distinct()
+        return df.select(F.col(columns[0]).alias("id"))
+    return df.select(F.explode(F.array(*columns)).alias("id"))
+
+
+def key_set(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values of one or more key columns of a table."""
+    return keys(df, *columns).distinct()
 
 
 def union_keys(*key_sets: DataFrame) -> DataFrame:
@@ -36,19 +39,19 @@ def union_keys(*key_sets: DataFrame) -> DataFrame:
 
 
 def orphans(facts: DataFrame, master: DataFrame) -> DataFrame:
-    """Fact keys without a master record."""
+    """Keys of the fact key set without a master record."""
     return facts.join(master, "id", "left_anti")
 
 
 def unused(facts: DataFrame, master: DataFrame) -> DataFrame:
-    """Master keys no fact refers to."""
+    """Keys of the master key set no fact refers to."""
     return master.join(facts, "id", "left_anti")
 
 
 def integrity_summary(facts: DataFrame, master: DataFrame) -> DataFrame:
-    """One row: status, orphan, fact, golden and unused key counts.
+    """One row: status, orphan, fact, golden and unused key counts; keys may repeat.
 
-    Both sets are stacked and grouped by key, which needs one shuffle and no join. Null
+    Both sides are stacked and grouped by key, which needs one shuffle and no join. Null
     keys of the two sides are kept apart because they do not match each other.
     """
     def side(ids: DataFrame, in_fact: int) -> DataFrame:
@@ -78,7 +81,10 @@ def integrity_summary(facts: DataFrame, master: DataFrame) -> DataFrame:
 
 
 def integrity_report(facts: DataFrame, master: DataFrame) -> IntegrityReport:
-    """Summary plus the orphaned and unused keys as frames."""
+    """Summary plus the orphaned and unused keys as frames; keys may repeat."""
+    fact_set, master_set = facts.distinct(), master.distinct()
     return IntegrityReport(
-        integrity_summary(facts, master), orphans(facts, master), unused(facts, master)
+        integrity_summary(facts, master),
+        orphans(fact_set, master_set),
+        unused(fact_set, master_set),
     )

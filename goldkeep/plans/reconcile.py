@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from goldkeep.operators.dedup import crosswalk, golden_ids
-from goldkeep.operators.integrity import IntegrityReport, integrity_report, key_set
+from goldkeep.operators.integrity import IntegrityReport, integrity_report, keys
 from goldkeep.operators.remap import remap_keys
 from goldkeep.shared import settle
 
@@ -28,4 +28,4 @@ def reconcile(
     walk = settle(crosswalk(master, match, key))
     remapped = remap_keys(facts, walk, columns)
     golden = golden_ids(master, match, key).withColumnRenamed(key, "id")
-    return Reconciled(remapped, walk, integrity_report(key_set(remapped, *columns), golden))
+    return Reconciled(remapped, walk, integrity_report(keys(remapped, *columns), golden))
