@@ -11,19 +11,23 @@ from goldkeep.shared import settle
 def dense_index(df: DataFrame, order: str, name: str) -> DataFrame:
     """Number the rows of ``df`` 0, 1, 2, ... by the unique column ``order``.
 
-    The rows are range-partitioned on ``order`` and settled, so every row knows its
-    partition for good. Rows are then ranked inside their partition and shifted by the
-    size of the partitions before it; only one row per partition meets in a single task.
+    The rows are sorted over all partitions and settled with their partition and place in
+    it, so both are final. Places are then shifted by the size of the partitions before:
+    only one row per partition meets in a single task.
     """
-    part = F.spark_partition_id().alias("_part")
-    placed = settle(df.repartitionByRange(order).select("*", part))
+    placed = settle(df.orderBy(order).select("*", F.monotonically_increasing_id().alias("_at")))
+    # fixed values: the id holds the partition above bit 33 and the place below
+    placed = placed.select(
+        *df.columns,
+        F.shiftright("_at", 33).alias("_part"),
+        F.col("_at").bitwiseAND((1 << 33) - 1).alias("_place"),
+    )
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(order))
-    ranked = placed.withColumn("_inside", inside).join(F.broadcast(starts), "_part")
-    number = (F.col("_start") + F.col("_inside") - 1).cast("long").alias(name)
-    return ranked.select(*[F.col(c) for c in df.columns], number)
+    start = F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+    starts = sizes.select(F.col("_part").alias("_of"), start)
+    numbered = placed.join(F.broadcast(starts), F.col("_part") == F.col("_of"))
+    return numbered.select(*df.columns, (F.col("_start") + F.col("_place")).alias(name))
 
 
 def distinct_ordered(df: DataFrame, column: str, key: str, name: str = "ord") -> DataFrame:
