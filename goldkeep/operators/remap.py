@@ -10,18 +10,19 @@ from goldkeep.operators.joins import attach
 
 def crosswalk_violations(crosswalk: DataFrame) -> DataFrame:
     """Crosswalk keys that make a remap ambiguous: retired twice, or retired and a target."""
-    repeated = (
-        crosswalk.groupBy(F.col("retired_id").alias("id"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("id", F.lit("retired twice").alias("problem"))
+    retired = crosswalk.select(
+        F.col("retired_id").alias("id"), F.lit(1).alias("_retired"), F.lit(0).alias("_target")
     )
-    targets = crosswalk.select(F.col("golden_id").alias("id")).distinct()
-    retired = crosswalk.select(F.col("retired_id").alias("id"))
-    chained = targets.join(retired, "id", "left_semi").select(
-        "id", F.lit("target is itself retired").alias("problem")
+    target = crosswalk.select(F.col("golden_id").alias("id"), F.lit(0), F.lit(1))
+    problem = F.when(F.col("_retired") > 1, "retired twice").when(
+        (F.col("_retired") == 1) & (F.col("_target") == 1), "target is itself retired"
     )
-    return repeated.union(chained)
+    roles = (
+        retired.union(target)
+        .groupBy("id")
+        .agg(F.sum("_retired").alias("_retired"), F.max("_target").alias("_target"))
+    )
+    return roles.select("id", problem.alias("problem")).where(F.col("problem").isNotNull())
 
 
 def remap_keys(
@@ -35,12 +36,13 @@ def remap_keys(
     Every column is looked up once in the original crosswalk, so replacements never chain.
     The crosswalk is read several times and should be settled.
     """
-    bad = crosswalk_violations(crosswalk).limit(5).collect()
+    bad = crosswalk_violations(crosswalk).head(5)
     if bad:
-        raise ValueError(f"crosswalk is not usable: {[tuple(r) for r in bad]}")
+        raise ValueError(f"crosswalk is not usable, for example: {[tuple(r) for r in bad]}")
+    walk = crosswalk.select(F.col("retired_id").alias("_retired"), F.col("golden_id").alias("_golden"))
     for column in columns:
-        found = attach(facts, crosswalk, {column: "retired_id"}, broadcast_bytes=broadcast_bytes)
-        golden = F.coalesce("golden_id", column).alias(column)
+        found = attach(facts, walk, {column: "_retired"}, broadcast_bytes=broadcast_bytes)
+        golden = F.coalesce("_golden", column).alias(column)
         facts = found.select(*[golden if c == column else F.col(c) for c in facts.columns])
     return facts
 
