@@ -4,10 +4,10 @@
 How depends on the measured size of the lookup:
 
 * small: broadcast it, the rows stay where they are;
-* large: the keys that hold most rows are attached from a broadcast of at most
-  ``HEAVY_KEYS`` lookup rows, all other keys by an ordinary shuffle join. A key outside the
-  heavy list holds less than 1/``HEAVY_KEYS`` of the rows, so no task of the shuffle join
-  gets an outsized share. Both parts together are exactly the plain join.
+* large: rows of the most frequent keys are served from a broadcast of at most
+  ``HEAVY_KEYS`` lookup rows and then spread over all tasks; all other rows are served by
+  an ordinary shuffle join. A key outside the heavy list holds less than 1/``HEAVY_KEYS``
+  of the rows, so no task gets an outsized share. The result is exactly the plain join.
 """
 
 from __future__ import annotations
@@ -85,14 +85,42 @@ def attach(
         joined = rows.join(F.broadcast(table), match(rows, table, on, null_safe), how)
         return joined.drop(*key_columns)
 
+    return _attach_spread(rows, table, on, how, null_safe)
+
+
+def _attach_spread(
+    rows: DataFrame, table: DataFrame, on: dict[str, str], how: str, null_safe: bool
+) -> DataFrame:
+    """The join with a large ``table``, heavy keys served from a broadcast."""
+    values = [c for c in table.columns if c not in on.values()]
     heavy_on = {a: f"_heavy_{i}" for i, a in enumerate(on)}
     heavy = heavy_keys(rows, list(on)).withColumnsRenamed(heavy_on)
+    known = table.withColumn("_known", F.lit(True))
     to_table = {heavy_on[a]: b for a, b in on.items()}
-    heavy_table = heavy.join(table, match(heavy, table, to_table, null_safe), how).drop(*key_columns)
-
-    hot = rows.join(
-        F.broadcast(heavy_table), match(rows, heavy_table, heavy_on, True), "inner"
-    ).drop(*heavy_on.values())
-    rest = rows.join(F.broadcast(heavy), match(rows, heavy, heavy_on, True), "left_anti")
-    spread = rest.join(table, match(rest, table, on, null_safe), how).drop(*key_columns)
-    return hot.unionByName(spread)
+    served = heavy.join(known, match(heavy, known, to_table, null_safe), "left").select(
+        *heavy_on.values(),
+        F.lit(True).alias("_heavy"),
+        F.col("_known").alias("_served"),
+        *[F.col(c).alias(f"_served_{c}") for c in values],
+    )
+    marked = rows.join(F.broadcast(served), match(rows, served, heavy_on, True), "left")
+
+    # equal keys have equal slots, but a heavy row gets one no lookup row has, by partition
+    types = {f.name: f.dataType for f in table.schema.fields}
+    slot = F.hash(*[F.col(a).cast(types[b]) for a, b in on.items()]).cast("long")
+    away = F.when(F.col("_heavy"), F.spark_partition_id() + 1).otherwise(0)
+    left = marked.withColumn("_slot", slot + away)
+    right = known.select(
+        *on.values(),
+        F.hash(*on.values()).cast("long").alias("_table_slot"),
+        F.col("_known").alias("_found"),
+        *[F.col(c).alias(f"_found_{c}") for c in values],
+    )
+    same_key = match(left, right, on, null_safe)
+    joined = left.join(right, same_key & (left["_slot"] == right["_table_slot"]), "left")
+    if how == "inner":
+        joined = joined.where(F.coalesce("_served", "_found"))
+    return joined.select(
+        *[F.col(c) for c in rows.columns],
+        *[F.coalesce(f"_served_{c}", f"_found_{c}").alias(c) for c in values],
+    )

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from goldkeep.operators import joins
 
@@ -40,6 +41,28 @@ def test_attach_broadcasts_only_within_the_bound(spark):
     assert rows(small) == rows(large)
 
 
+def test_key_types_may_differ(spark, join_path):
+    facts = spark.createDataFrame([(1,), (1,), (1,), (2,), (3,), (None,)], "k int")
+    lookup = spark.createDataFrame([(1, "a"), (2, "b")], "key long, v string")
+    got = joins.attach(facts, lookup, {"k": "key"})
+    assert rows(got) == sorted([(1, "a")] * 3 + [(2, "b"), (3, None), (None, None)], key=repr)
+
+
+def test_heavy_rows_are_spread_over_tasks(spark, join_path):
+    facts = spark.range(0, 8000, 1, 40).selectExpr("if(id % 3 < 2, 7, id) as k")
+    lookup = spark.range(8000).selectExpr("id as key", "id * 2 as v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.attach(facts, lookup, {"k": "key"})
+        assert got.where("v = 2 * k").count() == 8000
+        share = got.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(r["count"] for r in share) < 8000 / 3
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
