@@ -31,8 +31,8 @@ def test_dimensions_follow_first_appearance(golden):
 
 
 def test_star_keeps_rows_with_missing_members(golden, join_path):
-    star = build_star(golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_taxi_zones")
-    table = star["dim_taxi_zones"]
+    star = build_star(golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_zones")
+    table = star["dim_zones"]
     assert table.columns == ["LocationID", "Zone", "BoroughID", "ServiceID"]
     got = {r.LocationID: (r.BoroughID, r.ServiceID) for r in table.collect()}
     assert len(got) == golden.count()
@@ -41,11 +41,11 @@ def test_star_keeps_rows_with_missing_members(golden, join_path):
 
 def test_publish_when_all_keys_hold(spark, golden, tmp_path):
     sink = publish.parquet_sink(str(tmp_path))
-    load_star(spark, golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_taxi_zones", sink)
-    assert spark.read.parquet(str(tmp_path / "dim_taxi_zones")).count() == golden.count()
+    load_star(spark, golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_zones", sink)
+    assert spark.read.parquet(str(tmp_path / "dim_zones")).count() == golden.count()
     assert spark.read.parquet(str(tmp_path / "dim_borough")).count() == 5
     # replacing works over an earlier publication
-    load_star(spark, golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_taxi_zones", sink)
+    load_star(spark, golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_zones", sink)
     assert spark.read.parquet(str(tmp_path / "dim_service_zone")).count() == 4
 
 

@@ -147,7 +147,7 @@ ORACLE: dict[str, str] = {
       union all select 'l_linenumber', cast(l_linenumber as varchar), count(*)
       from lineitem group by l_linenumber""",
     "object_inventory": f"with {OBJECTS} select * from objects",
-    "retention_expired": f"""with {OBJECTS} select key, 'DeleteTempFilesRule' as rule_id from objects
+    "retention_expired": f"""with {OBJECTS} select key, 'expire-temp' as rule_id from objects
       where starts_with(key, 'day2/temp/') and ts < timestamp '2024-02-10' - interval 30 day""",
     "grant_check": f"with {OBJECTS} select key, starts_with(key, 'day2/logs/') as allowed from objects",
     "tags_to_map": f"""with {OBJECTS}, tagged as (select key, map_from_entries(list_transform(

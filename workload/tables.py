@@ -18,7 +18,7 @@ POLICY = """{"Version": "2012-10-17", "Statement": [{
   "Action": "s3:GetObject", "Resource": "arn:aws:s3:::store/day2/logs/*"}]}"""
 RESOURCE_ROOT = "arn:aws:s3:::store/"
 
-LIFECYCLE = """{"Rules": [{"ID": "DeleteTempFilesRule", "Status": "Enabled",
+LIFECYCLE = """{"Rules": [{"ID": "expire-temp", "Status": "Enabled",
   "Filter": {"Prefix": "day2/temp/"}, "Expiration": {"Days": 30}}]}"""
 
 MANIFEST = """{
