@@ -7,26 +7,22 @@ storage, and a lost executor costs a re-read instead of a recomputation.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session.
+    """The checkpoint folder of the session, which every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. A local session without one gets a
-    fresh temporary folder; anywhere else that would be a machine-local folder, so it is
-    refused.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset it is a folder in
+    the warehouse of the session, which executors share as well.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="goldkeep-")
+            configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
