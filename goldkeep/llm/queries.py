@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from goldkeep.llm import chat, decontaminate, packing, sharding, toxicity
+from goldkeep.llm import chat, decontaminate, packing, sharding, substrings, toxicity
 
 
 def table(spark, folder, name):
@@ -99,10 +99,18 @@ def op8_sharding(spark, folder):
     )
 
 
+def op10_substring_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substrings.drop_repeated_substrings(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
+    "op10_substring_dedup": op10_substring_dedup,
 }
