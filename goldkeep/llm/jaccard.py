@@ -1,4 +1,4 @@
-"""Documents linked by the Jaccard similarity of their word n-grams, exactly.
+"""Documents linked by the Jaccard similarity of their word n-grams.
 
 A document is the set of its distinct shingles, and an inverted list of a shingle is the set of
 documents that have it. A document can only be linked to one with which it shares a required
@@ -24,8 +24,8 @@ as spanning links, which give the same components as all links.
 Results for unusual input: a null or wordless text has the empty set, is linked with nothing and
 is its own component; a text of fewer words than a shingle has its whole sequence as the only
 shingle; rows that repeat an id are linked under that id; rows with a null id are given a null
-component; an empty table gives no rows; columns named like a result column are replaced, all
-others are kept. Ids are integers.
+component; an empty table gives no rows; other columns are ignored, and kept by ``keep_one``.
+Ids are integers.
 """
 
 from __future__ import annotations
@@ -59,11 +59,11 @@ COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
 LIST = 16
 #: Bytes of postings in a bucket, about; documents in a cell of a large family.
 BUCKET_BYTES, CELL = 8 << 20, 1000
+#: Cost of merging against probing; sets how many of the longest lists are only probed.
+SKIP = 0.1
 #: Bits of the filter for documents that are read again.
 FILTER_BITS = 1 << 23
 
-ADDED = ("n_shingles", "component_id")
-
 
 def required(size: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Smallest overlap that links sets of these sizes."""
@@ -254,7 +254,7 @@ def _tally(low: np.ndarray, high: np.ndarray, need: np.ndarray):
     return low[at], high[at], need[at], np.diff(at, append=len(low))
 
 
-def _reread(seen, n: int):
+def _reread(seen):
     """Texts in; those whose id the filter admits out."""
 
     def reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +295,7 @@ class _Index:
         length = self.first[own + 1] - self.first[own]
         own = own[np.argsort(length, kind="stable")]
         # DivideSkip: the longest lists are set aside and only probed
-        aside = min(least - 1, int(least / (0.01 * np.log(max(2, int(length.max()))) * 10 + 1)))
+        aside = int(min(least - 1, least / (SKIP * np.log(max(2, int(length.max()))) + 1)))
         short, long = own[: len(own) - aside], own[len(own) - aside :]
         merged = self.docs[runs(self.first[short], self.first[short + 1] - self.first[short])]
         times = np.bincount(merged, minlength=len(self.sizes))
@@ -323,10 +323,14 @@ def _link(n: int):
         sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
         index = _Index(sets)
         group = np.arange(len(ids))
+        block = table["own"].to_numpy()
+        across = key[1].as_py() != key[2].as_py()
         links = []
         for x in range(len(ids)):
             later = group != group[x]
             later[: x + 1] = False
+            if across:  # pairs within a block have a cell of their own
+                later &= block != block[x]
             for y in index.search(x, later).tolist():
                 if group[y] != group[x]:
                     links.append((ids[x], ids[y]))
@@ -359,16 +363,30 @@ def _cells(families: DataFrame) -> DataFrame:
     return placed.select("node", "component", "own", other).select(
         F.col("node").alias("id"),
         "component",
+        "own",
         F.least("own", "other").alias("row"),
         F.greatest("own", "other").alias("column"),
     )
 
 
+def _filter_of(ids: DataFrame) -> bytes:
+    """A bit for the slot of every id. Its size is fixed, and no id of ``ids`` fails it."""
+    bits = ids.select((_slot("node") / 8).cast("int").alias("byte"), (_slot("node") % 8).alias("bit"))
+    held = bits.groupBy("byte").agg(F.bit_or(F.expr("shiftright(128, bit)")).alias("bits")).toArrow()
+    packed = np.zeros(FILTER_BITS // 8, np.uint8)
+    packed[held["byte"].to_numpy()] = held["bits"].to_numpy()
+    return packed.tobytes()
+
+
+def _slot(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("int")
+
+
 def link_documents(
     docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``docs`` with ``n_shingles``, the size of the set, and ``component_id``, the smallest id
-    that links lead to."""
+    """One row per document: its id, ``n_shingles``, the size of its set, and
+    ``component_id``, the smallest id that links lead to."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     lengths = spark.sparkContext.broadcast(list_lengths(texts.select("text"), shingle))
@@ -378,36 +396,46 @@ def link_documents(
         )
     )
     prints = ["size", "print1", "print2"]
-    named = described.where("id is not null and size > 0")
+    named = described.where("id is not null and size > 0").select("id", *prints)
     # equal sets have equal first shingles
-    same = settle(named.groupBy(*prints).agg(F.min("id").alias("id"), F.first("head").alias("head")))
+    same = settle(
+        described.where("id is not null and size > 0")
+        .groupBy(*prints)
+        .agg(F.min("id").alias("id"), F.first("head").alias("head"))
+    )
     families = settle(_families(same))
-
     cells = settle(_cells(families))
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("int")
-    # a filter of fixed size: an id that needs to be read again always passes
-    seen = np.zeros(FILTER_BITS, np.uint8)
-    bits = families.select((slot / 8).cast("int").alias("byte"), (slot % 8).alias("bit"))
-    bits = bits.groupBy("byte").agg(F.bit_or(F.expr("shiftright(128, bit)")).alias("bits"))
-    held = bits.toArrow()
-    packed = np.zeros(FILTER_BITS // 8, np.uint8)
-    packed[held["byte"].to_numpy()] = held["bits"].to_numpy()
-    del seen
-    sent = spark.sparkContext.broadcast(packed.tobytes())
-    again = texts.where("id is not null").withColumn("slot", slot)
-    again = again.mapInArrow(_reread(sent, shingle), "id long, text string, slot int").drop("slot")
-    gathered = again.join(cells, "id")
-    linked = gathered.groupBy("component", "row", "column").applyInArrow(
-        _link(shingle), "u long, v long"
+    sent = spark.sparkContext.broadcast(_filter_of(families))
+    again = texts.where("id is not null").withColumn("slot", _slot("id"))
+    again = again.mapInArrow(_reread(sent), "id long, text string, slot int").drop("slot")
+    linked = (
+        again.join(cells, "id")
+        .groupBy("component", "row", "column")
+        .applyInArrow(_link(shingle), "u long, v long")
     )
-    joined = components(linked).select(
-        F.col("node").alias("stands"), F.col("component").alias("_component")
+
+    stands = named.join(same.select(F.col("id").alias("stands"), *prints), prints).select(
+        "id", "stands"
     )
-    members = (
-        named.select("id", *prints)
-        .join(same.select(F.col("id").alias("stands"), *prints), prints)
-        .join(joined, "stands", "left")
-        .select("id", F.coalesce("_component", "stands").alias("_component"))
+    # an id that names several sets links them
+    several = stands.groupBy("id").agg(F.min("stands").alias("u"), F.max("stands").alias("last"))
+    several = several.where("u <> last").join(stands, "id").select("u", F.col("stands").alias("v"))
+    joined = components(linked.unionByName(several))
+    known = joined.select(F.col("node").alias("stands"), F.col("component").alias("linked"))
+    component = stands.join(known, "stands", "left").groupBy("id").agg(
+        F.min(F.coalesce("linked", "stands")).alias("component")
     )
-    found = described.select("id", "size").groupBy("id").agg(F.max("size").alias("size"))
-    return members, found, described
+    rows = described.select("id", "size")
+    return rows.join(component, "id", "left").select(
+        F.col("id").alias(id_column),
+        F.col("size").alias("n_shingles"),
+        F.coalesce("component", "id").alias("component_id"),
+    )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
+    """``docs`` without those that are linked to a document with a smaller id. Rows with a
+    null id stay."""
+    linked = link_documents(docs, id_column=id_column, **options)
+    gone = linked.where(F.col("component_id") < F.col(id_column)).select(id_column).distinct()
+    return docs.join(gone, id_column, "left_anti")

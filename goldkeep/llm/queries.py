@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from goldkeep.llm import chat, decontaminate, packing, sharding, substrings, toxicity
+from goldkeep.llm import chat, decontaminate, jaccard, packing, sharding, substrings, toxicity
 
 
 def table(spark, folder, name):
@@ -72,6 +72,10 @@ def op3_chat_format(spark, folder):
     )
 
 
+def op5_ngram_jaccard(spark, folder):
+    return jaccard.link_documents(table(spark, folder, "documents"))
+
+
 def op6_packing(spark, folder):
     pieces = packing.pack_words(
         table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2
@@ -110,6 +114,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
     "op10_substring_dedup": op10_substring_dedup,
