@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from goldkeep.llm import chat, decontaminate, jaccard, packing, sharding, substrings, toxicity
+from goldkeep.llm import chat, decontaminate, jaccard, lines, neighbours, packing, sharding, substrings, toxicity
 
 
 def table(spark, folder, name):
@@ -72,6 +72,13 @@ def op3_chat_format(spark, folder):
     )
 
 
+def op4_line_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op5_ngram_jaccard(spark, folder):
     return jaccard.link_documents(table(spark, folder, "documents"))
 
@@ -103,6 +110,10 @@ def op8_sharding(spark, folder):
     )
 
 
+def op9_nearest_neighbours(spark, folder):
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op10_substring_dedup(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return substrings.drop_repeated_substrings(docs).select(
@@ -114,8 +125,10 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_chat_format": op3_chat_format,
+    "op4_line_dedup": op4_line_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
     "op8_sharding": op8_sharding,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
 }
