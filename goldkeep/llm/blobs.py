@@ -39,3 +39,18 @@ def groups_for(size: int, group_size: int) -> int:
 def group_of(groups: int, *columns: Column | str) -> Column:
     """A group number from a hash of ``columns``."""
     return F.pmod(F.xxhash64(*columns), F.lit(groups)).cast("int")
+
+
+def pack_arrays(**arrays) -> bytes:
+    """Number arrays of any lengths as one compressed value."""
+    columns = {
+        name: pa.LargeListArray.from_arrays(pa.array([0, len(values)], pa.int64()), pa.array(values))
+        for name, values in arrays.items()
+    }
+    return pack(pa.table(columns))
+
+
+def unpack_arrays(blob: bytes) -> dict:
+    """The arrays that :func:`pack_arrays` was given."""
+    table = unpack(blob).combine_chunks()
+    return {name: table[name].chunk(0).flatten().to_numpy() for name in table.column_names}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from goldkeep.llm import chat, decontaminate, jaccard, lines, neighbours, packing, sharding, substrings, toxicity
+from goldkeep.llm import chat, decontaminate, jaccard, katz, lines, neighbours, packing, sharding, substrings, toxicity
 
 
 def table(spark, folder, name):
@@ -98,6 +98,20 @@ def op6_packing(spark, folder):
     )
 
 
+def op7_katz_scores(spark, folder):
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    scored = katz.score_texts(table(spark, folder, "documents"), remainder != 2)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("learnt")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op8_sharding(spark, folder):
     return sharding.shard_by_bytes(table(spark, folder, "documents"), 8).select(
         "doc_id",
@@ -128,6 +142,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_packing": op6_packing,
+    "op7_katz_scores": op7_katz_scores,
     "op8_sharding": op8_sharding,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
