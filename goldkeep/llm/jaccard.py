@@ -51,7 +51,7 @@ from goldkeep.llm.words import (
 from goldkeep.shared import settle
 
 SHINGLE = 4
-#: Links need ``100 * intersection >= PERCENT * union``.
+#: Links need ``100 * intersection >= percent * union``.
 PERCENT = 85
 #: Counters of list lengths, and how many of them travel in one row.
 COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
@@ -65,13 +65,9 @@ SKIP = 0.1
 FILTER_BITS = 1 << 23
 
 
-def required(size: np.ndarray, other: np.ndarray) -> np.ndarray:
+def required(size: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
     """Smallest overlap that links sets of these sizes."""
-    return -(-PERCENT * (size + other) // (100 + PERCENT))
-
-
-def smallest_partner(size: np.ndarray) -> np.ndarray:
-    return -(-PERCENT * size // 100)
+    return -(-percent * (size + other) // (100 + percent))
 
 
 def extra(size: np.ndarray) -> np.ndarray:
@@ -79,9 +75,10 @@ def extra(size: np.ndarray) -> np.ndarray:
     return 1 + size // 20
 
 
-def prefix(size: np.ndarray) -> np.ndarray:
+def prefix(size: np.ndarray, percent: int) -> np.ndarray:
     """How many of the first shingles are needed for that."""
-    return np.minimum(size, size - required(size, smallest_partner(size)) + extra(size))
+    smallest_partner = -(-percent * size // 100)
+    return np.minimum(size, size - required(size, smallest_partner, percent) + extra(size))
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +135,7 @@ def list_lengths(texts: DataFrame, n: int) -> np.ndarray:
     return total.ravel()
 
 
-def _describe(lengths, n: int):
+def _describe(lengths, n: int, percent: int):
     """Documents in; size, fingerprint and first shingles of each set out."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +151,7 @@ def _describe(lengths, n: int):
                 order = np.argsort(
                     lengths.value[(own & np.uint64(COUNTERS - 1)).view(np.int64)], kind="stable"
                 )
-                head.append(own[order[: int(prefix(np.int64(len(own))))]].tobytes())
+                head.append(own[order[: int(prefix(np.int64(len(own)), percent))]].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -197,52 +194,56 @@ def _post(buckets: int):
     return post
 
 
-def _similar_size(small: np.ndarray, large: np.ndarray) -> np.ndarray:
-    return 100 * small >= PERCENT * large
+def _similar_size(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * small >= percent * large
 
 
-def _meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _meet(percent: int):
     """All postings of a bucket in; pairs with the number of lists they meet in, and ties
     (number 0), out."""
-    postings = pa.concat_tables([unpack(b) for b in table["blob"].to_pylist()])
-    shingle, ids, size = (postings[c].to_numpy() for c in ("shingle", "id", "size"))
-    order = np.lexsort((ids, size, shingle))
-    shingle, ids, size = shingle[order], ids[order], size[order]
-    first = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
-    length = np.diff(first, append=len(shingle))
-    found = []
-    for m in range(2, LIST + 1):
-        start = first[length == m]
-        for i in range(m):
-            for j in range(i + 1, m):
-                a, b = start + i, start + j
-                fits = _similar_size(size[a], size[b])
-                a, b = a[fits], b[fits]
-                found.append(np.stack([ids[a], ids[b], np.minimum(extra(size[a]), extra(size[b]))]))
-    pairs = np.concatenate(found, 1) if found else np.zeros((3, 0), np.int64)
-    low, high = np.minimum(pairs[0], pairs[1]), np.maximum(pairs[0], pairs[1])
-    u, v, need, times = _tally(low, high, pairs[2])
-
-    # long lists: documents of similar size are tied to the smallest id among them
-    long = length > LIST
-    at = runs(first[long], length[long])
-    of = np.repeat(np.arange(int(long.sum())), length[long])
-    new = np.ones(len(at), bool)
-    new[1:] = (of[1:] != of[:-1]) | ~_similar_size(size[at[:-1]], size[at[1:]])
-    begin = np.flatnonzero(new)
-    root = np.minimum.reduceat(ids[at], begin) if len(at) else ids[:0]
-    root = np.repeat(root, np.diff(begin, append=len(at)))
-    ties = np.unique(np.stack([root, ids[at]]), axis=1) if len(at) else np.zeros((2, 0), np.int64)
-    ties = ties[:, ties[0] != ties[1]]
-    nothing = np.zeros(ties.shape[1], np.int64)
-    return pa.table(
-        {
-            "u": np.concatenate([u, ties[0]]),
-            "v": np.concatenate([v, ties[1]]),
-            "need": np.concatenate([need, nothing]),
-            "times": np.concatenate([times, nothing]),
-        }
-    )
+
+    def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        postings = pa.concat_tables([unpack(b) for b in table["blob"].to_pylist()])
+        shingle, ids, size = (postings[c].to_numpy() for c in ("shingle", "id", "size"))
+        order = np.lexsort((ids, size, shingle))
+        shingle, ids, size = shingle[order], ids[order], size[order]
+        first = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
+        length = np.diff(first, append=len(shingle))
+        found = []
+        for m in range(2, LIST + 1):
+            start = first[length == m]
+            for i in range(m):
+                for j in range(i + 1, m):
+                    a, b = start + i, start + j
+                    fits = _similar_size(size[a], size[b], percent)
+                    a, b = a[fits], b[fits]
+                    found.append(np.stack([ids[a], ids[b], np.minimum(extra(size[a]), extra(size[b]))]))
+        pairs = np.concatenate(found, 1) if found else np.zeros((3, 0), np.int64)
+        low, high = np.minimum(pairs[0], pairs[1]), np.maximum(pairs[0], pairs[1])
+        u, v, need, times = _tally(low, high, pairs[2])
+
+        # long lists: documents of similar size are tied to the smallest id among them
+        long = length > LIST
+        at = runs(first[long], length[long])
+        of = np.repeat(np.arange(int(long.sum())), length[long])
+        new = np.ones(len(at), bool)
+        new[1:] = (of[1:] != of[:-1]) | ~_similar_size(size[at[:-1]], size[at[1:]], percent)
+        begin = np.flatnonzero(new)
+        root = np.minimum.reduceat(ids[at], begin) if len(at) else ids[:0]
+        root = np.repeat(root, np.diff(begin, append=len(at)))
+        ties = np.unique(np.stack([root, ids[at]]), axis=1) if len(at) else np.zeros((2, 0), np.int64)
+        ties = ties[:, ties[0] != ties[1]]
+        nothing = np.zeros(ties.shape[1], np.int64)
+        return pa.table(
+            {
+                "u": np.concatenate([u, ties[0]]),
+                "v": np.concatenate([v, ties[1]]),
+                "need": np.concatenate([need, nothing]),
+                "times": np.concatenate([times, nothing]),
+            }
+        )
+
+    return meet
 
 
 def _tally(low: np.ndarray, high: np.ndarray, need: np.ndarray):
@@ -269,7 +270,8 @@ def _reread(seen):
 class _Index:
     """Inverted lists of a cell. Shingles are numbered; list s is ``docs[first[s]:first[s+1]]``."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        self.percent = percent
         self.sizes = np.array([len(s) for s in sets], np.int64)
         every = np.concatenate([np.zeros(0, np.uint64), *sets])
         known, number = np.unique(every, return_inverse=True)
@@ -285,11 +287,11 @@ class _Index:
         """Documents among ``wanted`` (a mask) whose overlap with x links them to x."""
         size = self.sizes[x]
         wanted = wanted & _similar_size(
-            np.minimum(self.sizes, size), np.maximum(self.sizes, size)
+            np.minimum(self.sizes, size), np.maximum(self.sizes, size), self.percent
         )
         if not wanted.any():
             return np.zeros(0, np.int64)
-        need = required(self.sizes, size)
+        need = required(self.sizes, size, self.percent)
         least = int(need[wanted].min())
         own = self.own[x]
         length = self.first[own + 1] - self.first[own]
@@ -313,7 +315,7 @@ class _Index:
         return found[times >= need[found]]
 
 
-def _link(n: int):
+def _link(n: int, percent: int):
     """The documents of a cell in, spanning links between them out."""
 
     def link(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -321,7 +323,7 @@ def _link(n: int):
         ids = table["id"].to_numpy()
         hashes, first = shingle_sets(table["text"].combine_chunks(), n)
         sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-        index = _Index(sets)
+        index = _Index(sets, percent)
         group = np.arange(len(ids))
         block = table["own"].to_numpy()
         across = key[1].as_py() != key[2].as_py()
@@ -341,13 +343,13 @@ def _link(n: int):
     return link
 
 
-def _families(rows: DataFrame) -> DataFrame:
+def _families(rows: DataFrame, percent: int) -> DataFrame:
     """Ids that may have partners, with the family they have to be looked for in."""
     size = rows.agg(F.sum(F.octet_length("head") * 3)).first()[0] or 0
     posted = rows.select("id", "size", "head").mapInArrow(
         _post(groups_for(size, BUCKET_BYTES)), "bucket int, blob binary"
     )
-    met = posted.groupBy("bucket").applyInArrow(_meet, "u long, v long, need long, times long")
+    met = posted.groupBy("bucket").applyInArrow(_meet(percent), "u long, v long, need long, times long")
     edges = met.groupBy("u", "v").agg(F.min("need").alias("need"), F.sum("times").alias("times"))
     return components(edges.where("times >= need").select("u", "v"))
 
@@ -383,7 +385,11 @@ def _slot(column: str):
 
 
 def link_documents(
-    docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """One row per document: its id, ``n_shingles``, the size of its set, and
     ``component_id``, the smallest id that links lead to."""
@@ -392,7 +398,7 @@ def link_documents(
     lengths = spark.sparkContext.broadcast(list_lengths(texts.select("text"), shingle))
     described = settle(
         texts.mapInArrow(
-            _describe(lengths, shingle), "id long, size long, print1 long, print2 long, head binary"
+            _describe(lengths, shingle, percent), "id long, size long, print1 long, print2 long, head binary"
         )
     )
     prints = ["size", "print1", "print2"]
@@ -403,7 +409,7 @@ def link_documents(
         .groupBy(*prints)
         .agg(F.min("id").alias("id"), F.first("head").alias("head"))
     )
-    families = settle(_families(same))
+    families = settle(_families(same, percent))
     cells = settle(_cells(families))
     sent = spark.sparkContext.broadcast(_filter_of(families))
     again = texts.where("id is not null").withColumn("slot", _slot("id"))
@@ -411,7 +417,7 @@ def link_documents(
     linked = (
         again.join(cells, "id")
         .groupBy("component", "row", "column")
-        .applyInArrow(_link(shingle), "u long, v long")
+        .applyInArrow(_link(shingle, percent), "u long, v long")
     )
 
     stands = named.join(same.select(F.col("id").alias("stands"), *prints), prints).select(
