@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from goldkeep.llm.words import LOWER, text_bytes
 
 #: Most labelled rows of each class that the model is fitted on.
-SAMPLE = 3000
+SAMPLE = 2000
 #: Lengths of the n-grams in bytes, and how many hashed n-grams are told apart.
-ORDERS = (4, 5)
+ORDERS = (5, 6)
 FEATURES = 1 << 20
 #: N-grams in fewer sample texts, or with a smaller ratio, carry no weight.
 MIN_TEXTS, MIN_RATIO = 5, 1.0
@@ -89,23 +89,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(texts: list[np.ndarray], labels: np.ndarray) -> Model:
     """Log-count ratios and regression weights from the n-grams of labelled texts."""
     y = labels.astype(float)
-    size = np.array([len(t) for t in texts], np.int64)
-    grams = np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64)
-    of = np.repeat(np.arange(len(texts)), size)
-    toxic = np.bincount(grams[y[of] == 1], minlength=FEATURES)
-    clean = np.bincount(grams[y[of] == 0], minlength=FEATURES)
+    counts = np.zeros((2, FEATURES), np.int64)
+    for grams, label in zip(texts, labels):
+        counts[label][grams] += 1  # the n-grams of a text are distinct
+    clean, toxic = counts
     ratio = np.log((toxic + 1) / (toxic.sum() + FEATURES)) - np.log(
         (clean + 1) / (clean.sum() + FEATURES)
     )
     ratio[(toxic + clean < MIN_TEXTS) | (np.abs(ratio) < MIN_RATIO)] = 0
     share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
     start = np.log(share / (1 - share))
-    kept = ratio[grams] != 0
-    if y.min(initial=1) == y.max(initial=0) or not kept.any():
+    clear = [grams[ratio[grams] != 0] for grams in texts]
+    size = np.array([len(c) for c in clear], np.int64)
+    if y.min(initial=1) == y.max(initial=0) or not size.any():
         return Model(np.zeros(FEATURES), start)
-    used, column = np.unique(grams[kept], return_inverse=True)
-    of = of[kept]
-    value = ratio[grams[kept]] / np.sqrt(size[of])
+    of = np.repeat(np.arange(len(texts)), size)
+    used, column = np.unique(np.concatenate(clear), return_inverse=True)
+    value = ratio[used][column] / np.sqrt(np.array([len(t) for t in texts]))[of]
 
     def margins(w):
         return np.bincount(of, value * w[column], minlength=len(texts))
