@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 from functools import reduce
 from typing import NamedTuple
 
+import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,13 +56,45 @@ def object_key(*parts: Column | str) -> Column:
     return F.concat_ws("/", *parts)
 
 
+def _texts(value, what: str) -> list[str]:
+    """A text or a list of texts as a list."""
+    found = [value] if isinstance(value, str) else value
+    if not isinstance(found, list) or not found or not all(isinstance(v, str) for v in found):
+        raise ValueError(f"unsupported {what} in a policy: {value!r}")
+    return found
+
+
+def _principals(value) -> list[str]:
+    """Principals of a statement: a text, a list, or either of them by ``AWS``."""
+    if isinstance(value, dict):
+        if set(value) != {"AWS"}:
+            raise ValueError(f"unsupported principal in a policy: {value!r}")
+        value = value["AWS"]
+    return _texts(value, "principal")
+
+
 def read_policy(text: str) -> list[Grant]:
-    """Grants of a policy document. Statements that deny are refused, not ignored."""
+    """Grants of a policy document, one per principal, action and resource of a statement.
+
+    Actions, resources and principals are texts or lists of texts, and a single statement may
+    stand without a list. Statements that deny, or that hold anything not evaluated here, such
+    as a condition, are refused, not ignored.
+    """
+    statements = json.loads(text)["Statement"]
     grants = []
-    for s in json.loads(text)["Statement"]:
+    for s in [statements] if isinstance(statements, dict) else statements:
+        sid = s.get("Sid", "")
+        unknown = set(s) - {"Sid", "Effect", "Principal", "Action", "Resource"}
+        if unknown:
+            raise ValueError(f"unsupported elements in statement {sid}: {sorted(unknown)}")
         if s["Effect"] != "Allow":
-            raise ValueError(f"unsupported effect in statement {s.get('Sid')}: {s['Effect']}")
-        grants.append(Grant(s.get("Sid", ""), s["Principal"], s["Action"], s["Resource"]))
+            raise ValueError(f"unsupported effect in statement {sid}: {s['Effect']}")
+        grants += [
+            Grant(sid, principal, action, resource)
+            for principal in _principals(s["Principal"])
+            for action in _texts(s["Action"], "action")
+            for resource in _texts(s["Resource"], "resource")
+        ]
     return grants
 
 
@@ -74,11 +107,7 @@ def read_lifecycle(text: str) -> list[RetentionRule]:
 
 
 def read_manifest(text: str) -> dict:
-    """A governance manifest, YAML or JSON."""
-    try:
-        import yaml
-    except ImportError:
-        return json.loads(text)
+    """A governance manifest in YAML, of which JSON is a part."""
     return yaml.safe_load(text)
 
 

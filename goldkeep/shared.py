@@ -36,3 +36,20 @@ def settle(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def _at(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever file system ``path`` names."""
+    system, where = _at(spark, path)
+    return system.exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder with all it holds, if it is there."""
+    system, where = _at(spark, path)
+    system.delete(where, True)

@@ -16,18 +16,23 @@ def read_csv(
     tokens: tuple[str, ...] = MISSING_TOKENS,
     multi_line: bool = False,
 ) -> DataFrame:
-    """A CSV file with a header; missing tokens become null before values are typed.
+    """A CSV file or folder with headers; missing tokens become null before values are typed.
 
-    Columns are matched to ``schema`` by position. ``multi_line`` allows line breaks inside
-    quotes but keeps Spark from splitting large files.
+    Columns of ``schema`` are found by their name in the header, in whatever order they stand
+    there; a missing one is an error, and so is a file of a folder whose header differs.
+    ``multi_line`` allows line breaks inside quotes but keeps Spark from splitting large files.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.csv(
-        path, schema=text, header=True, quote='"', escape='"', multiLine=multi_line, mode="FAILFAST"
-    )
-    known = normalise_missing(raw, raw.columns, tokens)
+    layout = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.csv(path, **layout).columns
+    absent = [f.name for f in schema.fields if f.name not in header]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}; it has {', '.join(header)}")
+    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    raw = spark.read.csv(path, schema=text, mode="FAILFAST", enforceSchema=False, **layout)
+    names = [f.name for f in schema.fields]
+    known = normalise_missing(raw.select(*names), names, tokens)
     return known.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 

@@ -1,7 +1,14 @@
-"""Write-audit-publish of related tables: nothing is published unless every key holds."""
+"""Write-audit-publish of related tables: readers see a complete, checked set or the one before.
+
+A publication writes its tables once, under a new version, and checks all keys there. Only then is
+the version appended to a list of publications, in one small file; readers take the latest
+entry. Until that file is in place nothing changes for them, whenever the job stops. A version
+that fails its checks is removed, and so are versions before the last one.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -9,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldkeep.operators.constraints import fk_violations, pk_violations
-from goldkeep.shared import scratch_path
+from goldkeep.shared import path_exists, remove_path
 
 Sink = Callable[[str, DataFrame], None]
 
@@ -34,19 +41,68 @@ class ConstraintError(ValueError):
         self.problems = problems
 
 
-def parquet_sink(folder: str) -> Sink:
-    """Replace ``folder/name`` for every table."""
-    return lambda name, df: df.write.mode("overwrite").parquet(f"{folder}/{name}")
+class ParquetStore:
+    """Versions as folders ``folder/version/table``, publications in ``folder/list``."""
+
+    def __init__(self, folder: str):
+        self.folder = folder.rstrip("/")
+
+    def write(self, version: str, name: str, df: DataFrame) -> None:
+        df.write.parquet(f"{self.folder}/{version}/{name}")
+
+    def read(self, spark: SparkSession, version: str, name: str) -> DataFrame:
+        return spark.read.parquet(f"{self.folder}/{version}/{name}")
+
+    def add(self, entry: DataFrame) -> None:
+        entry.coalesce(1).write.mode("append").parquet(f"{self.folder}/list")
+
+    def publications(self, spark: SparkSession) -> DataFrame | None:
+        path = f"{self.folder}/list"
+        return spark.read.parquet(path) if path_exists(spark, path) else None
+
+    def show(self, spark: SparkSession, version: str, names: list[str]) -> None:
+        """Readers resolve the latest entry by themselves."""
+
+    def remove(self, spark: SparkSession, version: str, names: list[str]) -> None:
+        remove_path(spark, f"{self.folder}/{version}")
+
 
+class CatalogStore:
+    """Versions as catalog tables ``prefix + table + _version`` behind views without version."""
 
-def table_sink(database: str | None = None) -> Sink:
-    """Replace catalog tables."""
-    prefix = f"{database}." if database else ""
-    return lambda name, df: df.write.mode("overwrite").saveAsTable(prefix + name)
+    def __init__(self, database: str | None = None, prefix: str = ""):
+        self.start = (f"{database}." if database else "") + prefix
+
+    def _table(self, version: str, name: str) -> str:
+        return f"{self.start}{name}_{version}"
+
+    def write(self, version: str, name: str, df: DataFrame) -> None:
+        df.write.saveAsTable(self._table(version, name))
+
+    def read(self, spark: SparkSession, version: str, name: str) -> DataFrame:
+        return spark.table(self._table(version, name))
+
+    def add(self, entry: DataFrame) -> None:
+        entry.coalesce(1).write.mode("append").saveAsTable(f"{self.start}publications")
+
+    def publications(self, spark: SparkSession) -> DataFrame | None:
+        name = f"{self.start}publications"
+        return spark.table(name) if spark.catalog.tableExists(name) else None
+
+    def show(self, spark: SparkSession, version: str, names: list[str]) -> None:
+        for name in names:
+            spark.sql(
+                f"create or replace view {self.start}{name} as "
+                f"select * from {self._table(version, name)}"
+            )
+
+    def remove(self, spark: SparkSession, version: str, names: list[str]) -> None:
+        for name in names:
+            spark.sql(f"drop table if exists {self._table(version, name)}")
 
 
 def jdbc_sink(url: str, properties: dict[str, str]) -> Sink:
-    """Replace tables of a relational database."""
+    """Replace tables of a relational database, to export a published set."""
     return lambda name, df: df.write.mode("overwrite").jdbc(url, name, properties=properties)
 
 
@@ -71,26 +127,49 @@ def audit(
     return {r.name: r.n for r in merged.where("n > 0").collect()}
 
 
+def _latest(spark: SparkSession, store, n: int) -> list:
+    """The last ``n`` publications, latest first."""
+    found = store.publications(spark)
+    if found is None:
+        return []
+    return found.orderBy(F.desc("number"), F.desc("version")).limit(n).collect()
+
+
 def publish(
     spark: SparkSession,
     tables: dict[str, DataFrame],
-    sink: Sink,
+    store: ParquetStore | CatalogStore,
     primary: list[PrimaryKey],
     foreign: list[ForeignKey],
 ) -> dict[str, DataFrame]:
-    """Stage ``tables``, check their constraints on the staged copy, then hand it to ``sink``.
-
-    Give parents before children: at every moment of the publication a reader finds the
-    parents of the children it sees. The staged copy outlives a failure halfway, and every
-    sink replaces whole tables, so running the publication again completes it.
-    """
-    stage = scratch_path(spark, "stage")
-    for name, df in tables.items():
-        df.write.parquet(f"{stage}/{name}")
-    staged = {name: spark.read.parquet(f"{stage}/{name}") for name in tables}
-    problems = audit(staged, primary, foreign)
-    if problems:
-        raise ConstraintError(problems)
-    for name, df in staged.items():
-        sink(name, df)
-    return staged
+    """Write ``tables`` as a new version, check its constraints, then point readers to it."""
+    version, names = uuid.uuid4().hex, list(tables)
+    before = _latest(spark, store, 2)
+    try:
+        for name, df in tables.items():
+            store.write(version, name, df)
+        written = {name: store.read(spark, version, name) for name in names}
+        problems = audit(written, primary, foreign)
+        if problems:
+            raise ConstraintError(problems)
+    except Exception:
+        store.remove(spark, version, names)
+        raise
+    number = before[0]["number"] + 1 if before else 0
+    entry = spark.createDataFrame(
+        [(number, version, names)], "number long, version string, tables array<string>"
+    )
+    store.add(entry)
+    store.show(spark, version, names)
+    # whoever reads the version before this one can finish; older ones are gone
+    for old in before[1:]:
+        store.remove(spark, old["version"], old["tables"])
+    return written
+
+
+def published(spark: SparkSession, store: ParquetStore | CatalogStore, name: str) -> DataFrame:
+    """The table ``name`` of the latest publication."""
+    latest = _latest(spark, store, 1)
+    if not latest:
+        raise LookupError("nothing has been published")
+    return store.read(spark, latest[0]["version"], name)

@@ -6,30 +6,30 @@ from conftest import rows
 from goldkeep.operators import dedup
 from goldkeep.operators.ranking import dense_index, distinct_ordered, members
 
-MATCH = ["Zone", "Borough"]
+MATCH = ["stop", "district"]
 
 
-def test_exact_duplicates_marks_all_copies(zones, join_path):
-    copies = dedup.exact_duplicates(zones, MATCH, "LocationID")
-    assert copies.columns == zones.columns
-    assert sorted(r.LocationID for r in copies.collect()) == [56, 57, 103, 104, 105]
+def test_exact_duplicates_marks_all_copies(stops, join_path):
+    copies = dedup.exact_duplicates(stops, MATCH, "stop_id")
+    assert copies.columns == stops.columns
+    assert sorted(r.stop_id for r in copies.collect()) == [8, 9, 20, 21, 22]
 
 
-def test_golden_records_keep_the_first(zones):
-    kept = dedup.golden_records(zones, MATCH, "LocationID")
-    assert kept.columns == zones.columns
-    assert sorted(r.LocationID for r in kept.collect()) == [1, 2, 56, 103, 140, 141, 173, 264, 265]
-    ids = dedup.golden_ids(zones, MATCH, "LocationID")
-    assert rows(ids) == rows(kept.select("LocationID"))
+def test_golden_records_keep_the_first(stops):
+    kept = dedup.golden_records(stops, MATCH, "stop_id")
+    assert kept.columns == stops.columns
+    assert sorted(r.stop_id for r in kept.collect()) == [3, 5, 8, 20, 30, 31, 44, 70, 71]
+    ids = dedup.golden_ids(stops, MATCH, "stop_id")
+    assert rows(ids) == rows(kept.select("stop_id"))
 
 
-def test_crosswalk(zones, join_path):
-    assert rows(dedup.crosswalk(zones, MATCH, "LocationID")) == [(104, 103), (105, 103), (57, 56)]
+def test_crosswalk(stops, join_path):
+    assert rows(dedup.crosswalk(stops, MATCH, "stop_id")) == [(21, 20), (22, 20), (9, 8)]
 
 
-def test_counts(zones):
-    assert rows(dedup.dedup_counts(zones, MATCH)) == [(12, 9, 3, 5)]
-    assert rows(dedup.dedup_counts(zones.where("false"), MATCH)) == [(0, 0, 0, 0)]
+def test_counts(stops):
+    assert rows(dedup.dedup_counts(stops, MATCH)) == [(12, 9, 3, 5)]
+    assert rows(dedup.dedup_counts(stops.where("false"), MATCH)) == [(0, 0, 0, 0)]
 
 
 def test_nulls_are_equal(spark, join_path):
@@ -60,12 +60,12 @@ def test_one_group_holds_a_third_of_the_rows(spark, join_path):
     )
 
 
-def test_retired_and_golden_add_up(zones):
-    retired = dedup.crosswalk(zones, MATCH, "LocationID")
-    golden = dedup.golden_ids(zones, MATCH, "LocationID")
-    assert retired.count() + golden.count() == zones.count()
-    targets = retired.selectExpr("golden_id as LocationID")
-    assert targets.join(golden, "LocationID", "left_anti").isEmpty()
+def test_retired_and_golden_add_up(stops):
+    retired = dedup.crosswalk(stops, MATCH, "stop_id")
+    golden = dedup.golden_ids(stops, MATCH, "stop_id")
+    assert retired.count() + golden.count() == stops.count()
+    targets = retired.selectExpr("golden_id as stop_id")
+    assert targets.join(golden, "stop_id", "left_anti").isEmpty()
 
 
 @pytest.mark.parametrize("n", [0, 1, 5000])

@@ -1,3 +1,4 @@
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -17,10 +18,10 @@ def objects(spark):
     old, edge = AS_OF - timedelta(days=31), AS_OF - timedelta(days=30)
     return spark.createDataFrame(
         [
-            ("day2/images/profile.jpg", old, 10, GOOD),
-            ("day2/temp/old_cache.tmp", old, 20, GOOD),
-            ("day2/temp/edge.tmp", edge, 30, GOOD),
-            ("day2/logs/2025/daily.log", AS_OF, 40, "Owner=a&Classification=Top&Domain="),
+            ("vault/scans/page1.png", old, 10, GOOD),
+            ("vault/scratch/old.bin", old, 20, GOOD),
+            ("vault/scratch/edge.bin", edge, 30, GOOD),
+            ("vault/journal/week7.txt", AS_OF, 40, "Owner=a&Classification=Top&Domain="),
             ("other.txt", old, 50, "A=1&A=2"),
             ("bare", old, 60, None),
         ],
@@ -30,16 +31,16 @@ def objects(spark):
 
 def test_retention_is_strict_and_skips_disabled_rules(objects):
     rules = [
-        g.RetentionRule("r30", "day2/temp/", 30),
-        g.RetentionRule("r90", "day2/", 90),
+        g.RetentionRule("r30", "vault/scratch/", 30),
+        g.RetentionRule("r90", "vault/", 90),
         g.RetentionRule("off", "", 0, enabled=False),
     ]
     assert rows(g.retention_expired(objects, rules, AS_OF).select("key", "rule_id")) == [
-        ("day2/temp/old_cache.tmp", "r30")
+        ("vault/scratch/old.bin", "r30")
     ]
-    sooner = rules + [g.RetentionRule("r1", "day2/temp/", 1)]
+    sooner = rules + [g.RetentionRule("r1", "vault/scratch/", 1)]
     assert rows(g.retention_expired(objects, sooner, AS_OF).select("key", "rule_id")) == [
-        ("day2/temp/edge.tmp", "r1"), ("day2/temp/old_cache.tmp", "r1")
+        ("vault/scratch/edge.bin", "r1"), ("vault/scratch/old.bin", "r1")
     ]
     assert g.retention_expired(objects, [], AS_OF).count() == 0
 
@@ -51,7 +52,7 @@ def test_lifecycle_document():
 
 def test_grants(objects):
     policy = """{"Version": "2012-10-17", "Statement": [
-      {"Sid": "a", "Effect": "Allow", "Principal": "*", "Action": "s3:Get*", "Resource": "arn:aws:s3:::b/day2/*"},
+      {"Sid": "a", "Effect": "Allow", "Principal": "*", "Action": "s3:Get*", "Resource": "arn:aws:s3:::b/vault/*"},
       {"Sid": "b", "Effect": "Allow", "Principal": "ann", "Action": "s3:GetObject", "Resource": "arn:aws:s3:::b/????"}]}"""
     grants = g.read_policy(policy)
 
@@ -59,14 +60,41 @@ def test_grants(objects):
         checked = g.grant_check(objects, grants, action, "arn:aws:s3:::b/", principal)
         return sorted(r.key for r in checked.collect() if r.allowed)
 
-    day2 = sorted(r.key for r in objects.collect() if r.key.startswith("day2/"))
-    assert allowed("s3:GetObject") == day2
+    held = sorted(r.key for r in objects.collect() if r.key.startswith("vault/"))
+    assert allowed("s3:GetObject") == held
     assert allowed("s3:PutObject") == []
-    assert allowed("s3:GetObject", "ann") == ["bare"] + day2
+    assert allowed("s3:GetObject", "ann") == ["bare"] + held
     with pytest.raises(ValueError):
         g.read_policy(policy.replace("Allow", "Deny"))
 
 
+def read_one(**statement):
+    return g.read_policy(json.dumps({"Statement": {"Sid": "s", "Effect": "Allow", **statement}}))
+
+
+def test_policy_forms():
+    one = {"Principal": "*", "Action": "s3:GetObject", "Resource": "arn:aws:s3:::b/*"}
+    plain = g.Grant("s", "*", "s3:GetObject", "arn:aws:s3:::b/*")
+    assert read_one(**one) == read_one(**one | {"Principal": {"AWS": "*"}}) == [plain]
+    lists = {"Principal": {"AWS": ["ann", "bob"]}, "Action": ["s3:GetObject", "s3:PutObject"], "Resource": ["x", "y"]}
+    assert len(set(read_one(**lists))) == 8
+    assert g.Grant("s", "bob", "s3:PutObject", "y") in read_one(**lists)
+    refused = [{"Principal": {"Service": "a"}}, {"Principal": []}, {"Action": {}}, {"Resource": [1]}, {"Condition": {}}]
+    for other in refused:
+        with pytest.raises(ValueError):
+            read_one(**one | other)
+
+
+def test_grants_of_lists(objects):
+    grants = read_one(Principal={"AWS": ["ann"]}, Action=["s3:Put*", "s3:GetObject"], Resource=["r/bare", "r/other*"])
+    for action, principal, keys in (
+        ("s3:GetObject", "ann", {"bare", "other.txt"}), ("s3:PutObject", "ann", {"bare", "other.txt"}),
+        ("s3:GetObject", "bob", set()), ("s3:DeleteObject", "ann", set()),
+    ):
+        checked = g.grant_check(objects, grants, action, "r/", principal).collect()
+        assert {r.key for r in checked if r.allowed} == keys
+
+
 def test_wildcards_match_special_characters_literally(spark):
     df = spark.createDataFrame([("a.b/c",), ("aXb/c",), ("a.b/",), ("a.b/x\ny",)], "s string")
     hit = df.where(F.col("s").rlike(wildcard_regex("a.b/*")))
@@ -91,8 +119,8 @@ def test_tag_violations(objects):
     got = rows(g.tag_violations(objects).select("key", "tag", "problem", "value"))
     missing = ["Classification", "Domain", "Owner"]
     assert got == sorted(
-        [("day2/logs/2025/daily.log", "Classification", "not allowed", "Top"),
-         ("day2/logs/2025/daily.log", "Domain", "missing", None),
+        [("vault/journal/week7.txt", "Classification", "not allowed", "Top"),
+         ("vault/journal/week7.txt", "Domain", "missing", None),
          ("other.txt", "A", "repeated", None)]
         + [(key, tag, "missing", None) for key in ("other.txt", "bare") for tag in missing],
         key=repr,
@@ -100,12 +128,12 @@ def test_tag_violations(objects):
 
 
 def test_prefixes(objects):
-    purposes = {"day2/": "labs", "day2/temp/": "transient", "day2/te": "short"}
+    purposes = {"vault/": "papers", "vault/scratch/": "transient", "vault/scr": "short"}
     got = {r.key: (r.prefix, r.purpose) for r in g.prefix_purpose(objects, purposes).collect()}
-    assert got["day2/temp/edge.tmp"] == ("day2/temp/", "transient")
-    assert got["day2/images/profile.jpg"] == ("day2/", "labs")
+    assert got["vault/scratch/edge.bin"] == ("vault/scratch/", "transient")
+    assert got["vault/scans/page1.png"] == ("vault/", "papers")
     assert got["bare"] == (None, None)
-    assert ("day2/temp", 2, 50) in rows(g.prefix_usage(objects))
+    assert ("vault/scratch", 2, 50) in rows(g.prefix_usage(objects))
 
 
 def test_manifest(spark, objects):
@@ -114,17 +142,16 @@ bucket_info: {name: b, created_at: "2024-01-01", region: r}
 ownership: {department: d, primary_owner: o, contact_email: e}
 governance: {classification: Internal, purpose: p, retention_policy: x, pii_content: false}
 prefixes:
-  day1/: "setup"
-  day2/: "labs"
+  attic/: "nothing yet"
+  vault/: "papers"
 """
-    pytest.importorskip("yaml")
     manifest = g.read_manifest(text)
     row = g.manifest_row(spark, manifest)
     assert row.first().governance.pii_content is False
-    assert rows(g.manifest_prefixes(row)) == [("day1/", "setup"), ("day2/", "labs")]
+    assert rows(g.manifest_prefixes(row)) == [("attic/", "nothing yet"), ("vault/", "papers")]
     used = g.manifest_usage(objects, row, manifest["prefixes"])
-    assert rows(used) == [("day1/", "setup", 0), ("day2/", "labs", 4)]
+    assert rows(used) == [("attic/", "nothing yet", 0), ("vault/", "papers", 4)]
 
 
 def test_object_key(spark):
-    assert spark.range(1).select(g.object_key(F.lit("day2"), F.lit("data.json"))).first()[0] == "day2/data.json"
+    assert spark.range(1).select(g.object_key(F.lit("vault"), F.lit("data.json"))).first()[0] == "vault/data.json"

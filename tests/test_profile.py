@@ -10,14 +10,14 @@ def test_entity_profile_formats_counts(spark):
     assert rows(got) == [("facts", "transactional", 1234567, "1,234,567"), ("m", "master", 3, "3")]
 
 
-def test_schema_profile(spark, zones):
-    got = profile.schema_profile({"zones": zones, "none": zones.where("false").select("Zone")})
+def test_schema_profile(spark, stops):
+    got = profile.schema_profile({"stops": stops, "none": stops.where("false").select("stop")})
     assert [tuple(r) for r in got.select("table_name", "position", "column_name", "column_type", "n_rows").collect()] == [
-        ("zones", 0, "LocationID", "bigint", 12),
-        ("zones", 1, "Borough", "string", 12),
-        ("zones", 2, "Zone", "string", 12),
-        ("zones", 3, "service_zone", "string", 12),
-        ("none", 0, "Zone", "string", 0),
+        ("stops", 0, "stop_id", "bigint", 12),
+        ("stops", 1, "district", "string", 12),
+        ("stops", 2, "stop", "string", 12),
+        ("stops", 3, "tier", "string", 12),
+        ("none", 0, "stop", "string", 0),
     ]
 
 

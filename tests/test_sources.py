@@ -6,7 +6,7 @@ from conftest import SMALL, rows
 from goldkeep.functions.missing import normalise_missing
 from goldkeep.sources import files, layout
 
-ZONE = "LocationID bigint, Borough string, Zone string, service_zone string"
+STOP = "stop_id bigint, district string, stop string, tier string"
 
 
 def test_missing_tokens(spark):
@@ -17,46 +17,60 @@ def test_missing_tokens(spark):
 
 
 def test_csv_reads_quotes_crlf_and_missing(spark, tmp_path):
-    path = tmp_path / "zones.csv"
+    path = tmp_path / "stops.csv"
     path.write_bytes(
-        b'"LocationID","Borough","Zone","service_zone"\r\n1,"EWR","Newark, ""Airport""","EWR"\r\n'
-        b'264,"Unknown","N/A","N/A"\r\n265,"N/A","Outside of NYC",""\r\n'
+        b'"stop_id","district","stop","tier"\r\n3,"Harbour","Pier, ""north""","coast"\r\n'
+        b'70,"Unmapped","N/A","N/A"\r\n71,"N/A","Beyond the ring",""\r\n'
     )
-    df = files.read_csv(spark, str(path), ZONE)
-    assert df.dtypes[0] == ("LocationID", "bigint")
+    df = files.read_csv(spark, str(path), STOP)
+    assert df.dtypes[0] == ("stop_id", "bigint")
     assert [tuple(r) for r in df.collect()] == [
-        (1, "EWR", 'Newark, "Airport"', "EWR"),
-        (264, "Unknown", None, None),
-        (265, None, "Outside of NYC", None),
+        (3, "Harbour", 'Pier, "north"', "coast"),
+        (70, "Unmapped", None, None),
+        (71, None, "Beyond the ring", None),
     ]
 
 
-def test_csv_sink_has_header_no_index_and_empty_nulls(spark, zones, tmp_path):
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("stop,tier,more,stop_id,district\nPier,coast,x,3,Harbour\n")
+    df = files.read_csv(spark, str(tmp_path), STOP)
+    assert df.columns == ["stop_id", "district", "stop", "tier"]
+    assert rows(df) == [(3, "Harbour", "Pier", "coast")]
+    (tmp_path / "b.csv").write_text("tier,stop,more,stop_id,district\nring,Weir,x,4,Old Town\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path), STOP).collect()
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "c.csv").write_text("stop_id,district,stop\n3,a,b\n")
+    with pytest.raises(ValueError, match="no column tier"):
+        files.read_csv(spark, str(tmp_path / "c"), STOP)
+
+
+def test_csv_sink_has_header_no_index_and_empty_nulls(spark, stops, tmp_path):
     path = str(tmp_path / "out")
-    files.write_csv(zones.coalesce(1), path)
+    files.write_csv(stops.coalesce(1), path)
     written = next((tmp_path / "out").glob("part-*.csv")).read_text().splitlines()
-    assert written[0] == "LocationID,Borough,Zone,service_zone"
-    assert written[-2:] == ["264,Unknown,,", "265,,Outside of NYC,"]
-    assert rows(files.read_csv(spark, path, ZONE)) == rows(zones)
+    assert written[0] == "stop_id,district,stop,tier"
+    assert written[-2:] == ["70,Unmapped,,", "71,,Beyond the ring,"]
+    assert rows(files.read_csv(spark, path, STOP)) == rows(stops)
 
 
 def test_bad_number_is_not_swallowed(spark, tmp_path):
-    (tmp_path / "bad.csv").write_text("LocationID,Borough,Zone,service_zone\nabc,a,b,c\n")
+    (tmp_path / "bad.csv").write_text("stop_id,district,stop,tier\nabc,a,b,c\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        files.read_csv(spark, str(tmp_path / "bad.csv"), ZONE).collect()
+        files.read_csv(spark, str(tmp_path / "bad.csv"), STOP).collect()
 
 
-def test_json_documents(spark, zones, tmp_path):
-    files.write_json(zones, str(tmp_path / "docs"))
-    assert rows(files.read_json(spark, str(tmp_path / "docs"), ZONE)) == rows(zones)
-    texts = [r.body for r in files.documents(zones.where("LocationID = 264")).collect()]
+def test_json_documents(spark, stops, tmp_path):
+    files.write_json(stops, str(tmp_path / "docs"))
+    assert rows(files.read_json(spark, str(tmp_path / "docs"), STOP)) == rows(stops)
+    texts = [r.body for r in files.documents(stops.where("stop_id = 70")).collect()]
     assert json.loads(texts[0]) == {
-        "LocationID": 264, "Borough": "Unknown", "Zone": None, "service_zone": None
+        "stop_id": 70, "district": "Unmapped", "stop": None, "tier": None
     }
-    one = spark.createDataFrame([('{"revenue": 50000, "status": "final"}',)], "body string")
-    parsed = files.parse_documents(one, "body", "revenue bigint, status string")
-    assert parsed.columns == ["body", "revenue", "status"]
-    assert parsed.first()[1:] == (50000, "final")
+    one = spark.createDataFrame([('{"riders": 812, "line": "blue"}',)], "body string")
+    parsed = files.parse_documents(one, "body", "riders bigint, line string")
+    assert parsed.columns == ["body", "riders", "line"]
+    assert parsed.first()[1:] == (812, "blue")
 
 
 def test_parquet_columns_are_pruned(spark):

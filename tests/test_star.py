@@ -1,4 +1,5 @@
 import os
+import uuid
 
 import pytest
 from conftest import rows
@@ -10,80 +11,123 @@ from goldkeep.plans.reconcile import reconcile
 from goldkeep.plans.star_load import load_star
 from goldkeep.sources import publish
 
-BOROUGH = Dimension("dim_borough", "Borough", "BoroughID", "BoroughName")
-SERVICE = Dimension("dim_service_zone", "service_zone", "ServiceID", "ServiceName")
-MATCH = ["Zone", "Borough"]
+DISTRICT = Dimension("dim_district", "district", "DistrictID", "DistrictName")
+TIER = Dimension("dim_tier", "tier", "TierID", "TierName")
+MATCH = ["stop", "district"]
 
 
 @pytest.fixture(scope="module")
-def golden(zones):
-    return golden_records(zones, MATCH, "LocationID")
+def golden(stops):
+    return golden_records(stops, MATCH, "stop_id")
 
 
 def test_dimensions_follow_first_appearance(golden):
-    boroughs = build_dimension(golden, "LocationID", BOROUGH)
-    assert boroughs.columns == ["BoroughID", "BoroughName"]
+    boroughs = build_dimension(golden, "stop_id", DISTRICT)
+    assert boroughs.columns == ["DistrictID", "DistrictName"]
     assert rows(boroughs) == [
-        (0, "EWR"), (1, "Queens"), (2, "Manhattan"), (3, "Unknown"), (4, None)
+        (0, "Harbour"), (1, "Hillside"), (2, "Old Town"), (3, "Unmapped"), (4, None)
     ]
-    services = build_dimension(golden, "LocationID", SERVICE)
-    assert rows(services) == [(0, "EWR"), (1, "Boro Zone"), (2, "Yellow Zone"), (3, None)]
+    services = build_dimension(golden, "stop_id", TIER)
+    assert rows(services) == [(0, "coast"), (1, "valley"), (2, "ring"), (3, None)]
 
 
 def test_star_keeps_rows_with_missing_members(golden, join_path):
-    star = build_star(golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_zones")
-    table = star["dim_zones"]
-    assert table.columns == ["LocationID", "Zone", "BoroughID", "ServiceID"]
-    got = {r.LocationID: (r.BoroughID, r.ServiceID) for r in table.collect()}
+    star = build_star(golden, "stop_id", ["stop"], [DISTRICT, TIER], "dim_stops")
+    table = star["dim_stops"]
+    assert table.columns == ["stop_id", "stop", "DistrictID", "TierID"]
+    got = {r.stop_id: (r.DistrictID, r.TierID) for r in table.collect()}
     assert len(got) == golden.count()
-    assert got[264] == (3, 3) and got[265] == (4, 3) and got[140] == (2, 2)
+    assert got[70] == (3, 3) and got[71] == (4, 3) and got[30] == (2, 2)
 
 
-def test_publish_when_all_keys_hold(spark, golden, tmp_path):
-    sink = publish.parquet_sink(str(tmp_path))
-    load_star(spark, golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_zones", sink)
-    assert spark.read.parquet(str(tmp_path / "dim_zones")).count() == golden.count()
-    assert spark.read.parquet(str(tmp_path / "dim_borough")).count() == 5
-    # replacing works over an earlier publication
-    load_star(spark, golden, "LocationID", ["Zone"], [BOROUGH, SERVICE], "dim_zones", sink)
-    assert spark.read.parquet(str(tmp_path / "dim_service_zone")).count() == 4
+@pytest.fixture(params=["files", "tables"])
+def store(request, tmp_path):
+    if request.param == "files":
+        return publish.ParquetStore(str(tmp_path / "star"))
+    return publish.CatalogStore(prefix=f"t{uuid.uuid4().hex[:8]}_")
 
 
-def test_nothing_is_published_on_a_violation(spark, tmp_path):
-    parent = spark.createDataFrame([(0, "a"), (0, "b")], "pid int, name string")
-    child = spark.createDataFrame([(1, 0), (2, 5), (3, None)], "id int, pid int")
-    with pytest.raises(publish.ConstraintError) as failure:
-        publish.publish(
-            spark,
-            {"parent": parent, "child": child},
-            publish.parquet_sink(str(tmp_path)),
-            [publish.PrimaryKey("parent", ["pid"]), publish.PrimaryKey("child", ["id"])],
-            [publish.ForeignKey("child", "pid", "parent", "pid")],
-        )
-    assert failure.value.problems == {"primary key parent": 1, "foreign key child.pid": 1}
-    assert os.listdir(tmp_path) == []
+def test_publish_when_all_keys_hold(spark, golden, store):
+    with pytest.raises(LookupError):
+        publish.published(spark, store, "dim_stops")
+    for _ in range(3):  # replacing works over an earlier publication
+        load_star(spark, golden, "stop_id", ["stop"], [DISTRICT, TIER], "dim_stops", store)
+    assert publish.published(spark, store, "dim_stops").count() == golden.count()
+    assert publish.published(spark, store, "dim_district").count() == 5
+    if isinstance(store, publish.CatalogStore):
+        assert spark.table(f"{store.start}dim_tier").count() == 4
+
+
+def test_superseded_versions_are_removed(spark, golden, tmp_path):
+    store = publish.ParquetStore(str(tmp_path))
+    for _ in range(4):
+        load_star(spark, golden, "stop_id", ["stop"], [DISTRICT], "dim_stops", store)
+    assert len(os.listdir(tmp_path)) == 3  # the list, the latest version and the one before
+
+
+PARENT, CHILD = "pid int, name string", "id int, pid int"
+KEYS = [publish.PrimaryKey("parent", ["pid"]), publish.PrimaryKey("child", ["id"])]
+LINK = [publish.ForeignKey("child", "pid", "parent", "pid")]
+
 
+def family(spark, parent, child):
+    return {
+        "parent": spark.createDataFrame(parent, PARENT),
+        "child": spark.createDataFrame(child, CHILD),
+    }
 
-def test_publish_to_catalog_tables(spark, golden):
-    load_star(spark, golden, "LocationID", ["Zone"], [BOROUGH], "dim_zone", publish.table_sink())
-    assert spark.table("dim_zone").count() == golden.count()
-    spark.sql("drop table dim_zone")
-    spark.sql("drop table dim_borough")
+
+def state(spark, store):
+    return [rows(publish.published(spark, store, n)) for n in ("parent", "child")]
+
+
+@pytest.mark.parametrize("step", ["child", "list"])
+def test_a_stopped_publication_changes_nothing(spark, store, monkeypatch, step):
+    publish.publish(spark, family(spark, [(0, "a"), (1, "b")], [(1, 0), (2, 1)]), store, KEYS, LINK)
+    before = state(spark, store)
+    kind, write = type(store), type(store).write
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    if step == "child":
+        monkeypatch.setattr(
+            kind, "write", lambda self, v, name, df: stop() if name == "child" else write(self, v, name, df)
+        )
+    else:
+        monkeypatch.setattr(kind, "add", stop)
+    with pytest.raises(KeyboardInterrupt):
+        publish.publish(spark, family(spark, [(0, "b")], [(2, 0)]), store, KEYS, LINK)
+    assert state(spark, store) == before
+    monkeypatch.undo()
+    publish.publish(spark, family(spark, [(0, "b")], [(2, 0)]), store, KEYS, LINK)
+    assert state(spark, store) == [[(0, "b")], [(2, 0)]]
+
+
+def test_nothing_is_published_on_a_violation(spark, store):
+    good = family(spark, [(0, "a")], [(1, 0)])
+    publish.publish(spark, good, store, KEYS, LINK)
+    before = state(spark, store)
+    with pytest.raises(publish.ConstraintError) as failure:
+        bad = family(spark, [(0, "a"), (0, "b")], [(1, 0), (2, 5), (3, None)])
+        publish.publish(spark, bad, store, KEYS, LINK)
+    assert failure.value.problems == {"primary key parent": 1, "foreign key child.pid": 1}
+    assert state(spark, store) == before
 
 
-def test_cleanse(zones):
-    done = cleanse(zones, MATCH, "LocationID", "Zone")
+def test_cleanse(stops):
+    done = cleanse(stops, MATCH, "stop_id", "stop")
     assert done.golden.count() == 9
-    assert [r.LocationID for r in done.duplicates.collect()] == [56, 57, 103, 104, 105]
+    assert [r.stop_id for r in done.duplicates.collect()] == [8, 9, 20, 21, 22]
     assert rows(done.counts) == [(12, 9, 3, 5)]
-    assert [(r.name_a, r.name_b) for r in done.similar.collect()] == [("Lenox Hill East", "Lenox Hill West")]
+    assert [(r.name_a, r.name_b) for r in done.similar.collect()] == [("Lantern Street East", "Lantern Street West")]
 
 
-def test_reconcile_leaves_only_true_orphans(spark, zones):
+def test_reconcile_leaves_only_true_orphans(spark, stops):
     trips = spark.createDataFrame(
-        [(57, 104, 1), (105, 1, 2), (2, 57, 3), (None, 999, 4)], "pu long, do long, n int"
+        [(9, 21, 1), (22, 3, 2), (5, 9, 3), (None, 999, 4)], "pu long, do long, n int"
     )
-    done = reconcile(trips, ["pu", "do"], zones, MATCH, "LocationID")
-    assert rows(done.facts) == [(103, 1, 2), (2, 56, 3), (56, 103, 1), (None, 999, 4)]
+    done = reconcile(trips, ["pu", "do"], stops, MATCH, "stop_id")
+    assert rows(done.facts) == [(20, 3, 2), (5, 8, 3), (8, 20, 1), (None, 999, 4)]
     assert rows(done.report.orphans) == [(999,), (None,)]
     assert rows(done.report.summary) == [("ALERT", 2, 6, 9, 5)]

@@ -8,8 +8,8 @@ GROUPED = (
     "min(p_partkey) over (partition by p_name, p_brand) as golden from parts)"
 )
 OBJECTS = """objects as (
-  select 'day2/' || case event_type when 'error' then 'logs' when 'view' then 'images'
-                    when 'purchase' then 'finance' else 'temp' end || '/' || event_id as key,
+  select case when event_type in ('purchase', 'error') then 'ledger' else 'open' end
+         || '/' || event_type || '/' || event_id as key,
          ts, cast(length(props) as bigint) as size,
          'Owner=user' || user_id || '&Classification=' ||
          case event_type when 'purchase' then 'Secret' when 'error' then 'Internal'
@@ -25,33 +25,48 @@ STAR = f"""with {PARTS}, {BRAND}, {KIND}
   join brand on p_brand is not distinct from "BrandName"
   join kind on p_type is not distinct from "TypeName" """
 
-# Longest common block, earliest in a, then in b; then the same left and right of it.
-FUZZY = """with recursive
-names as (select p_name as n, row_number() over (order by min(p_partkey)) - 1 as ord
-          from part where p_name is not null group by p_name),
-pairs as (select x.n as a, y.n as b, x.ord as ord_a, y.ord as ord_b
-          from names x join names y on x.ord < y.ord),
+
+
+def _similar(names: str) -> str:
+    """All similar pairs of ``names`` (n, ord). Pairs are first bounded by the characters they
+    share. Then the longest common block is taken out, earliest in a, then in b, and the same
+    goes on left and right of it."""
+    return f"""with recursive names as ({names}),
+chars as (select n, c, count(*) as times
+          from (select n, unnest(string_split(n, '')) as c from names) group by n, c),
+pairs as (select x.n as a, y.n as b, any_value(nx.ord) as ord_a, any_value(ny.ord) as ord_b
+          from chars x join chars y on x.c = y.c join names nx on nx.n = x.n
+          join names ny on ny.n = y.n where nx.ord < ny.ord group by x.n, y.n
+          having 200 * sum(least(x.times, y.times)) >= 85 * (length(x.n) + length(y.n))),
 work as (
   select a, b, a as sa, b as sb, 0 as m from pairs
   union all
   select a, b, unnest([sa[:t.i-1], sa[t.i+t.k:]]) as sa,
                unnest([sb[:t.j-1], sb[t.j+t.k:]]) as sb, unnest([t.k, 0]) as m
-  from (select a, b, sa, sb, max({'k': k, 'ni': -i, 'nj': -j, 'i': i, 'j': j}) as t
+  from (select a, b, sa, sb, max({{'k': k, 'ni': -i, 'nj': -j, 'i': i, 'j': j}}) as t
         from (select a, b, sa, sb, i, j,
                      unnest(range(1, least(length(sa) - i, length(sb) - j) + 2)) as k
-              from (select a, b, sa, sb, i, unnest(range(1, length(sb) + 1)) as j
+              from (select * from (
+                    select a, b, sa, sb, i, unnest(range(1, length(sb) + 1)) as j
                     from (select a, b, sa, sb, unnest(range(1, length(sa) + 1)) as i
-                          from work where sa <> '' and sb <> '')))
+                          from work where sa <> '' and sb <> ''))
+                    where substr(sa, i, 1) = substr(sb, j, 1)))
         where substr(sa, i, k) = substr(sb, j, k) group by a, b, sa, sb)),
 scored as (select a, b, cast(sum(m) as bigint) as m, length(a) + length(b) as total
            from work group by a, b),
-alike as (select a as name_a, b as name_b, ord_a, ord_b, m as matched, total,
-                   cast(2 * m as double) / total as ratio,
+alike as (select a as name_a, b as name_b, ord_a, ord_b, m as matched,
+                   cast(total as bigint) as total, cast(2 * m as double) / total as ratio,
                    round(cast(2 * m as double) / total, 3) as score
             from scored join pairs using (a, b) where 200 * m >= 85 * total and 2 * m < total)
 """
 
 
+FUZZY = _similar("""select p_name as n, row_number() over (order by min(p_partkey)) - 1 as ord
+                    from part where p_name is not null group by p_name""")
+FUZZY_URLS = _similar("""select url as n, row_number() over (order by min(page_id)) - 1 as ord
+                         from pages where url is not null group by url""")
+
+
 def _integrity(facts: str, master: str, before: str = "") -> str:
     return f"""with {before} f as (select distinct * from ({facts}) t(id)),
       g as (select distinct * from ({master}) t(id)),
@@ -62,6 +77,8 @@ def _integrity(facts: str, master: str, before: str = "") -> str:
       select case when orphan_ids = 0 then 'SUCCESS' else 'ALERT' end as status, * from c"""
 
 
+PUBLISHED = f"""with {GROUPED} select p_partkey, p_name, p_brand as "BrandName", p_type as "TypeName"
+  from grouped where p_partkey = golden"""
 CUSTOMER = "select * from customer"
 GOLDEN = "select golden from grouped"
 REMAPPED = "coalesce(golden, l_partkey) as l_partkey"
@@ -70,7 +87,8 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": CUSTOMER,
     "json_roundtrip": CUSTOMER,
     "parquet_roundtrip": CUSTOMER,
-    "normalise_missing": "select event_id, nullif(event_type, 'error') as event_type from events",
+    "normalise_missing": "select * replace (nullif(event_type, 'error') as event_type, "
+    "nullif(props, 'error') as props) from events",
     "key_projection": "select l_partkey, l_suppkey from lineitem",
     "json_fields": "select event_id, cast(props->>'$.k' as bigint) as k from events",
     "prefix_layout": "select event_type, strftime(ts, '%Y-%m-%d') as day, count(*) as n_objects, "
@@ -89,6 +107,7 @@ ORACLE: dict[str, str] = {
     "fuzzy_pairs": FUZZY + "select name_a, name_b, matched, total, ratio, score from alike",
     "fuzzy_head": FUZZY + "select name_a, name_b, score from alike order by ord_a, ord_b limit 5",
     "fuzzy_topk": FUZZY + "select name_a, name_b, score from alike order by ratio desc, ord_a, ord_b limit 5",
+    "fuzzy_urls": FUZZY_URLS + "select name_a, name_b, matched, total, score from alike",
     "two_role_keys": "select c_nationkey as id from customer union select s_nationkey from supplier",
     "two_role_keys_one_table": "select l_partkey as id from lineitem union select l_suppkey from lineitem",
     "orphans": f"with {GROUPED} select distinct l_partkey as id from lineitem "
@@ -108,19 +127,17 @@ ORACLE: dict[str, str] = {
     "remap_keys": f"with {GROUPED} select lineitem.* replace ({REMAPPED}) "
     "from lineitem left join grouped on l_partkey = p_partkey",
     "remap_two_roles": f"""with {GROUPED}, walk as (select p_partkey as id, golden from grouped)
-      select l_orderkey, l_linenumber, coalesce(a.golden, l_partkey) as l_partkey,
-             coalesce(b.golden, l_suppkey) as l_suppkey
+      select lineitem.* replace (coalesce(a.golden, l_partkey) as l_partkey,
+                                 coalesce(b.golden, l_suppkey) as l_suppkey)
       from lineitem left join walk a on l_partkey = a.id left join walk b on l_suppkey = b.id""",
-    "remap_literal": "select case p_partkey when 57 then 56 when 104 then 103 when 105 then 103 "
-    "else p_partkey end as p_partkey, p_name from part",
+    "remap_literal": "select * replace (case p_partkey when 11 then 3 when 19 then 3 when 42 then 40 "
+    "else p_partkey end as p_partkey) from part",
     "dim_borough": f'with {PARTS}, {BRAND} select "BrandID", "BrandName" from brand',
     "dim_service": f'with {PARTS}, {KIND} select "TypeID", "TypeName" from kind',
     "star_dim": STAR,
     "star_head": STAR + " order by p_partkey limit 5",
-    "star_publish": f"""with {GROUPED}
-      select 'dim_borough' as table_name, count(*) as n_rows from (select distinct p_brand from grouped)
-      union all select 'dim_service', count(*) from (select distinct p_type from grouped where p_partkey = golden)
-      union all select 'dim_part', count(*) from grouped where p_partkey = golden""",
+    "star_publish": PUBLISHED,
+    "star_publish_tables": PUBLISHED,
     "pk_violations": "select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by all "
     "having count(*) > 1 or l_orderkey is null or l_linenumber is null",
     "fk_violations": f"with {GROUPED} select l_partkey as id, count(*) as n_rows from lineitem "
@@ -147,9 +164,12 @@ ORACLE: dict[str, str] = {
       union all select 'l_linenumber', cast(l_linenumber as varchar), count(*)
       from lineitem group by l_linenumber""",
     "object_inventory": f"with {OBJECTS} select * from objects",
-    "retention_expired": f"""with {OBJECTS} select key, 'expire-temp' as rule_id from objects
-      where starts_with(key, 'day2/temp/') and ts < timestamp '2024-02-10' - interval 30 day""",
-    "grant_check": f"with {OBJECTS} select key, starts_with(key, 'day2/logs/') as allowed from objects",
+    "retention_expired": f"""with {OBJECTS} select key,
+        case when starts_with(key, 'ledger/') then 'yearly' else 'short-lived' end as rule_id
+      from objects where (starts_with(key, 'open/click/') and ts < timestamp '2024-02-10' - interval 12 day)
+         or (starts_with(key, 'ledger/') and ts < timestamp '2024-02-10' - interval 365 day)""",
+    "grant_check": f"""with {OBJECTS} select key, starts_with(key, 'ledger/purchase/')
+        or starts_with(key, 'ledger/error/1') or starts_with(key, 'open/view/') as allowed from objects""",
     "tags_to_map": f"""with {OBJECTS}, tagged as (select key, map_from_entries(list_transform(
         string_split(tags, '&'), lambda x: (split_part(x, '=', 1), split_part(x, '=', 2)))) as m
       from objects)
@@ -171,17 +191,19 @@ ORACLE: dict[str, str] = {
       select o.key, r.tag, null, 'missing' from objects o, rules r
       where not exists (select 1 from tags t where t.key = o.key and t.tag = r.tag and t.value <> '')""",
     "manifest_prefixes": f"""with {OBJECTS},
-      manifest(prefix, purpose) as (values ('day1/', 'setup'), ('day2/', 'automation'),
-                                           ('day2/temp/', 'transient')),
+      manifest(prefix, purpose) as (values ('ledger/', 'money and failures'),
+        ('ledger/purchase/', 'sales ledger'), ('open/', 'free to look at'), ('attic/', 'nothing yet')),
       owned as (select key, max_by(prefix, length(prefix)) as prefix
                 from objects join manifest on starts_with(key, prefix) group by key)
       select prefix, purpose, (select count(*) from owned o where o.prefix = m.prefix) as n_objects
       from manifest m""",
     "prefix_purpose": f"""with {OBJECTS} select key,
-      case when starts_with(key, 'day2/temp/') then 'day2/temp/' when starts_with(key, 'day2/')
-           then 'day2/' when starts_with(key, 'day1/') then 'day1/' end as prefix,
-      case when starts_with(key, 'day2/temp/') then 'transient' when starts_with(key, 'day2/')
-           then 'automation' when starts_with(key, 'day1/') then 'setup' end as purpose
+      case when starts_with(key, 'ledger/purchase/') then 'ledger/purchase/'
+           when starts_with(key, 'ledger/') then 'ledger/' when starts_with(key, 'open/') then 'open/'
+           end as prefix,
+      case when starts_with(key, 'ledger/purchase/') then 'sales ledger'
+           when starts_with(key, 'ledger/') then 'money and failures'
+           when starts_with(key, 'open/') then 'free to look at' end as purpose
       from objects""",
     "prefix_usage": f"""with {OBJECTS} select split_part(key, '/', 1) || '/' || split_part(key, '/', 2)
       as prefix, count(*) as n_objects, cast(sum(size) as bigint) as n_bytes from objects group by 1""",

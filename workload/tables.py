@@ -13,21 +13,40 @@ from goldkeep.sources.files import read_parquet
 MATCH = ["p_name", "p_brand"]
 AS_OF = datetime(2024, 2, 10)
 
-POLICY = """{"Version": "2012-10-17", "Statement": [{
-  "Sid": "ReadLogs", "Effect": "Allow", "Principal": "*",
-  "Action": "s3:GetObject", "Resource": "arn:aws:s3:::store/day2/logs/*"}]}"""
-RESOURCE_ROOT = "arn:aws:s3:::store/"
+# Own rules over the inventory made below. Field names are those of the public formats.
+POLICY = """{"Version": "2012-10-17", "Statement": [
+  {"Sid": "Auditors", "Effect": "Allow", "Principal": {"AWS": ["auditor", "steward"]},
+   "Action": ["s3:GetObject", "s3:ListBucket"],
+   "Resource": ["arn:aws:s3:::vault/ledger/purchase/*", "arn:aws:s3:::vault/ledger/error/1*"]},
+  {"Sid": "Everyone", "Effect": "Allow", "Principal": "*", "Action": "s3:Get*",
+   "Resource": "arn:aws:s3:::vault/open/view/*"}]}"""
+RESOURCE_ROOT = "arn:aws:s3:::vault/"
 
-LIFECYCLE = """{"Rules": [{"ID": "expire-temp", "Status": "Enabled",
-  "Filter": {"Prefix": "day2/temp/"}, "Expiration": {"Days": 30}}]}"""
+LIFECYCLE = """{"Rules": [
+  {"ID": "short-lived", "Status": "Enabled", "Filter": {"Prefix": "open/click/"}, "Expiration": {"Days": 12}},
+  {"ID": "yearly", "Status": "Enabled", "Filter": {"Prefix": "ledger/"}, "Expiration": {"Days": 365}},
+  {"ID": "paused", "Status": "Disabled", "Filter": {"Prefix": ""}, "Expiration": {"Days": 1}}]}"""
 
-MANIFEST = """{
-  "bucket_info": {"name": "store", "created_at": "2024-01-01", "region": "local"},
-  "ownership": {"department": "Data", "primary_owner": "Owner", "contact_email": "owner@example.com"},
-  "governance": {"classification": "Internal", "purpose": "Exercises",
-                 "retention_policy": "Delete after 30 days", "pii_content": false},
-  "prefixes": {"day1/": "setup", "day2/": "automation", "day2/temp/": "transient"}
-}"""
+MANIFEST = """
+bucket_info:
+  name: vault
+  created_at: "2023-11-20"
+  region: north-1
+ownership:
+  department: Records
+  primary_owner: Head of records
+  contact_email: records@example.org
+governance:
+  classification: Internal
+  purpose: Keeps what customers did and what it cost
+  retention_policy: Clicks go after twelve days, ledgers after a year
+  pii_content: true
+prefixes:
+  ledger/: money and failures
+  ledger/purchase/: sales ledger
+  open/: free to look at
+  attic/: nothing yet
+"""
 
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -42,10 +61,7 @@ def parts(spark: SparkSession, folder: str) -> DataFrame:
 def objects(spark: SparkSession, folder: str) -> DataFrame:
     """Inventory: one object per event, ``(key, ts, size, tags)``."""
     kind = F.col("event_type")
-    place = (
-        F.when(kind == "error", "logs").when(kind == "view", "images")
-        .when(kind == "purchase", "finance").otherwise("temp")
-    )
+    place = F.when(kind.isin("purchase", "error"), "ledger").otherwise("open")
     secrecy = (
         F.when(kind == "purchase", "Secret").when(kind == "error", "Internal")
         .when(kind == "signup", "Other").otherwise("Public")
@@ -55,7 +71,7 @@ def objects(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("Owner=user"), "user_id", F.lit("&Classification="), secrecy, F.lit("&Domain="), domain
     )
     return table(spark, folder, "events").select(
-        object_key(F.lit("day2"), place, F.col("event_id").cast("string")).alias("key"),
+        object_key(place, kind, F.col("event_id").cast("string")).alias("key"),
         "ts",
         F.length("props").cast("long").alias("size"),
         tags.alias("tags"),
