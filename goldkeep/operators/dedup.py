@@ -9,20 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldkeep.operators.joins import attach
+from goldkeep.operators.joins import attach, fits_broadcast, heaviest
 from goldkeep.shared import settle
 
 
 def _duplicate_groups(df: DataFrame, keys: list[str], key: str) -> DataFrame:
-    """One row per group with copies: its match columns and smallest key."""
+    """One row per group with copies: its match columns, size and smallest key."""
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_copies"), F.min(key).alias("_golden"))
         .where("_copies > 1")
-        .drop("_copies")
     )
 
 
+def _mark(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` in one of ``groups``, with its ``_golden``; large groups are known."""
+    table = groups.drop("_copies")
+    small = fits_broadcast(table)
+    heavy = None if small else heaviest(groups, keys, "_copies")
+    on = {c: c for c in keys}
+    return attach(df, table, on, how="inner", null_safe=True, small=small, heavy=heavy)
+
+
 def exact_duplicates(df: DataFrame, keys: list[str], key: str) -> DataFrame:
     """All rows of groups with more than one copy, including the golden one.
 
@@ -30,8 +38,7 @@ def exact_duplicates(df: DataFrame, keys: list[str], key: str) -> DataFrame:
     so a group holding a large share of the rows is never gathered in one task.
     """
     groups = settle(_duplicate_groups(df, keys, key))
-    marked = attach(df, groups, {c: c for c in keys}, how="inner", null_safe=True)
-    return marked.drop("_golden")
+    return _mark(df, groups, keys).drop("_golden")
 
 
 def sorted_by(df: DataFrame, column: str, key: str) -> DataFrame:
@@ -56,8 +63,7 @@ def golden_ids(df: DataFrame, keys: list[str], key: str) -> DataFrame:
 def crosswalk(df: DataFrame, keys: list[str], key: str) -> DataFrame:
     """``(retired_id, golden_id)`` for every record that is not golden."""
     groups = settle(_duplicate_groups(df, keys, key))
-    narrow = df.select(key, *keys)
-    marked = attach(narrow, groups, {c: c for c in keys}, how="inner", null_safe=True)
+    marked = _mark(df.select(key, *keys), groups, keys)
     return marked.where(F.col(key) != F.col("_golden")).select(
         F.col(key).alias("retired_id"), F.col("_golden").alias("golden_id")
     )

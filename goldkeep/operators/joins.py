@@ -4,17 +4,18 @@
 How depends on the measured size of the lookup:
 
 * small: broadcast it, the rows stay where they are;
-* large: rows of the most frequent keys are served from a broadcast of at most
-  ``HEAVY_KEYS`` lookup rows and then spread over all tasks; all other rows are served by
-  an ordinary shuffle join. A key outside the heavy list holds less than 1/``HEAVY_KEYS``
-  of the rows, so no task gets an outsized share. The result is exactly the plain join.
+* large: the lookup rows of the most frequent keys are broadcast to the rows that need them;
+  all rows go through a shuffle join, in which those already served are spread over all tasks
+  and the others are looked up. A key outside the heavy list holds less than one part in
+  ``HEAVY_PER_TASK`` of a task's share, so no task gets much more than its share. The result
+  is exactly the plain join.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,8 +23,10 @@ from goldkeep.shared import settle
 
 #: Largest lookup, in measured bytes, that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Number of heaviest keys that are attached without a shuffle when the lookup is large.
-HEAVY_KEYS = 1000
+#: Largest measured size of the lookup rows of heavy keys, for the same.
+SERVED_BYTES = 64 * 1024 * 1024
+#: Heaviest keys that are spread when the lookup is large, for each task of a shuffle.
+HEAVY_PER_TASK = 4
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -52,11 +55,32 @@ def match(left: DataFrame, right: DataFrame, on: dict[str, str], null_safe: bool
     return reduce(lambda x, y: x & y, parts)
 
 
+def heavy_limit(spark: SparkSession) -> int:
+    """How many keys can hold more than one part in ``HEAVY_PER_TASK`` of a task's share."""
+    return HEAVY_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def heavy_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The ``HEAVY_KEYS`` most frequent keys; ties fall by key, so the list is repeatable."""
+    """The most frequent keys; ties fall by key, so the list is repeatable."""
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counted.orderBy(F.desc("_rows"), *keys).limit(HEAVY_KEYS)
-    return settle(top.where("_rows > 1").drop("_rows"))
+    return heaviest(counted, keys, "_rows")
+
+
+def heaviest(counted: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """The most frequent keys of a table that has each key once, with its ``count``."""
+    top = counted.orderBy(F.desc(count), *keys).limit(heavy_limit(counted.sparkSession))
+    return settle(top.where(F.col(count) > 1).select(*keys))
+
+
+def heavy_keys_each(rows: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
+    """The most frequent keys of every column, all counted in one pass over ``rows``."""
+    every = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("k")) for c in columns])
+    counted = rows.select(F.inline(every)).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("c").orderBy(F.desc("n"), "k")
+    ranked = counted.where("n > 1").withColumn("_place", F.row_number().over(order))
+    top = settle(ranked.where(F.col("_place") <= heavy_limit(rows.sparkSession)))
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    return {c: top.where(F.col("c") == c).select(F.col("k").cast(types[c]).alias(c)) for c in columns}
 
 
 def attach(
@@ -67,12 +91,16 @@ def attach(
     how: str = "left",
     null_safe: bool = False,
     broadcast_bytes: int | None = None,
+    small: bool | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Add the non-key columns of ``lookup`` to ``rows``.
 
     ``on`` maps columns of ``rows`` to key columns of ``lookup``, which must be unique.
     ``how`` is ``left`` or ``inner``; with ``null_safe`` a null key matches a null key.
-    ``lookup`` is read several times: settle it first when it is costly.
+    ``lookup`` is read several times: settle it first when it is costly. Who knows already
+    whether it is ``small`` enough for a broadcast, or which keys of ``rows`` are ``heavy``
+    (columns as in ``rows``), can say so.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -81,20 +109,29 @@ def attach(
     on = {a: renamed[b] for a, b in on.items()}
     key_columns = list(renamed.values())
 
-    if fits_broadcast(table, broadcast_bytes):
+    if small is None:
+        small = fits_broadcast(table, broadcast_bytes)
+    if small:
         joined = rows.join(F.broadcast(table), match(rows, table, on, null_safe), how)
         return joined.drop(*key_columns)
 
-    return _attach_spread(rows, table, on, how, null_safe)
+    if heavy is None:
+        heavy = heavy_keys(rows, list(on))
+    return _attach_spread(rows, table, on, how, null_safe, heavy)
 
 
 def _attach_spread(
-    rows: DataFrame, table: DataFrame, on: dict[str, str], how: str, null_safe: bool
+    rows: DataFrame,
+    table: DataFrame,
+    on: dict[str, str],
+    how: str,
+    null_safe: bool,
+    heavy: DataFrame,
 ) -> DataFrame:
     """The join with a large ``table``, heavy keys served from a broadcast."""
     values = [c for c in table.columns if c not in on.values()]
     heavy_on = {a: f"_heavy_{i}" for i, a in enumerate(on)}
-    heavy = heavy_keys(rows, list(on)).withColumnsRenamed(heavy_on)
+    heavy = heavy.withColumnsRenamed(heavy_on)
     known = table.withColumn("_known", F.lit(True))
     to_table = {heavy_on[a]: b for a, b in on.items()}
     served = heavy.join(known, match(heavy, known, to_table, null_safe), "left").select(
@@ -103,6 +140,9 @@ def _attach_spread(
         F.col("_known").alias("_served"),
         *[F.col(c).alias(f"_served_{c}") for c in values],
     )
+    served = settle(served)
+    if not fits_broadcast(served, SERVED_BYTES):  # few rows, but wide ones: leave them to the shuffle
+        served = served.limit(0)
     marked = rows.join(F.broadcast(served), match(rows, served, heavy_on, True), "left")
 
     # equal keys have equal slots, but a heavy row gets one no lookup row has, by partition

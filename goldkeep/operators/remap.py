@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldkeep.operators.joins import attach
+from goldkeep.operators.joins import attach, fits_broadcast, heavy_keys_each
 
 
 def crosswalk_violations(crosswalk: DataFrame) -> DataFrame:
@@ -40,8 +40,11 @@ def remap_keys(
     if bad:
         raise ValueError(f"crosswalk is not usable, for example: {[tuple(r) for r in bad]}")
     walk = crosswalk.select(F.col("retired_id").alias("_retired"), F.col("golden_id").alias("_golden"))
+    small = fits_broadcast(walk, broadcast_bytes)
+    # counted on the facts as they come, not on what earlier lookups have made of them
+    heavy = {} if small else heavy_keys_each(facts, columns)
     for column in columns:
-        found = attach(facts, walk, {column: "_retired"}, broadcast_bytes=broadcast_bytes)
+        found = attach(facts, walk, {column: "_retired"}, small=small, heavy=heavy.get(column))
         golden = F.coalesce("_golden", column).alias(column)
         facts = found.select(*[golden if c == column else F.col(c) for c in facts.columns])
     return facts

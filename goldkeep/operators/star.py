@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from goldkeep.operators.joins import attach
+from goldkeep.operators.joins import attach, fits_broadcast, heavy_keys_each
 from goldkeep.operators.ranking import members
 from goldkeep.shared import settle
 
@@ -37,6 +37,10 @@ def star_dim(
 
     Null members match null values, so no master row is lost.
     """
+    small = {spec.name: fits_broadcast(table, broadcast_bytes) for spec, table in dimensions}
+    large = [spec.column for spec, _ in dimensions if not small[spec.name]]
+    # counted on the master as it comes, not on what earlier lookups have made of it
+    heavy = heavy_keys_each(master, large) if large else {}
     for spec, table in dimensions:
         master = attach(
             master,
@@ -44,7 +48,8 @@ def star_dim(
             {spec.column: spec.label},
             how="inner",
             null_safe=True,
-            broadcast_bytes=broadcast_bytes,
+            small=small[spec.name],
+            heavy=heavy.get(spec.column),
         )
     return master.select(key, *keep, *[spec.id_name for spec, _ in dimensions])
 

@@ -53,7 +53,7 @@ def join_path(request, monkeypatch):
     """Run a test with small lookups broadcast, then as if every lookup were large."""
     if request.param == "shuffle":
         monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-        monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
+        monkeypatch.setattr(joins, "heavy_limit", lambda spark: 2)
     return request.param
 
 

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from goldkeep.operators import joins
+from goldkeep.operators import joins, remap
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -67,6 +67,27 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_counting_heavy_keys_holds_no_join(spark, monkeypatch):
+    """Keys of all columns are counted in one pass over the facts as they come."""
+    counted = []
+    real = joins.settle
+    monkeypatch.setattr(joins, "settle", lambda df: counted.append(plan(df)) or real(df))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    facts = spark.range(3000).selectExpr("id % 7 as a", "id % 11 as b", "id % 13 as c")
+    walk = spark.createDataFrame([(1, 0), (8, 2)], "retired_id long, golden_id long")
+    done = remap.remap_keys(facts, walk, ["a", "b", "c"])
+    counts = [p for p in counted if "Aggregate" in p]
+    assert len(counts) == 1 and "Join" not in counts[0]
+    assert done.where("a = 1 or b = 1 or b = 8 or c = 1 or c = 8").count() == 0
+
+
+def test_heavy_keys_of_several_columns(spark):
+    facts = spark.createDataFrame([(1, "x"), (1, None), (2, None), (3, "z")], "a int, b string")
+    found = joins.heavy_keys_each(facts, ["a", "b"])
+    assert rows(found["a"]) == [(1,)] and rows(found["b"]) == [(None,)]
+    assert found["a"].dtypes == [("a", "int")]
+
+
 def test_unknown_join_type_is_refused(spark):
     with pytest.raises(ValueError):
         joins.attach(spark.range(1), spark.range(1), {"id": "id"}, how="outer")
