@@ -128,10 +128,14 @@ def retention_expired(
     ts_type = objects.schema["ts"].dataType
     enabled = sorted((r for r in rules if r.enabled), key=lambda r: (r.days, r.rule_id))
 
+    def cutoff(rule: RetentionRule) -> Column:
+        return F.lit((as_of - timedelta(days=rule.days)).isoformat(sep=" ")).cast(ts_type)
+
     def hit(rule: RetentionRule) -> Column:
-        cutoff = F.lit((as_of - timedelta(days=rule.days)).isoformat(sep=" ")).cast(ts_type)
-        return F.col("key").startswith(rule.prefix) & (F.col("ts") < cutoff)
+        return F.col("key").startswith(rule.prefix) & (F.col("ts") < cutoff(rule))
 
+    if enabled:  # what no rule can expire is left out by the scan
+        objects = objects.where(F.col("ts") < cutoff(enabled[0]))
     expired = reduce(lambda a, b: a | b, [hit(r) for r in enabled], F.lit(False))
     rule_id = F.coalesce(F.lit(None).cast("string"), *[F.when(hit(r), r.rule_id) for r in enabled])
     return objects.where(expired).withColumn("rule_id", rule_id)

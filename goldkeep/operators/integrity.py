@@ -12,6 +12,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldkeep.shared import settle
+
 
 class IntegrityReport(NamedTuple):
     """The summary is one row; the key lists stay distributed, however long they are."""
@@ -48,8 +50,8 @@ def unused(facts: DataFrame, master: DataFrame) -> DataFrame:
     return master.join(facts, "id", "left_anti")
 
 
-def integrity_summary(facts: DataFrame, master: DataFrame) -> DataFrame:
-    """One row: status, orphan, fact, golden and unused key counts; keys may repeat.
+def _presence(facts: DataFrame, master: DataFrame) -> DataFrame:
+    """``id, _fact, _master``: every key with the sides it is on; keys may repeat.
 
     Both sides are stacked and grouped by key, which needs one shuffle and no join. Null
     keys of the two sides are kept apart because they do not match each other.
@@ -62,29 +64,41 @@ def integrity_summary(facts: DataFrame, master: DataFrame) -> DataFrame:
             F.lit(1 - in_fact).alias("_master"),
         )
 
-    present = (
+    return (
         side(facts, 1)
         .union(side(master, 0))
         .groupBy("id", "_apart")
         .agg(F.max("_fact").alias("_fact"), F.max("_master").alias("_master"))
     )
-    orphan = (F.col("_fact") == 1) & (F.col("_master") == 0)
-    idle = (F.col("_fact") == 0) & (F.col("_master") == 1)
+
+
+_ORPHAN, _IDLE = "_fact = 1 and _master = 0", "_fact = 0 and _master = 1"
+
+
+def _summary(present: DataFrame) -> DataFrame:
     counts = present.agg(
-        F.count_if(orphan).alias("orphan_ids"),
-        F.count_if(F.col("_fact") == 1).alias("fact_ids"),
-        F.count_if(F.col("_master") == 1).alias("golden_ids"),
-        F.count_if(idle).alias("unused_ids"),
+        F.count_if(F.expr(_ORPHAN)).alias("orphan_ids"),
+        F.count_if(F.expr("_fact = 1")).alias("fact_ids"),
+        F.count_if(F.expr("_master = 1")).alias("golden_ids"),
+        F.count_if(F.expr(_IDLE)).alias("unused_ids"),
     )
     status = F.when(F.col("orphan_ids") == 0, "SUCCESS").otherwise("ALERT").alias("status")
     return counts.select(status, "*")
 
 
+def integrity_summary(facts: DataFrame, master: DataFrame) -> DataFrame:
+    """One row: status, orphan, fact, golden and unused key counts; keys may repeat."""
+    return _summary(_presence(facts, master))
+
+
 def integrity_report(facts: DataFrame, master: DataFrame) -> IntegrityReport:
-    """Summary plus the orphaned and unused keys as frames; keys may repeat."""
-    fact_set, master_set = facts.distinct(), master.distinct()
+    """Summary plus the orphaned and unused keys as frames; keys may repeat.
+
+    The facts are read once: all three come from one settled row per key.
+    """
+    present = settle(_presence(facts, master))
     return IntegrityReport(
-        integrity_summary(facts, master),
-        orphans(fact_set, master_set),
-        unused(fact_set, master_set),
+        _summary(present),
+        present.where(_ORPHAN).select("id"),
+        present.where(_IDLE).select("id"),
     )
