@@ -34,8 +34,26 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder. See :func:`clear_scratch`."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+#: Scratch paths of this process that have not been removed.
+_MADE: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what was written under scratch paths, and say how many there were.
+
+    Results read from such paths are lazy, so nothing is removed by itself: call this when the
+    results of the session have been written elsewhere.
+    """
+    removed = len(_MADE)
+    while _MADE:
+        remove_path(spark, _MADE.pop())
+    return removed
 
 
 def _at(spark: SparkSession, path: str):

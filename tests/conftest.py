@@ -7,6 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from goldkeep.operators import joins  # noqa: E402
 from goldkeep.session import local_session  # noqa: E402
+from goldkeep.shared import clear_scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -38,6 +39,7 @@ def spark(tmp_path_factory):
         },
     )
     yield session
+    clear_scratch(session)
     session.stop()
 
 

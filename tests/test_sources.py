@@ -3,6 +3,7 @@ import json
 import pytest
 from conftest import SMALL, rows
 
+from goldkeep import shared
 from goldkeep.functions.missing import normalise_missing
 from goldkeep.sources import files, layout
 
@@ -91,3 +92,10 @@ def test_prefix_layout_prunes_folders(spark, tmp_path):
     assert "event_type" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert one.count() == events.where("event_type = 'error' and day = '2024-01-05'").count() > 0
     assert back.count() == events.count()
+
+
+def test_scratch_is_removed_on_demand(spark):
+    path = shared.scratch_path(spark, "test")
+    spark.range(3).write.parquet(path)
+    assert shared.path_exists(spark, path) and shared.clear_scratch(spark) >= 1
+    assert not shared.path_exists(spark, path) and shared.clear_scratch(spark) == 0
