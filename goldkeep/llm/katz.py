@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from goldkeep.llm.blobs import groups_for, pack, pack_arrays, text_size, unpack, unpack_arrays
-from goldkeep.llm.words import WHITE_SPACE, mix, runs, split, word_hashes
+from goldkeep.llm.words import WHITE_SPACE, mix, split, word_hashes
 from goldkeep.shared import scratch_path
 
 #: Counts up to this one are discounted.
@@ -59,11 +59,14 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     counts = words.counts + 1
     first = np.cumsum(counts) - counts
     token = np.full(int(counts.sum()), END, np.uint64)
-    token[runs(first, words.counts)] = word_hashes(words)
+    place = np.ones(len(token), bool)
+    place[first + counts - 1] = False
+    token[place] = word_hashes(words)
+    del words, place
     before = np.empty_like(token)
     before[1:] = token[:-1]
     before[first] = BEGIN
-    return before, token, np.repeat(np.arange(len(counts)), counts)
+    return before, token, np.repeat(np.arange(len(counts), dtype=np.int32), counts)
 
 
 def _deal(buckets: int):
@@ -75,15 +78,16 @@ def _deal(buckets: int):
         for batch in batches:
             before, token, text = _tokens(batch.column(1))
             learnt = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            bucket = (mix(before) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((token, before, bucket))
-            bucket, before, token, text = bucket[order], before[order], token[order], text[order]
+            order = np.lexsort((token, before))
+            before, token, text = before[order], token[order], text[order]
+            del order
             new = np.ones(len(token), bool)
             new[1:] = (before[1:] != before[:-1]) | (token[1:] != token[:-1])
             at = np.flatnonzero(new)
             times = np.diff(at, append=len(token))
             train = np.add.reduceat(learnt[text], at, dtype=np.int64) if len(at) else at
-            used, first = np.unique(bucket[at], return_index=True)
+            bucket = _bucket(before[at], buckets)
+            used, first = np.unique(bucket, return_index=True)
             ends = np.append(first[1:], len(at))
             blobs = []
             for a, b in zip(first.tolist(), ends.tolist()):
@@ -91,9 +95,9 @@ def _deal(buckets: int):
                 words, second = np.unique(token[at[a:b]], return_inverse=True)
                 blobs.append(
                     pack_arrays(
-                        head=heads,
+                        head=_steps(heads),
                         head_pairs=count.astype(np.int32),
-                        words=words,
+                        words=_steps(words),
                         second=second.astype(np.int32),
                         times=times[a:b].astype(np.int32),
                         train=train[a:b].astype(np.int32),
@@ -116,6 +120,16 @@ def _deal(buckets: int):
     return deal
 
 
+def _bucket(head: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of a hashed predecessor; in the order of the hashes."""
+    return ((head >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _steps(ordered: np.ndarray) -> np.ndarray:
+    """Ordered hashes as differences, which have fewer bits; ``np.cumsum`` is the inverse."""
+    return np.diff(ordered, prepend=np.uint64(0))
+
+
 def _run_lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(values), bool)
     new[1:] = values[1:] != values[:-1]
@@ -145,8 +159,8 @@ def _add_pairs(vocabularies: int):
         if bucket < 0:
             return _rows([("ids", bucket, part, blob) for part, blob in zip(parts, blobs)])
         sent = [unpack_arrays(b) for b in blobs]
-        head = np.concatenate([np.repeat(s["head"], s["head_pairs"]) for s in sent])
-        word = np.concatenate([s["words"][s["second"]] for s in sent])
+        head = np.concatenate([np.repeat(np.cumsum(s["head"]), s["head_pairs"]) for s in sent])
+        word = np.concatenate([np.cumsum(s["words"])[s["second"]] for s in sent])
         order = np.lexsort((word, head))
         head, word = head[order], word[order]
         new = np.ones(len(head), bool)
@@ -168,7 +182,12 @@ def _add_pairs(vocabularies: int):
                 "pairs",
                 bucket,
                 0,
-                pack_arrays(head=heads, head_pairs=head_pairs.astype(np.int32), second=second, count=count),
+                pack_arrays(
+                    head=_steps(heads),
+                    head_pairs=head_pairs.astype(np.int32),
+                    second=second,
+                    count=count,
+                ),
             ),
             ("statistics", bucket, 2, pack_arrays(n=_counts_of_counts(count))),
         ]
@@ -182,7 +201,7 @@ def _add_pairs(vocabularies: int):
         own = np.bincount(second, weights=count, minlength=len(words)).astype(np.int64)
         for number, first, length in zip(*_stretches(asked)):
             stop = first + length
-            blob = pack_arrays(words=words[first:stop], count=own[first:stop])
+            blob = pack_arrays(words=_steps(words[first:stop]), count=own[first:stop])
             rows.append(("questions", bucket, int(number), blob))
         return _rows(rows)
 
@@ -198,11 +217,12 @@ def _add_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """All questions to a vocabulary bucket in; word counts, answers and counts of counts out."""
     number, blobs = key[0].as_py(), table["blob"].to_pylist()
     sent = [unpack_arrays(b) for b in blobs]
-    words, place = np.unique(np.concatenate([s["words"] for s in sent]), return_inverse=True)
+    asked = np.concatenate([np.cumsum(s["words"]) for s in sent])
+    words, place = np.unique(asked, return_inverse=True)
     own = np.concatenate([s["count"] for s in sent])
     count = np.bincount(place, weights=own, minlength=len(words)).astype(np.int64)
     rows = [
-        ("words", number, 0, pack_arrays(words=words, count=count)),
+        ("words", number, 0, pack_arrays(words=_steps(words), count=count)),
         (
             "statistics",
             number,
