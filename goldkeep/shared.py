@@ -40,17 +40,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-#: Scratch paths of this process that have not been removed.
+def scratch_table(label: str) -> str:
+    """A new, unused name of a catalog table. See :func:`clear_scratch`."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    _NAMED.append(name)
+    return name
+
+
+#: Scratch paths and tables of this process that have not been removed.
 _MADE: list[str] = []
+_NAMED: list[str] = []
 
 
 def clear_scratch(spark: SparkSession) -> int:
-    """Remove what was written under scratch paths, and say how many there were.
+    """Remove what was written under scratch paths and names, and say how many there were.
 
     Results read from such paths are lazy, so nothing is removed by itself: call this when the
     results of the session have been written elsewhere.
     """
-    removed = len(_MADE)
+    removed = len(_MADE) + len(_NAMED)
+    while _NAMED:
+        spark.sql(f"drop table if exists {_NAMED.pop()}")
     while _MADE:
         remove_path(spark, _MADE.pop())
     return removed
