@@ -40,12 +40,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from goldkeep.llm.blobs import groups_for, pack, pack_arrays, text_size, unpack, unpack_arrays
 from goldkeep.llm.words import WHITE_SPACE, mix, split, word_hashes
-from goldkeep.shared import scratch_path
+from goldkeep.shared import scratch_path, scratch_table
 
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
 #: Bytes of text whose tokens meet in one bucket, about.
 BUCKET_BYTES = 24 << 20
+#: Most file groups of the bucketed table; beyond, several buckets share one.
+MOST_BUCKETS = 4096
 
 #: Hashes that stand for the place before a text and the end of it.
 BEGIN, END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -390,8 +392,10 @@ def ngram_tables(docs: DataFrame, learnt: Column, id_column: str = "doc_id", tex
     dealt = rows.mapInArrow(_deal(buckets), "bucket int, target long, blob binary")
     added = dealt.groupBy("bucket").applyInArrow(_add_pairs(buckets), _STORED)
     # bucketed, so that the answers can come to the pairs without moving them
-    name = scratch_path(spark, "pairs").rsplit("/", 1)[-1].replace("-", "_")
-    added.write.bucketBy(max(1, min(buckets, 4096)), "bucket").option("compression", "none").saveAsTable(name)
+    name = scratch_table("pairs")
+    # what is in the blobs is compressed already
+    written = added.write.option("compression", "none")
+    written.bucketBy(min(buckets, MOST_BUCKETS), "bucket").saveAsTable(name)
     pairs = spark.table(name)
     path = scratch_path(spark, "words")
     questions = pairs.where("kind = 'questions'").select("target", "bucket", "blob")

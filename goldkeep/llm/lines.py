@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from goldkeep.operators.joins import attach
+from goldkeep.operators.joins import attach, fits_broadcast, heaviest
 from goldkeep.shared import settle
 
 #: Lines of a window.
@@ -60,10 +60,13 @@ def repeated_spans(
     counted = windows.groupBy("_hash").agg(
         F.min(place).alias("_first"), F.count(F.lit(1)).alias("_times")
     )
-    repeated = settle(counted.where("_times > 1").select("_hash", "_first"))
-    later = attach(windows, repeated, {"_hash": "_hash"}, how="inner").where(
-        place > F.col("_first")
-    )
+    repeated = settle(counted.where("_times > 1"))
+    lookup = repeated.select("_hash", "_first")
+    small = fits_broadcast(lookup)
+    # which windows are frequent is known from the counts
+    heavy = None if small else heaviest(repeated, ["_hash"], "_times")
+    found = attach(windows, lookup, {"_hash": "_hash"}, how="inner", small=small, heavy=heavy)
+    later = found.where(place > F.col("_first"))
     # overlapping and touching windows of a document form one span
     row = Window.partitionBy("_id", "_digest").orderBy("_at")
     before = F.lag("_at").over(row)
