@@ -37,6 +37,7 @@ from goldkeep.llm.words import (
     gram_places,
     lists,
     runs,
+    slices,
     split,
     word_hashes,
 )
@@ -105,7 +106,7 @@ def _count(keys, lengths: list[int]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Lookup(keys.value)
         total = np.zeros(len(lookup.keys), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             words = split(batch.column(0), NOT_ALPHANUMERIC, lower=True)
             for _, grams in _grams(words, word_hashes(words), lengths):
                 total += np.bincount(lookup(grams)[1], minlength=len(total))
@@ -179,7 +180,7 @@ def _mark(block, names: list[str], text: int):
         own = block.value
         lookup = _Lookup(own.key)
         item_of = pa.array(own.items, pa.string())
-        for batch in batches:
+        for batch in slices(batches):
             words = split(batch.column(text), NOT_ALPHANUMERIC, lower=True)
             start, window = own.find(words, word_hashes(words), lookup)
             edge = np.zeros(len(words.starts) + 1, np.int64)

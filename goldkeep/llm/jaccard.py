@@ -45,6 +45,7 @@ from goldkeep.llm.words import (
     gram_places,
     mix,
     runs,
+    slices,
     split,
     word_hashes,
 )
@@ -105,7 +106,7 @@ def _count_lists(n: int):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             hashes, _ = shingle_sets(batch.column(0), n)
             total += np.bincount((hashes & np.uint64(COUNTERS - 1)).view(np.int64), minlength=COUNTERS)
         if total.any():
@@ -132,14 +133,14 @@ def list_lengths(texts: DataFrame, n: int) -> np.ndarray:
     total = np.zeros((COUNTERS // COUNTER_ROW, COUNTER_ROW), np.int64)
     for row in added:  # a fixed number of rows
         total[row["slot"]] = np.frombuffer(row["counts"], np.int64)
-    return total.ravel()
+    return np.minimum(total.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _describe(lengths, n: int, percent: int):
     """Documents in; size, fingerprint and first shingles of each set out."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             hashes, first = shingle_sets(batch.column(1), n)
             size, one, two, head = [], [], [], []
             for a, b in zip(first[:-1].tolist(), first[1:].tolist()):

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldkeep.llm.words import LOWER, text_bytes
+from goldkeep.llm.blobs import pack_arrays, unpack_arrays
+from goldkeep.llm.words import LOWER, slices, text_bytes
 
 #: Most labelled rows of each class that the model is fitted on.
 SAMPLE = 2000
@@ -74,24 +75,37 @@ class Model:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = text_bytes(batch.column(0))
         data = LOWER[data]
-        grams = [
-            text_grams(data, offsets[i], offsets[i + 1]).astype("<u4").tobytes()
-            for i in range(batch.num_rows)
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(grams, pa.binary()), batch.column(1).cast(pa.int32())], ["grams", "label"]
+        grams = [text_grams(data, offsets[i], offsets[i + 1]) for i in range(batch.num_rows)]
+        blob = pack_arrays(
+            # ordered within a text, so their differences are small
+            steps=np.diff(np.concatenate([np.zeros(1, np.uint32), *grams])),
+            size=np.array([len(g) for g in grams], np.int32),
+            label=batch.column(1).to_numpy(zero_copy_only=False).astype(np.int8),
         )
+        yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["blob"])
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Log-count ratios and regression weights from the n-grams of labelled texts."""
-    y = labels.astype(float)
+def _texts(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, int]]:
+    """Distinct n-grams and label of each text."""
+    for blob in blobs:
+        part = unpack_arrays(blob)
+        ends = np.cumsum(part["size"])
+        grams = np.split(np.cumsum(part["steps"], dtype=np.uint32), ends[:-1])
+        yield from zip(grams, part["label"].tolist())
+
+
+def fit(blobs: list[bytes]) -> Model:
+    """Log-count ratios and regression weights from packed n-grams of labelled texts."""
     counts = np.zeros((2, FEATURES), np.int64)
-    for grams, label in zip(texts, labels):
+    labels, lengths = [], []
+    for grams, label in _texts(blobs):
         counts[label][grams] += 1  # the n-grams of a text are distinct
+        labels.append(label)
+        lengths.append(len(grams))
+    y = np.array(labels, float)
     clean, toxic = counts
     ratio = np.log((toxic + 1) / (toxic.sum() + FEATURES)) - np.log(
         (clean + 1) / (clean.sum() + FEATURES)
@@ -99,19 +113,20 @@ def fit(texts: list[np.ndarray], labels: np.ndarray) -> Model:
     ratio[(toxic + clean < MIN_TEXTS) | (np.abs(ratio) < MIN_RATIO)] = 0
     share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
     start = np.log(share / (1 - share))
-    clear = [grams[ratio[grams] != 0] for grams in texts]
+    clear = [grams[ratio[grams] != 0] for grams, _ in _texts(blobs)]
     size = np.array([len(c) for c in clear], np.int64)
     if y.min(initial=1) == y.max(initial=0) or not size.any():
         return Model(np.zeros(FEATURES), start)
-    of = np.repeat(np.arange(len(texts)), size)
+    texts = len(y)
+    of = np.repeat(np.arange(texts), size)
     used, column = np.unique(np.concatenate(clear), return_inverse=True)
-    value = ratio[used][column] / np.sqrt(np.array([len(t) for t in texts]))[of]
+    value = ratio[used][column] / np.sqrt(np.array(lengths))[of]
 
     def margins(w):
-        return np.bincount(of, value * w[column], minlength=len(texts))
+        return np.bincount(of, value * w[column], minlength=texts)
 
     def pull(residual):
-        return np.bincount(column, value * residual[of], minlength=len(used)) / len(texts)
+        return np.bincount(column, value * residual[of], minlength=len(used)) / texts
 
     # largest curvature by power iteration, then accelerated gradient steps
     direction = np.ones(len(used))
@@ -157,9 +172,8 @@ def train(
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     rows = texts.join(chosen, "_id").select("_text", "_label")
-    found = rows.mapInArrow(_features, "grams binary, label int").collect()
-    grams = [np.frombuffer(r["grams"], "<u4") for r in found]
-    return fit(grams, np.array([r["label"] for r in found], np.int64))
+    found = rows.mapInArrow(_features, "blob binary").collect()
+    return fit([row["blob"] for row in found])
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
@@ -169,7 +183,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_column: str = "text") ->
     text = kept.index(text_column)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             columns = [batch.column(i) for i in range(len(kept))]
             scores = pa.array(sent.value.score(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*columns, scores], [*kept, "toxicity"])

@@ -6,6 +6,7 @@ texts. Hashes are 64 bits; whoever needs exactness compares the bytes afterwards
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Bytes hashed at once; keeps the temporary arrays small whatever the texts' length.
 BLOCK = 1 << 20
+#: Rows that a task works on at once.
+SLICE = 1000
 
 
 def delimiters(*ranges: tuple[int, int]) -> np.ndarray:
@@ -86,6 +89,13 @@ class Words:
         return strings(self.data, self.starts, self.ends)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that a task's arrays stay small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column and where each text begins, the end of the last included.
     A null is an empty text."""
