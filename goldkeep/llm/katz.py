@@ -15,6 +15,10 @@ bucket its distinct pairs and, for each, the documents it occurs in.
 3. Every bucket computes its discounts and backoff weights, evaluates all occurrences and sends
    one sum per document to where the document's sums meet.
 
+A predecessor with a large share of all tokens is spread over several buckets by the token that
+follows; its counts, kept and backed-off probability are then added up over those buckets before
+step 3. There are at most ``2 * SPREAD * MOST_SPREAD`` of them.
+
 Pair and word counts stay in the written tables, see :func:`ngram_tables`.
 
 Good-Turing's formula can leave no or negative discounts where counts of counts are few or
@@ -39,8 +43,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from goldkeep.llm.blobs import groups_for, pack, pack_arrays, text_size, unpack, unpack_arrays
-from goldkeep.llm.words import WHITE_SPACE, mix, split, word_hashes
-from goldkeep.shared import scratch_path, scratch_table
+from goldkeep.llm.words import WHITE_SPACE, mix, runs, slices, split, word_hashes
+from goldkeep.shared import scratch_path, scratch_table, settle
 
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
@@ -49,6 +53,12 @@ BUCKET_BYTES = 24 << 20
 #: Most file groups of the bucketed table; beyond, several buckets share one.
 MOST_BUCKETS = 4096
 
+#: Texts of a part of the corpus; more of them share more pairs but need more memory.
+PART_ROWS = 5000
+#: A predecessor is spread from one part in ``SPREAD`` of a bucket's share on; shares of buckets
+#: are taken as if there were no more than ``MOST_SPREAD``.
+SPREAD, MOST_SPREAD = 4, 10_000
+
 #: Hashes that stand for the place before a text and the end of it.
 BEGIN, END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -71,13 +81,44 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return before, token, np.repeat(np.arange(len(counts), dtype=np.int32), counts)
 
 
-def _deal(buckets: int):
+def _count_heads(least: float):
+    """Texts in; predecessors with at least this share of a batch's tokens, counted, and the
+    number of tokens (head 0), out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, PART_ROWS):
+            before, _, _ = _tokens(batch.column(0))
+            head, n = _run_lengths(np.sort(before))
+            often = n >= least * len(before)
+            head = np.append(head[often], np.uint64(0)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(head), pa.array(np.append(n[often], len(before)))], ["head", "n"]
+            )
+
+    return count
+
+
+def frequent_heads(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of frequent predecessors, in order, and how many buckets each is spread over."""
+    shares = SPREAD * min(buckets, MOST_SPREAD)
+    # counting leaves out less than one part in 2 * shares, so none above 1 / shares is missed
+    counted = texts.mapInArrow(_count_heads(1 / (2 * shares)), "head long, n long")
+    counted = settle(counted.groupBy("head").agg(F.sum("n").alias("n")))
+    total = counted.where("head = 0").agg(F.max("n")).first()[0] or 0
+    found = counted.where((F.col("head") != 0) & (F.col("n") * (2 * shares) >= total)).collect()
+    head = np.array([r["head"] for r in found], np.int64).view(np.uint64)
+    parts = 1 + np.array([r["n"] for r in found], np.int64) * shares // max(1, total)
+    order = np.argsort(head)
+    return head[order], parts[order]
+
+
+def _deal(buckets: int, frequent):
     """Texts in, their pairs by bucket out; ``target`` is the part of the corpus. The ids of a
     part travel to a bucket with a negative number."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in slices(batches, PART_ROWS):
             before, token, text = _tokens(batch.column(1))
             learnt = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             order = np.lexsort((token, before))
@@ -88,7 +129,11 @@ def _deal(buckets: int):
             at = np.flatnonzero(new)
             times = np.diff(at, append=len(token))
             train = np.add.reduceat(learnt[text], at, dtype=np.int64) if len(at) else at
-            bucket = _bucket(before[at], buckets)
+            bucket = _bucket(before[at], token[at], buckets, *frequent.value)
+            order = np.argsort(bucket, kind="stable")
+            at, times, train, bucket = at[order], times[order], train[order], bucket[order]
+            text = text[runs(at, times)]
+            place = np.cumsum(times) - times
             used, first = np.unique(bucket, return_index=True)
             ends = np.append(first[1:], len(at))
             blobs = []
@@ -103,7 +148,7 @@ def _deal(buckets: int):
                         second=second.astype(np.int32),
                         times=times[a:b].astype(np.int32),
                         train=train[a:b].astype(np.int32),
-                        docs=text[at[a] : at[a] + int(times[a:b].sum())].astype(np.int32),
+                        docs=text[place[a] : place[b - 1] + times[b - 1]].astype(np.int32),
                     )
                 )
             tokens = np.bincount(text, minlength=batch.num_rows)
@@ -122,9 +167,23 @@ def _deal(buckets: int):
     return deal
 
 
-def _bucket(head: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket of a hashed predecessor; in the order of the hashes."""
-    return ((head >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+def _bucket(
+    head: np.ndarray, word: np.ndarray, buckets: int, frequent: np.ndarray, parts: np.ndarray
+) -> np.ndarray:
+    """Bucket of pairs of hashes: that of the first, or one of several for a frequent first."""
+    bucket = ((head >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    at, place = _find(head, frequent)
+    bucket[at] += (mix(word[at]) % parts[place].astype(np.uint64)).astype(np.int64)
+    return bucket % buckets
+
+
+def _find(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ``values`` are in the table ``ordered``, and where there."""
+    place = np.searchsorted(ordered, values)
+    found = place < len(ordered)
+    found[found] = ordered[place[found]] == values[found]
+    at = np.flatnonzero(found)
+    return at, place[at]
 
 
 def _steps(ordered: np.ndarray) -> np.ndarray:
@@ -294,25 +353,60 @@ class Model:
         """Log probability by add-one counts."""
         return np.log10((count + 1) / (self.tokens + self.types + 1))
 
-    def pair_probability(
+    def head_sums(
         self, count: np.ndarray, head_of: np.ndarray, heads: int, word: np.ndarray
     ) -> np.ndarray:
-        """Probability of each pair; ``head_of`` numbers its first word, ``word`` is the
-        probability of its second word alone. All pairs of a first word have to be there."""
-        total = np.bincount(head_of, count, minlength=heads)[head_of]
-        seen = count > 0
+        """Of each first word: tokens after it in training, discounted ones, and the probability
+        of those tokens alone. ``head_of`` numbers the first word of a pair, ``word`` is the
+        probability of its second word alone."""
+        discounted = self.pair_discount[np.minimum(count, DISCOUNTED + 1)] * count
+        parts = (count, discounted, np.where(count > 0, word, 0))
+        return np.stack([np.bincount(head_of, part, minlength=heads) for part in parts])
+
+    def pair_probability(
+        self, count: np.ndarray, head_of: np.ndarray, sums: np.ndarray, word: np.ndarray
+    ) -> np.ndarray:
+        """Probability of each pair, given the sums over all pairs of its first word."""
+        total, discounted, seen_alone = sums[:, head_of]
         kept = self.pair_discount[np.minimum(count, DISCOUNTED + 1)] * count / np.maximum(total, 1)
-        left = 1 - np.bincount(head_of, kept, minlength=heads)[head_of]
-        unseen = 1 - np.bincount(head_of, np.where(seen, word, 0), minlength=heads)[head_of]
+        left = 1 - discounted / np.maximum(total, 1)
         # nothing was discounted after this word
         full = (left < 1e-12) & (total > 0)
         kept = np.where(full, kept * total / (total + 1), kept)
         left = np.where(full, 1 / (total + 1), left)
-        backoff = np.where(total > 0, left / np.maximum(unseen, 1e-300), 1.0)
-        return np.where(seen, kept, backoff * word)
+        backoff = np.where(total > 0, left / np.maximum(1 - seen_alone, 1e-300), 1.0)
+        return np.where(count > 0, kept, backoff * word)
+
+
+def _counts(pairs: dict, answers: pa.Table, model: Model):
+    """Count, first word and count of the second word of the pairs of a bucket."""
+    told = answers.sort_by("target")["blob"].to_pylist()
+    count = np.concatenate([unpack_arrays(b)["count"] for b in told])
+    head_of = np.repeat(np.arange(len(pairs["head"])), pairs["head_pairs"])
+    word_count = count[pairs["second"]]
+    own = pairs["count"]
+    sums = model.head_sums(own, head_of, len(pairs["head"]), model.word_probability(word_count))
+    return own, head_of, word_count, sums
+
+
+def _spread_sums(model, frequent):
+    """Pairs and answers of a bucket in; the bucket's part of the sums of frequent heads out."""
+
+    def add(stored: pa.Table, answers: pa.Table) -> pa.Table:
+        names = ["head", "total", "discounted", "alone"]
+        head, sums = np.zeros(0, np.uint64), np.zeros((3, 0))
+        for blob in stored["blob"].to_pylist():
+            pairs = unpack_arrays(blob)
+            *_, sums = _counts(pairs, answers, model.value)
+            head = np.cumsum(pairs["head"])
+            at, _ = _find(head, frequent.value[0])
+            head, sums = head[at], sums[:, at]
+        return pa.table([pa.array(head.view(np.int64)), *map(pa.array, sums)], names=names)
+
+    return add
 
 
-def _evaluate(model):
+def _evaluate(model, spread):
     """Counts, occurrences and answers of a bucket in; sums per document, by part, out."""
 
     def evaluate(stored: pa.Table, answers: pa.Table) -> pa.Table:
@@ -320,15 +414,13 @@ def _evaluate(model):
         pairs = [unpack_arrays(b) for kind, _, b in rows if kind == "pairs"]
         if not pairs:
             return _rows([])
-        answers = answers.sort_by("target")["blob"].to_pylist()
-        count = np.concatenate([unpack_arrays(b)["count"] for b in answers])
-        one = pairs[0]
-        heads = len(one["head"])
-        head_of = np.repeat(np.arange(heads), one["head_pairs"])
-        word_count = count[one["second"]]
         known = model.value
+        own, head_of, word_count, sums = _counts(pairs[0], answers, known)
+        frequent, over_all = spread.value
+        at, place = _find(np.cumsum(pairs[0]["head"]), frequent)
+        sums[:, at] = over_all[:, place]
         probability = known.pair_probability(
-            one["count"], head_of, heads, known.word_probability(word_count)
+            own, head_of, sums, known.word_probability(word_count)
         )
         score, base = np.log10(probability), known.base(word_count)
         out = []
@@ -381,7 +473,8 @@ def _statistics(rows: DataFrame, level: int, width: int) -> np.ndarray:
 
 
 def ngram_tables(docs: DataFrame, learnt: Column, id_column: str = "doc_id", text_column: str = "text"):
-    """The written tables of pairs (bucketed by predecessor) and of words."""
+    """The written tables of pairs (bucketed by predecessor) and of words, and which
+    predecessors are spread over several buckets."""
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_column).alias("id"),
@@ -389,7 +482,8 @@ def ngram_tables(docs: DataFrame, learnt: Column, id_column: str = "doc_id", tex
         F.coalesce(learnt, F.lit(False)).alias("learnt"),
     )
     buckets = groups_for(text_size(docs, text_column), BUCKET_BYTES)
-    dealt = rows.mapInArrow(_deal(buckets), "bucket int, target long, blob binary")
+    frequent = spark.sparkContext.broadcast(frequent_heads(rows.select("text"), buckets))
+    dealt = rows.mapInArrow(_deal(buckets, frequent), "bucket int, target long, blob binary")
     added = dealt.groupBy("bucket").applyInArrow(_add_pairs(buckets), _STORED)
     # bucketed, so that the answers can come to the pairs without moving them
     name = scratch_table("pairs")
@@ -401,7 +495,7 @@ def ngram_tables(docs: DataFrame, learnt: Column, id_column: str = "doc_id", tex
     questions = pairs.where("kind = 'questions'").select("target", "bucket", "blob")
     counted = questions.groupBy("target").applyInArrow(_add_words, _STORED)
     counted.write.option("compression", "none").parquet(path)
-    return pairs, spark.read.schema(_STORED).parquet(path)
+    return pairs, spark.read.schema(_STORED).parquet(path), frequent
 
 
 def score_texts(
@@ -410,17 +504,31 @@ def score_texts(
     """``id``, ``learnt``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and
     ``score`` of every text; the model learns from the rows of which ``learnt`` is true."""
     spark = docs.sparkSession
-    pairs, words = ngram_tables(docs, learnt, id_column, text_column)
+    pairs, words, frequent = ngram_tables(docs, learnt, id_column, text_column)
     of_pairs = _statistics(pairs, 2, DISCOUNTED + 2)
     of_words = _statistics(words, 1, DISCOUNTED + 4)
     model = Model.of(of_pairs, of_words[: DISCOUNTED + 2], *(int(n) for n in of_words[-2:]))
     sent = spark.sparkContext.broadcast(model)
-    stored = pairs.where("kind in ('pairs', 'occurrences')")
-    answers = words.where("kind = 'answers'")
+    answers = words.where("kind = 'answers'").groupBy("bucket")
+    parts = (
+        pairs.where("kind = 'pairs'")
+        .groupBy("bucket")
+        .cogroup(answers)
+        .applyInArrow(
+            _spread_sums(sent, frequent), "head long, total double, discounted double, alone double"
+        )
+    )
+    added = parts.groupBy("head").agg(*[F.sum(c).alias(c) for c in ("total", "discounted", "alone")])
+    # not more than there are frequent predecessors
+    found = sorted(added.collect(), key=lambda r: r["head"] % (1 << 64))
+    head = np.array([r["head"] for r in found], np.int64).view(np.uint64)
+    over_all = np.array([r[1:] for r in found], float).reshape(-1, 3).T
+    spread = spark.sparkContext.broadcast((head, over_all))
     sums = (
-        stored.groupBy("bucket")
-        .cogroup(answers.groupBy("bucket"))
-        .applyInArrow(_evaluate(sent), _STORED)
+        pairs.where("kind in ('pairs', 'occurrences')")
+        .groupBy("bucket")
+        .cogroup(answers)
+        .applyInArrow(_evaluate(sent, spread), _STORED)
     )
     ids = pairs.where("kind = 'ids'")
     kind = docs.schema[id_column].dataType
