@@ -14,13 +14,13 @@ all rows; it is measured on the data that are searched. A query that finds fewer
 within the radius is searched again with all rows as candidates.
 
 Every row is indexed, in the task that reads it; queries go to the tasks in blocks of at most
-``BLOCK``. Of equal vectors only the k + 1 smallest ids can be among the nearest, so no more are
-kept.
+``BLOCK``. Of equal vectors only the k + 1 smallest distinct ids, and k rows of each, can be among
+the nearest, so no more are kept.
 
 Results for unusual input: vectors that are null, zero, hold null or non-finite components, or
 have another length than most, take no part; ties fall to the smaller id; rows that share the
-query's id are not its neighbours; null ids take no part; an empty table gives no rows; other
-columns are ignored.
+query's id are not its neighbours; other rows that repeat an id are ranked one by one; null ids
+take no part; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -183,9 +183,13 @@ def nearest(
     rows, dims = usable(vectors, id_column, vector_column)
     if not dims:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    # of equal vectors the first k + 1 are enough; limited before the shuffle
-    copies = Window.partitionBy("vector").orderBy("id")
-    rows = settle(rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).drop("copy"))
+    # a query passes over its own id: of equal vectors k rows of each of the first k + 1 ids are
+    # enough; both limits apply before the shuffle
+    repeats = Window.partitionBy("vector", "id").orderBy("id")
+    rows = rows.withColumn("copy", F.row_number().over(repeats)).where(F.col("copy") <= k)
+    equal = Window.partitionBy("vector").orderBy("id")
+    rows = rows.withColumn("copy", F.dense_rank().over(equal)).where(F.col("copy") <= k + 1)
+    rows = settle(rows.drop("copy"))
     queries = settle(rows_of_queries(vectors, is_query, id_column, vector_column, dims))
 
     longest, count = rows.agg(

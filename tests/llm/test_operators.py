@@ -443,6 +443,20 @@ def test_neighbours(spark):
     assert neighbours.nearest(few, F.lit(False)).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    same = [3.0, -2.0, 1.0, 3.0, 2.0, -3.0, 1.0, 2.0]
+    rows = [(i, rng.integers(-3, 4, 8).astype(float).tolist()) for i in range(100, 140)]
+    # one id in more rows than are asked for, and larger ids with the same vector
+    rows += [(0, same)] * 30 + [(7, same), (8, same)] + [(10, same)] * 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = neighbours.nearest(df, F.col("id").isin(0, 10), 20)
+    got = {(r.query_id, r["rank"], r.vec_id) for r in found.collect()}
+    assert {i for q, _, i in got if q == 0} >= {7, 8, 10}
+    assert {(q, n, i) for q, n, i in brute(rows, 20) if q in (0, 10) and n <= 5} <= got
+    assert len(got) == 40
+
+
 def test_probing_finds_every_code_within_the_radius():
     rng = np.random.default_rng(5)
     vectors = rng.standard_normal((500, 16))
