@@ -7,8 +7,9 @@ logistic regression. Only n-grams with a clear ratio carry a weight; all others
 length alone.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE`` of each class, chosen by
-a hash of their id); scoring reads every text once and shuffles nothing. No other column than
-the text enters a score.
+a hash of their id). Rows are weighed so that toxic ones make up ``PRIOR`` of the whole, whatever
+their share of the labels or of the sample: a score means the same for few labels and for many.
+Scoring reads every text once and shuffles nothing. No other column than the text enters a score.
 
 Results for unusual input: a null or empty text scores as one without n-grams; labels that are
 null are not learnt from; with labels of one class only, every score is that of the class
@@ -31,6 +32,8 @@ from goldkeep.llm.words import LOWER, slices, text_bytes
 
 #: Most labelled rows of each class that the model is fitted on.
 SAMPLE = 2000
+#: Share of toxic texts that scores are meant for.
+PRIOR = 0.1
 #: Lengths of the n-grams in bytes, and how many hashed n-grams are told apart.
 ORDERS = (5, 6)
 FEATURES = 1 << 20
@@ -97,8 +100,9 @@ def _texts(blobs: list[bytes]) -> Iterator[tuple[np.ndarray, int]]:
         yield from zip(grams, part["label"].tolist())
 
 
-def fit(blobs: list[bytes]) -> Model:
-    """Log-count ratios and regression weights from packed n-grams of labelled texts."""
+def fit(blobs: list[bytes], prior: float = PRIOR) -> Model:
+    """Log-count ratios and regression weights from packed n-grams of labelled texts, of which
+    the toxic ones together weigh ``prior`` of all."""
     counts = np.zeros((2, FEATURES), np.int64)
     labels, lengths = [], []
     for grams, label in _texts(blobs):
@@ -111,13 +115,16 @@ def fit(blobs: list[bytes]) -> Model:
         (clean + 1) / (clean.sum() + FEATURES)
     )
     ratio[(toxic + clean < MIN_TEXTS) | (np.abs(ratio) < MIN_RATIO)] = 0
-    share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
+    one_class = y.min(initial=1) == y.max(initial=0)
+    share = prior if len(y) and not one_class else y.max(initial=0)
+    share = float(np.clip(share, 1e-6, 1 - 1e-6))
     start = np.log(share / (1 - share))
     clear = [grams[ratio[grams] != 0] for grams, _ in _texts(blobs)]
     size = np.array([len(c) for c in clear], np.int64)
-    if y.min(initial=1) == y.max(initial=0) or not size.any():
+    if one_class or not size.any():
         return Model(np.zeros(FEATURES), start)
     texts = len(y)
+    weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     of = np.repeat(np.arange(texts), size)
     used, column = np.unique(np.concatenate(clear), return_inverse=True)
     value = ratio[used][column] / np.sqrt(np.array(lengths))[of]
@@ -131,7 +138,7 @@ def fit(blobs: list[bytes]) -> Model:
     # largest curvature by power iteration, then accelerated gradient steps
     direction = np.ones(len(used))
     for _ in range(20):
-        direction = pull(margins(direction))
+        direction = pull(weight * margins(direction))
         curvature = np.linalg.norm(direction)
         direction /= curvature
     step = 1 / (0.3 * curvature + PENALTY)
@@ -139,6 +146,7 @@ def fit(blobs: list[bytes]) -> Model:
     b = b_ahead = start
     for i in range(ROUNDS):
         residual = 1 / (1 + np.exp(-np.clip(margins(ahead) + b_ahead, -500, 500))) - y
+        residual *= weight
         new = ahead - step * (pull(residual) + PENALTY * ahead)
         new_b = b_ahead - 2 * residual.mean()
         momentum = i / (i + 3)
@@ -157,6 +165,7 @@ def train(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
+    prior: float = PRIOR,
 ) -> Model:
     """A model from the texts whose ids ``labels`` names and ``learnt`` admits."""
     known = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull())
@@ -173,7 +182,7 @@ def train(
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     rows = texts.join(chosen, "_id").select("_text", "_label")
     found = rows.mapInArrow(_features, "blob binary").collect()
-    return fit([row["blob"] for row in found])
+    return fit([row["blob"] for row in found], prior)
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:

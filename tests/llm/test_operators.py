@@ -147,6 +147,20 @@ def test_toxicity_of_held_out_rows(spark):
     assert np.mean([t >= 0.7 for t in toxic]) > 0.5 and np.mean([c >= 0.7 for c in clean]) < 0.01
 
 
+@pytest.mark.parametrize("times", [1, 9])
+def test_toxicity_does_not_depend_on_the_share_of_labels(monkeypatch, times):
+    monkeypatch.setattr(toxicity, "FEATURES", 1 << 12)
+    plain_text, marked = "an ordinary day at the harbour", "an ordinary day at the villainous harbour"
+    clean = [plain_text] * 180 + [marked] * 20
+    texts = [marked] * 160 + [plain_text] * 40 + clean * times
+    batch = pa.record_batch({"text": texts, "label": [1] * 200 + [0] * 200 * times})
+    blobs = [b for out in toxicity._features(iter([batch])) for b in out.column(0).to_pylist()]
+    with_mark, without = toxicity.fit(blobs).score(pa.array([marked, plain_text]))
+    # one text in ten is toxic: Bayes on 80 % against 10 %, and 20 % against 90 %
+    assert with_mark == pytest.approx(0.08 / 0.17, abs=0.05)
+    assert without == pytest.approx(0.02 / 0.83, abs=0.02)
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(5, 1), (4, 0), (7, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)
