@@ -156,6 +156,80 @@ select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
 from docs left join removed using (doc_id) left join kept using (doc_id)
 """
 
+#: Canonical links and refreshing redirects with whole addresses, as a pattern finds them.
+URLS = rf"""
+with recursive rules(rule, host, path, verdict) as (values
+    ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+    ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+tags as (select url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) as tag from pages),
+links as (
+    select url as a, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) as b
+    from tags where regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?canonical')
+    union all
+    select url, regexp_extract(tag, '(?is);\s*url\s*=\s*([^"''\s>]+)', 1)
+    from tags where regexp_matches(tag, '(?is)^<meta\b.*http-equiv\s*=\s*["'']?refresh')),
+urls as (
+    select url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') as host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
+           regexp_replace(url, '(?s)#.*$', '') as node
+    from (select url from pages union select a from links union select b from links)),
+ruled as (
+    select url, arg_max(struct_pack(rule := rule, verdict := rules.verdict), length(rule)) as best
+    from urls join rules on (urls.host = rules.host or ends_with(urls.host, '.' || rules.host))
+        and starts_with(urls.path, rules.path)
+    group by url),
+edges as (
+    select x.node as a, y.node as b from links join urls x on links.a = x.url join urls y on links.b = y.url
+    union select y.node, x.node from links join urls x on links.a = x.url join urls y on links.b = y.url),
+blocked as (
+    select node from urls join ruled using (url) where best.verdict = 'block'
+        and node in (select a from edges)
+    union select edges.b from blocked join edges on blocked.node = edges.a)
+select page_id, coalesce(host, '') as host, coalesce(path, '') as path, best.rule as rule,
+       coalesce(best.verdict, case when node in (select node from blocked) then 'block' else 'allow' end)
+           as verdict
+from pages left join urls using (url) left join ruled using (url)
+"""
+
+DIVERGENCE = rf"""
+with docs as (
+    select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all({lowered("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+    from documents),
+words as (select row, lang, source, unnest(w) as item from docs),
+kept as (select lang, item from words group by lang, item having count(distinct row) >= 30),
+counts as (
+    select lang, source, item, count(*) as c from words semi join kept using (lang, item)
+    group by all),
+groups as (
+    select distinct lang, source from docs union all select distinct lang, null from docs),
+sizes as (select lang, count(*) as v from kept group by lang),
+given as (
+    select lang, source, item, c from counts
+    union all select lang, null, item, sum(c) from counts group by lang, item),
+totals as (select lang, source, sum(c) as n from given group by lang, source),
+shares as (
+    select g.lang, g.source, k.item, coalesce(c.c, 0) as c,
+           1 + (1000000000::hugeint * (coalesce(c.c, 0) + 5)) // (coalesce(n, 0) + 5 * v) as p
+    from groups g join kept k using (lang) join sizes using (lang)
+    left join given c on c.lang = g.lang and c.source is not distinct from g.source and c.item = k.item
+    left join totals t on t.lang = g.lang and t.source is not distinct from g.source),
+pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sum(abs(x.p - y.p)), 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join shares x on x.lang = a.lang and x.source = a.source
+    left join shares y on y.lang = b.lang and y.source = b.source and y.item = x.item
+    group by all),
+terms as (
+    select x.lang, x.source, 'term' as part, x.item, (x.p - y.p)::bigint as value
+    from shares x join shares y on x.lang = y.lang and x.item = y.item and y.source is null
+    where x.source is not null and x.c > 0 and x.p > y.p)
+select lang, source, part, item, value, rank::int as rank from (
+    select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+    from (select * from pairs union all select * from terms))
+where part = 'pair' or rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op3_chat_format": CHAT,
@@ -163,4 +237,6 @@ ORACLE: dict[str, str] = {
     "op5_ngram_jaccard": JACCARD,
     "op8_sharding": SHARDS,
     "op10_substring_dedup": SUBSTRINGS,
+    "op12_url_filters": URLS,
+    "op13_source_divergence": DIVERGENCE,
 }

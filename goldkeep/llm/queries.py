@@ -5,7 +5,29 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from goldkeep.llm import chat, decontaminate, jaccard, katz, lines, neighbours, packing, sharding, substrings, toxicity
+from goldkeep.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    divergence,
+    jaccard,
+    katz,
+    lines,
+    neighbours,
+    packing,
+    sharding,
+    substrings,
+    toxicity,
+    urls,
+)
+
+#: Hosts and beginnings of paths, and what becomes of them.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
 
 
 def table(spark, folder, name):
@@ -135,6 +157,35 @@ def op10_substring_dedup(spark, folder):
     )
 
 
+def op11_alignment(spark, folder):
+    aligned = alignment.align_texts(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return aligned.select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),
+    )
+
+
+def op12_url_filters(spark, folder):
+    pages = table(spark, folder, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urls.judge(pages.select("page_id", "url"), rules, urls.page_links(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_source_divergence(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -146,4 +197,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_alignment": op11_alignment,
+    "op12_url_filters": op12_url_filters,
+    "op13_source_divergence": op13_source_divergence,
 }

@@ -2,7 +2,9 @@
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 ASCII = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
 
@@ -139,3 +141,108 @@ class Katz:
     def score(self, text):
         t = self.tokens(text)
         return sum(math.log10(self.pair(a, b)) for a, b in zip(t, t[1:]))
+
+
+def aligned(docs, a, b, spell_a, spell_b):
+    """[(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)] of whole texts.
+    ``a`` and ``b`` encode a text, ``spell_a`` and ``spell_b`` give a token's bytes."""
+    texts, links = [], Counter()
+    for i, text in docs:
+        want = (" " + (text or "")).encode()
+        ids_a, ids_b = (a(" " + text), b(text)) if text else ([], [])
+        spelt = [[f(t) for t in ids] for f, ids in ((spell_a, ids_a), (spell_b, ids_b))]
+        if any(b"".join(s) != want for s in spelt):
+            ids_a = ids_b = []
+            spelt = [[], []]
+        ends = [list(accumulate(map(len, s))) for s in spelt]
+        own = [(ids_a[x], ids_b[y]) for x, e in enumerate(ends[0]) for y in [index(ends[1], e)] if y is not None]
+        cuts = sorted(set(ends[0]) & set(ends[1]))
+        groups = [
+            [ids[bisect_right(end, low) : bisect_right(end, high)] for ids, end in zip((ids_a, ids_b), ends)]
+            for low, high in zip([0, *cuts], cuts)
+        ]
+        texts.append((i, ids_a, ids_b, groups, own))
+        links.update(own)
+    most = Counter()
+    for (_, y), n in links.items():
+        most[y] = max(most[y], n)
+    return [
+        (
+            i, len(ids_a), len(ids_b), len(groups), len(own),
+            sum(links[p] == most[p[1]] for p in own), sum(links[p] for p in own),
+            ";".join("|".join(",".join(map(str, side)) for side in g) for g in groups),
+        )
+        for i, ids_a, ids_b, groups, own in texts
+    ]
+
+
+def index(values, value):
+    at = bisect_left(values, value)
+    return at if at < len(values) and values[at] == value else None
+
+
+def rule_of(url, rules):
+    """Host, path and the longest fitting rule of an address."""
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.match("[^/?#]*", rest)[0]
+    path = re.match("[^?#]*", rest[len(host) :])[0]
+    host = host.translate(ASCII)
+    fits = [r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+    return host, path, max(fits, key=lambda r: len(r[0] + r[1]), default=None) if rest else None
+
+
+def verdicts(urls, rules, links):
+    """Verdicts of ``urls``; ``links`` are pairs of addresses."""
+    def node(url):
+        head = re.match("(?s).*?://[^/?#]*", url)[0]
+        return head.translate(ASCII) + url[len(head) :].split("#")[0]
+
+    reach = defaultdict(set)
+    for a, b in links:
+        reach[node(a)].add(node(b))
+        reach[node(b)].add(node(a))
+    blocked = {
+        node(u)
+        for u in [*urls, *(u for pair in links for u in pair)]
+        if u and "://" in u and (rule_of(u, rules)[2] or " ")[-1] == "block" and node(u) in reach
+    }
+    todo = list(blocked)
+    while todo:
+        for other in reach[todo.pop()] - blocked:
+            blocked.add(other)
+            todo.append(other)
+    out = []
+    for url in urls:
+        rule = rule_of(url, rules)[2]
+        alias = url is not None and "://" in url and node(url) in blocked
+        out.append(rule[2] if rule else "block" if alias else "allow")
+    return out
+
+
+def divergence(docs, least, top):
+    """Rows of the audit of (lang, source, text)."""
+    docs = [tuple(v or "" for v in d) for d in docs]
+    found = [(lang, s, re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.translate(ASCII))) for lang, s, t in docs]
+    out = []
+    for lang in {d[0] for d in docs}:
+        seen = Counter(w for other, _, words in found if other == lang for w in set(words))
+        kept = sorted(w for w, n in seen.items() if n >= least)
+        counts = {s: Counter() for other, s, _ in docs if other == lang}
+        for other, s, words in found:
+            if other == lang:
+                counts[s].update(w for w in words if w in set(kept))
+
+        def shares(c):
+            n, v = sum(c.values()), len(kept)
+            return {w: 1 + 10**9 * (c[w] + 5) // (n + 5 * v) for w in kept}
+
+        usual = shares(sum(counts.values(), Counter()))
+        own = {s: shares(c) for s, c in counts.items()}
+        for s in counts:
+            pairs = [(sum(abs(own[s][w] - own[o][w]) for w in kept), o) for o in counts if o != s]
+            terms = [(own[s][w] - usual[w], w) for w in kept if counts[s][w] and own[s][w] > usual[w]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                items.sort(key=lambda x: (-x[0], x[1].encode()))
+                ranked = [(lang, s, part, item, value, r) for r, (value, item) in enumerate(items, 1)]
+                out += ranked if part == "pair" else ranked[:top]
+    return out
