@@ -206,7 +206,7 @@ def corpus():
 @pytest.mark.parametrize("small", [False, True])
 def test_audit(spark, monkeypatch, small):
     if small:  # several transducers, blocks, hand-overs and tiles
-        for name, value in (("SHARD_TERMS", 2), ("BLOCK_BYTES", 1000), ("COUNTED", 10), ("TILE_SOURCES", 2), ("TILE_TERMS", 3)):
+        for name, value in (("SHARD_TERMS", 2), ("BLOCK_BYTES", 9000), ("COUNTED", 10), ("TILE_SOURCES", 2), ("TILE_TERMS", 3)):
             monkeypatch.setattr(divergence, name, value)
     docs = corpus()
     frame = spark.createDataFrame(docs, "lang string, source string, text string").repartition(5)
