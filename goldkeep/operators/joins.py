@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,26 +61,31 @@ def heavy_limit(spark: SparkSession) -> int:
 
 
 def heavy_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The most frequent keys; ties fall by key, so the list is repeatable."""
+    """Keys that hold at least one part in :func:`heavy_limit` of all rows."""
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return heaviest(counted, keys, "_rows")
+    return heaviest(counted, keys, "_rows", rows.count())
 
 
-def heaviest(counted: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """The most frequent keys of a table that has each key once, with its ``count``."""
-    top = counted.orderBy(F.desc(count), *keys).limit(heavy_limit(counted.sparkSession))
-    return settle(top.where(F.col(count) > 1).select(*keys))
+def heaviest(counted: DataFrame, keys: list[str], count: str, total: int | None = None) -> DataFrame:
+    """The same from a table that has each key once with its ``count``; ``total`` is their sum.
+
+    Keys are compared with a share of the total and not with one another, so nothing is sorted,
+    and no more than :func:`heavy_limit` keys can have such a share.
+    """
+    if total is None:
+        total = counted.agg(F.sum(count)).first()[0] or 0
+    least = max(2, -(-total // heavy_limit(counted.sparkSession)))
+    return settle(counted.where(F.col(count) >= least).select(*keys))
 
 
 def heavy_keys_each(rows: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
-    """The most frequent keys of every column, all counted in one pass over ``rows``."""
-    every = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("k")) for c in columns])
-    counted = rows.select(F.inline(every)).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("c").orderBy(F.desc("n"), "k")
-    ranked = counted.where("n > 1").withColumn("_place", F.row_number().over(order))
-    top = settle(ranked.where(F.col("_place") <= heavy_limit(rows.sparkSession)))
-    types = {f.name: f.dataType for f in rows.schema.fields}
-    return {c: top.where(F.col("c") == c).select(F.col("k").cast(types[c]).alias(c)) for c in columns}
+    """The heavy keys of every column, each counted on that column alone."""
+    total = rows.count()
+    found = {}
+    for column in columns:
+        counted = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+        found[column] = heaviest(counted, [column], "_rows", total)
+    return found
 
 
 def attach(
