@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from goldkeep.functions.patterns import wildcard_regex
 from goldkeep.functions.tags import repeated, tags_to_map
 from goldkeep.operators import governance as g
+from goldkeep.operators import rules
 
 AS_OF = datetime(2024, 2, 1)
 GOOD = "Owner=a&Classification=Internal&Domain=Finance"
@@ -155,3 +156,74 @@ prefixes:
 
 def test_object_key(spark):
     assert spark.range(1).select(g.object_key(F.lit("vault"), F.lit("data.json"))).first()[0] == "vault/data.json"
+
+
+# --- rules as tables -------------------------------------------------------------------
+
+RULE = "rule_id string, prefix string, purpose string, days int, enabled boolean, principal string, action string, resource string"
+
+
+def rule(prefix, days=1, purpose="p", enabled=True, principal="*", action="s3:Get*", resource=None, rule_id=None):
+    return (rule_id or f"r{days}", prefix, purpose, days, enabled, principal, action, resource)
+
+
+KEYS = ["vault/scans/1", "vault/scratch/2", "vault/", "v", "", "other", None, "vault/scans/1", "sn\\Eow/(x).[y]"]
+
+
+@pytest.fixture(scope="module")
+def keyed(spark):
+    held = [(k, AS_OF - timedelta(days=i * 10), i) for i, k in enumerate(KEYS)]
+    return spark.createDataFrame(held, "key string, ts timestamp, size int")
+
+
+def test_longest_prefix_of_a_table(spark, keyed, join_path):
+    given = [rule("vault/", purpose="b"), rule("vault/", purpose="a"), rule("vault/sc"), rule("", purpose="all"), rule(None)]
+    got = {r.key: (r.prefix, r.purpose) for r in rules.longest_prefix(keyed, spark.createDataFrame(given, RULE)).collect()}
+    assert got == {
+        "vault/scans/1": ("vault/sc", "p"), "vault/scratch/2": ("vault/sc", "p"), "vault/": ("vault/", "a"), "v": ("", "all"),
+        "": ("", "all"), "other": ("", "all"), KEYS[-1]: ("", "all"), None: (None, None),
+    }
+    none = rules.longest_prefix(keyed, spark.createDataFrame([], RULE)).collect()
+    assert len(none) == len(set(KEYS)) and all(r.prefix is None for r in none)
+
+
+def test_retention_by_a_table_equals_the_document(spark, keyed, join_path):
+    given = [rule("vault/", 65), rule("vault/sc", 5, rule_id="z"), rule("vault/sc", 5, rule_id="a"), rule("vault/scans/", 90),
+             rule("", 1, enabled=False), rule("v", 20), rule("other", 50)]
+    listed = [g.RetentionRule(r[0], r[1], r[3], r[4]) for r in given]
+    want = rows(g.retention_expired(keyed, listed, AS_OF))
+    got = rules.retention_expired_by(keyed, spark.createDataFrame(given, RULE), AS_OF)
+    assert rows(got) == want and {r.rule_id for r in got.collect()} == {"a", "r20"}
+    assert rules.retention_expired_by(keyed, spark.createDataFrame([], RULE), AS_OF).count() == 0
+
+
+def test_grants_of_a_table_equal_the_document(spark, keyed, join_path):
+    given = [
+        rule("", resource="b/vault/s*1"), rule("", resource="b/?"), rule("", resource="b/vault/scratch/*", principal="ann"),
+        rule("", resource="b/vault/*", action="s3:Put*"), rule("", resource=None), rule("", resource="b/sn\\Eow/(x).[y]"),
+        rule("", resource="b/vault/s?ans/*"),
+    ]
+    table = spark.createDataFrame(given, RULE)
+    listed = [g.Grant("s", r[5], r[6], r[7]) for r in given if r[7] is not None]
+    for who in ("*", "ann"):
+        want = {r.key: bool(r.allowed) for r in g.grant_check(keyed, listed, "s3:GetObject", "b/", who).collect()}
+        got = rules.grant_check_by(keyed, table, "s3:GetObject", "b/", who).collect()
+        assert {r.key: r.allowed for r in got} == want and len(got) == len(set(KEYS))
+    assert not any(r.allowed for r in rules.grant_check_by(keyed, table.limit(0), "s3:GetObject").collect())
+
+
+def test_plans_do_not_grow_with_the_rules(spark, keyed):
+    def plan(n):
+        many = spark.range(n).selectExpr(
+            "concat('r', id) rule_id", "concat('vault/', id + 1000) prefix", "'p' purpose", "1 days", "true enabled",
+            "'*' principal", "'s3:Get*' action", "concat('vault/', id + 1000, '*') resource",
+        )
+        found = (
+            rules.longest_prefix(keyed, many), rules.retention_expired_by(keyed, many, AS_OF),
+            rules.grant_check_by(keyed, many, "s3:GetObject"),
+        )
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in found]
+        assert not any("NestedLoop" in p or "Cartesian" in p for p in plans)
+        return [p.count("\n") for p in plans]
+
+    assert plan(10) == plan(9000)

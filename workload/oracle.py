@@ -83,6 +83,13 @@ CUSTOMER = "select * from customer"
 GOLDEN = "select golden from grouped"
 REMAPPED = "coalesce(golden, l_partkey) as l_partkey"
 
+RULES = """rules as (
+    select *, kind || c_custkey as prefix, 'arn:aws:s3:::vault/' || case c_nationkey % 3
+        when 0 then kind || c_custkey || '*' when 1 then kind || '?' || c_custkey
+        else kind || c_custkey || '?*7' end as resource
+    from (select *, (['open/click/', 'open/view/', 'open/signup/', 'ledger/purchase/', 'ledger/error/'])
+              [c_nationkey % 5 + 1] as kind from customer))"""
+
 ORACLE: dict[str, str] = {
     "csv_roundtrip": CUSTOMER,
     "json_roundtrip": CUSTOMER,
@@ -170,6 +177,16 @@ ORACLE: dict[str, str] = {
          or (starts_with(key, 'ledger/') and ts < timestamp '2024-02-10' - interval 365 day)""",
     "grant_check": f"""with {OBJECTS} select key, starts_with(key, 'ledger/purchase/')
         or starts_with(key, 'ledger/error/1') or starts_with(key, 'open/view/') as allowed from objects""",
+    "prefix_rules": f"""with {OBJECTS}, {RULES} select key, max_by(prefix, length(prefix)) as prefix,
+        max_by(c_mktsegment, length(prefix)) as purpose
+      from objects left join rules on starts_with(key, prefix) group by key""",
+    "retention_rules": f"""with {OBJECTS}, {RULES} select key, min({{'d': c_custkey % 40 + 1, 'r': c_name}}).r as rule_id
+      from objects join rules on starts_with(key, prefix)
+        and ts < timestamp '2024-02-10' - to_days(cast(c_custkey % 40 + 1 as int))
+      where c_nationkey > 2 group by key, ts""",
+    "grant_rules": f"""with {OBJECTS}, {RULES} select key, count(c_custkey) > 0 as allowed
+      from objects left join rules on 'arn:aws:s3:::vault/' || key glob resource
+        and (c_nationkey < 12 or c_nationkey >= 18) and c_nationkey < 20 group by key""",
     "tags_to_map": f"""with {OBJECTS}, tagged as (select key, map_from_entries(list_transform(
         string_split(tags, '&'), lambda x: (split_part(x, '=', 1), split_part(x, '=', 2)))) as m
       from objects)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from goldkeep.functions.missing import normalise_missing
 from goldkeep.functions.tags import tags_to_map
 from goldkeep.operators import constraints, dedup, governance, integrity, profile, ranking, remap
+from goldkeep.operators import rules as rule_tables
 from goldkeep.operators import similarity, star
 from goldkeep.plans import reconcile, star_load
 from goldkeep.shared import scratch_path, settle
@@ -23,6 +24,7 @@ from workload.tables import (
     RESOURCE_ROOT,
     objects,
     parts,
+    rules,
     table,
 )
 
@@ -296,6 +298,24 @@ def grant_check(spark, folder):
     return governance.grant_check(objects(spark, folder), grants, "s3:GetObject", RESOURCE_ROOT, "auditor")
 
 
+def prefix_rules(spark, folder):
+    """Longest of thousands of prefixes, read from a table."""
+    return rule_tables.longest_prefix(objects(spark, folder), rules(spark, folder))
+
+
+def retention_rules(spark, folder):
+    """Retention by a table of rules."""
+    found = rule_tables.retention_expired_by(objects(spark, folder), rules(spark, folder), AS_OF)
+    return found.select("key", "rule_id")
+
+
+def grant_rules(spark, folder):
+    """Read access by a table of grants with wildcards."""
+    return rule_tables.grant_check_by(
+        objects(spark, folder), rules(spark, folder), "s3:GetObject", RESOURCE_ROOT, "auditor"
+    )
+
+
 def tags_to_map_(spark, folder):
     tagged = objects(spark, folder).select("key", tags_to_map(F.col("tags")).alias("tags"))
     return tagged.select(
@@ -338,7 +358,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         integrity_before_remap, integrity_after_remap, remap_keys, remap_two_roles, remap_literal,
         dim_borough, dim_service, star_dim, star_head, star_publish, star_publish_tables, pk_violations, fk_violations,
         entity_profile, schema_profile, reference_values,
-        object_inventory, retention_expired, grant_check, tags_to_map_, tags_exploded,
+        object_inventory, retention_expired, grant_check, prefix_rules, retention_rules, grant_rules, tags_to_map_, tags_exploded,
         tag_violations, manifest_prefixes, prefix_purpose, prefix_usage,
     )
 }

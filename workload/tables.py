@@ -76,3 +76,29 @@ def objects(spark: SparkSession, folder: str) -> DataFrame:
         F.length("props").cast("long").alias("size"),
         tags.alias("tags"),
     )
+
+
+KINDS = ("open/click/", "open/view/", "open/signup/", "ledger/purchase/", "ledger/error/")
+
+
+def rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules by the thousand: each customer governs the objects of one kind whose number begins
+    with the customer's, so prefixes of several lengths fit one object."""
+    nation, number = F.col("c_nationkey"), F.col("c_custkey").cast("string")
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), nation % 5 + 1)
+    prefix = F.concat(kind, number)
+    pattern = (
+        F.when(nation % 3 == 0, F.concat(prefix, F.lit("*")))
+        .when(nation % 3 == 1, F.concat(kind, F.lit("?"), number))
+        .otherwise(F.concat(prefix, F.lit("?*7")))
+    )
+    return table(spark, folder, "customer").select(
+        F.col("c_name").alias("rule_id"),
+        prefix.alias("prefix"),
+        F.col("c_mktsegment").alias("purpose"),
+        (F.col("c_custkey") % 40 + 1).cast("int").alias("days"),
+        (nation > 2).alias("enabled"),
+        F.when(nation < 12, "auditor").when(nation < 18, "steward").otherwise("*").alias("principal"),
+        F.when(nation < 20, "s3:Get*").otherwise("s3:PutObject").alias("action"),
+        F.concat(F.lit(RESOURCE_ROOT), pattern).alias("resource"),
+    )
