@@ -51,9 +51,11 @@ SHARD_TERMS = 1 << 16
 #: Packed bytes of transducers that a task holds at once.
 BLOCK_BYTES = 16 << 20
 #: Groups and ordinals that a task counts before it hands its counts on.
-COUNTED = 1 << 20
+COUNTED = 1 << 18
+#: Documents that a task reads at once.
+SLICE = 250
 #: Sources and ordinals of a tile.
-TILE_SOURCES, TILE_TERMS = 128, 4096
+TILE_SOURCES, TILE_TERMS = 128, 1024
 
 
 def _read(docs: DataFrame) -> DataFrame:
@@ -145,7 +147,7 @@ def _stream(shards):
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, counts = Transducers(shards.value), _Counts()
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE):
             langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             words = split(batch.column(2), NOT_LETTERS, lower=True)
             # the vocabulary of each document, and every word once with each vocabulary
