@@ -88,12 +88,13 @@ def drop_repeated_lines(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW
 ) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_removed`` and ``kept_text``."""
-    kept = [c for c in docs.columns if c not in ADDED]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
     spans = repeated_spans(docs, id_column, text_column, window)
-    rows = docs.select(*kept).withColumn("_text", F.col(text_column))
-    same = rows[id_column].eqNullSafe(spans["_id"]) & (
-        F.xxhash64(rows["_text"]) == spans["_digest"]
+    # the table's own columns travel in one, so none can be mistaken for one of those used here
+    rows = docs.select(
+        F.struct(*kept).alias("_row"), F.col(id_column).alias("_own"), F.col(text_column).alias("_text")
     )
+    same = rows["_own"].eqNullSafe(spans["_id"]) & (F.xxhash64(rows["_text"]) == spans["_digest"])
     found = rows.join(spans, same, "left").withColumn("_lines", _lines())
     # what lies before, between and behind the spans
     pieces = F.expr(
@@ -105,7 +106,7 @@ def drop_repeated_lines(
     lines = F.coalesce(F.size("_lines"), F.lit(0)).cast("long")
     whole = F.col("_spans").isNull()
     return found.withColumn("_left", left).select(
-        *kept,
+        "_row.*",
         F.when(F.col("_text").isNull(), 0).otherwise(lines).alias("n_lines"),
         F.when(whole, 0).otherwise(lines - F.size("_left")).cast("long").alias("n_removed"),
         F.when(whole, F.col("_text")).otherwise(F.array_join("_left", "\n")).alias("kept_text"),

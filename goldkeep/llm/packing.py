@@ -15,6 +15,7 @@ input other than id and text are ignored. A sequence never holds more than ``win
 from __future__ import annotations
 
 import functools
+import json
 import os
 from collections.abc import Callable, Iterator
 
@@ -37,13 +38,31 @@ SLICE = 2000
 #: Words whose ids a worker remembers before it starts anew; bounds its memory.
 REMEMBERED_WORDS = 1_000_000
 
-def _stem(word: str) -> tuple[str, str]:
-    """``word`` without what does not change its ids, and the mark to be put after it."""
-    if word[-1:] in (".", ",") and word[-2:-1].isascii() and word[-2:-1].isalpha():
-        word, mark = word[:-1], word[-1]
-    else:
-        mark = ""
-    return (word.lower() if word.isascii() else word), mark
+# How a tokenizer file says that case makes no difference, and that white space
+# separates words and is dropped.
+BY_WORD = {
+    "normalizer": ["NFC", "Replace", "Lowercase"],
+    "replaced": [r"\s+", " "],
+    "split": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "behavior": ["Removed", True],
+}
+
+
+def splits_words(file: str) -> bool:
+    """Whether the ids of a text by the tokenizer ``file`` surely are those of its words."""
+    with open(file, encoding="utf-8") as held:
+        own = json.load(held)
+    steps = (own["normalizer"] or {}).get("normalizers", [])
+    first = ((own["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    replaced = [(s["pattern"].get("Regex"), s["content"]) for s in steps if s["type"] == "Replace"]
+    said = {
+        "normalizer": [s["type"] for s in steps],
+        "replaced": list(replaced[0]) if replaced else None,
+        "split": first.get("pattern", {}).get("Regex"),
+        "behavior": [first.get("behavior"), first.get("invert")],
+    }
+    stripping = any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in own["added_tokens"])
+    return said == BY_WORD and not stripping and not own["model"].get("dropout")
 
 
 def _flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -52,26 +71,45 @@ def _flat(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer that drops white space and never joins across it.
+    """Ids of whole texts, as a plain call without added special tokens gives them.
 
-    Each distinct word is encoded once per worker process and remembered. Words are encoded
-    many at a time, with the tokenizer's own mark ``between`` them.
+    Where the tokenizer's file shows that it drops white space and never joins across it
+    (:func:`splits_words`), each distinct word is encoded once per worker process and
+    remembered, many words at a time with a mark of the tokenizer ``between`` them. Other
+    tokenizers encode whole texts. A mark spelt in a text gives the mark's id, as in the plain
+    call; with ``literal_marks`` it is ordinary text.
     """
 
-    def __init__(self, file: str, end: int, between: str = "<|endoftext|>"):
+    def __init__(
+        self, file: str, end: int, between: str = "<|endoftext|>", literal_marks: bool = False
+    ):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         self.tokenizer = Tokenizer.from_file(file)
         self.between = between
         self.mark = self.tokenizer.token_to_id(between)
-        # where a word spells a mark of the tokenizer, it is ordinary text
-        self.literal = Tokenizer.from_file(file)
-        self.literal.encode_special_tokens = True
-        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = Tokenizer.from_file(file)
+        self.plain.encode_special_tokens = literal_marks
+        self.marks = [t.content.lower() for t in self.plain.get_added_tokens_decoder().values()]
+        self.by_word = splits_words(file) and self.mark is not None
         self.end = end
         self.forget()
 
+    def _has_mark(self, word: str) -> bool:
+        lower = word.lower()
+        return any(m in lower for m in self.marks)
+
+    def _stem(self, word: str) -> tuple[str, str]:
+        """``word`` without what does not change its ids, and the mark to be put after it."""
+        if self._has_mark(word):
+            return word, ""
+        if word[-1:] in (".", ",") and word[-2:-1].isascii() and word[-2:-1].isalpha():
+            word, mark = word[:-1], word[-1]
+        else:
+            mark = ""
+        return (word.lower() if word.isascii() else word), mark
+
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint32)
@@ -81,12 +119,12 @@ class WordTokenizer:
         """Remember the ids of new ``words``. Case in ASCII makes no difference to the
         tokenizer, nor does a full stop or comma after a letter to what stands before it, so
         spellings that differ in these share one encoding."""
-        stems = [_stem(word) for word in words]
+        stems = [self._stem(word) for word in words]
         new = {s for s, _ in stems if s not in self.place} | {
             m for _, m in stems if m and m not in self.place
         }
-        self._encode([s for s in new if not any(m in s for m in self.marks)], self.tokenizer, 50)
-        self._encode([s for s in new if any(m in s for m in self.marks)], self.literal, 1)
+        self._encode([s for s in new if not self._has_mark(s)], self.tokenizer, 50)
+        self._encode([s for s in new if self._has_mark(s)], self.plain, 1)
         rest = [(w, s, m) for w, (s, m) in zip(words, stems) if w not in self.place]
         whole = np.fromiter((self.place[s] for _, s, _ in rest), np.int64, len(rest))
         tail = np.fromiter((self.place[m] if m else -1 for _, _, m in rest), np.int64, len(rest))
@@ -117,6 +155,11 @@ class WordTokenizer:
         """Ids of all texts, one after another and each closed by the end token, and how many
         each text has."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not self.by_word:
+            encoded = self.plain.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            parts = [np.array([*e.ids, self.end], np.uint32) for e in encoded]
+            ids, counts = _flat(parts)
+            return ids.astype(np.uint32), counts
         for blank in "\n\r\t":
             texts = pc.replace_substring(texts, blank, " ")
         words = pc.split_pattern(texts, " ")
@@ -236,15 +279,17 @@ def _online(make_tokenizer: Callable, window: int, open_windows: int):
 
 
 def _merge(window: int, first_sequence: int):
-    """Task function: leftover pieces in, full windows out; only the last is not full."""
+    """Task function: leftover pieces of whole groups in, in order, full windows out; only the
+    last of each group is not full. Sequences are numbered by the group, not by the task."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequence = first_sequence + (TaskContext.get().partitionId() << 40)
-        offset, out = 0, None
+        sequence, offset, out, last = 0, 0, None, None
         for batch in batches:
             out = out or _Emitted(batch.column(0).type)
-            taken = [batch.column(i).to_pylist() for i in (0, 1, 3, 4)]
-            for doc, start, ids, doc_tokens in zip(*taken):
+            taken = [batch.column(i).to_pylist() for i in (0, 1, 3, 4, 8)]
+            for doc, start, ids, doc_tokens, group in zip(*taken):
+                if group != last:
+                    sequence, offset, last = first_sequence + (group << 40), 0, group
                 while ids:
                     if offset == window:
                         sequence, offset = sequence + 1, 0
@@ -283,11 +328,12 @@ def pack(
     placed.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(schema).parquet(path)
     left = stored.where("open")
-    partitions = left.agg(F.count_distinct(F.shiftright("sequence_id", 40))).first()[0]
-    groups = -(-max(1, partitions) // MERGED_PARTITIONS)
-    merged = left.repartitionByRange(groups, "sequence_id", "offset").mapInArrow(
-        _merge(window, 1 << 62), schema
-    )
+    # groups and the order in them follow from the stored rows, so every run gives one layout
+    group = F.expr(f"shiftright(sequence_id, 40) div {MERGED_PARTITIONS}")
+    grouped = left.withColumn("group", group)
+    groups = (grouped.agg(F.max("group")).first()[0] or 0) + 1
+    dealt = grouped.repartition(groups, "group").sortWithinPartitions("group", "sequence_id", "offset")
+    merged = dealt.mapInArrow(_merge(window, 1 << 62), schema)
     return stored.where("not open").unionByName(merged).drop("open")
 
 

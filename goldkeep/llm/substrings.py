@@ -261,7 +261,11 @@ def drop_repeated_substrings(
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text``, the words that stay joined
     by single blanks. A word goes if it lies in a window that also begins in a document with
     a smaller id."""
-    kept = docs.select(*[c for c in docs.columns if c not in ADDED])
+    names = [c for c in docs.columns if c not in ADDED]
+    # numbered inside, so no name of the table can be one of those used here
+    inside = {c: f"c{i}" for i, c in enumerate(names)}
+    kept = docs.select(*[F.col(f"`{c}`").alias(inside[c]) for c in names])
+    id_column, text_column = inside[id_column], inside[text_column]
     size = text_size(kept, text_column)
     chunks = groups_for(size, CHUNK_BYTES)
     # a word is in about three super-k-mers
@@ -279,6 +283,5 @@ def drop_repeated_substrings(
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
     schema = ", ".join([*fields, *(f"{name} {kind}" for name, kind in ADDED.items())])
     remove = _remove(kept.columns, id_column, text_column, window, minimiser)
-    return (
-        dealt.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(remove, schema)
-    )
+    found = dealt.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(remove, schema)
+    return found.toDF(*names, *ADDED)

@@ -314,12 +314,54 @@ def test_components(spark, monkeypatch):
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+MARKED = [
+    "a<|endoftext|>b.", "<|startoftext|>", "x <|ENDOFTEXT|>, y", "<|EndOfText|>Z.", "A<|startoftext|><|endoftext|>B,", "it's <|endoftext|>. ok",
+    "<|endoftext", "É<|endoftext|>é\u00a0x", "", None,
+]
+
+
+def ids_of(tokenizer, texts):
+    ids, counts = tokenizer(pa.array(texts, pa.string()))
+    return [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_ids_are_those_of_the_plain_call():
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(TOKENIZER)
+    for literal in (False, True):
+        own.encode_special_tokens = literal
+        want = [[*own.encode(t or "", add_special_tokens=False).ids, 2] for t in MARKED]
+        assert ids_of(packing.WordTokenizer(TOKENIZER, 2, literal_marks=literal), MARKED) == want
+    assert packing.splits_words(TOKENIZER)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["two  Words\n.", "a<|endoftext|>b", None, ""]
+    want = [[*Tokenizer.from_file(file).encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert not packing.splits_words(file) and ids_of(packing.WordTokenizer(file, 2), texts) == want
+
+
+def test_packing_is_one_layout(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('some words ', cast(id % 37 as int)) as text").repartition(40)
+    pieces = packing.pack_words(docs, TOKENIZER, 2, 256, open_windows=4)
+    first = sorted(pieces.select("doc_id", "start", "length", "sequence_id", "offset").collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert sorted(pieces.select("doc_id", "start", "length", "sequence_id", "offset").collect()) == first
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len({r.sequence_id for r in first if r.sequence_id >= 1 << 62}) > 3
+
+
 @pytest.mark.parametrize(("window", "open_windows"), [(4096, 64), (64, 3)])
 def test_packing(spark, odd, window, open_windows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     more = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     docs = odd.select("doc_id", "text").unionByName(more.withColumn("doc_id", F.col("doc_id") + 1000))
     pieces = packing.pack_words(docs, TOKENIZER, 2, window, open_windows=open_windows)
@@ -502,18 +544,17 @@ def test_recall_on_real_rows(spark):
 def test_substrings(odd, empty, monkeypatch, size):
     monkeypatch.setattr(substrings, "CHUNK_BYTES", size)
     monkeypatch.setattr(substrings, "BUCKET_BYTES", size)
-    clear = odd.drop("_chunk")
     rows = odd_rows(odd)
     for window in (13, 2):
         want = plain.without_repeats(rows, window)
-        got = substrings.drop_repeated_substrings(clear, window)
+        got = substrings.drop_repeated_substrings(odd, window)
         assert got.columns.count("n_words") == 1
         got = got.collect()
         assert len(got) == len(rows)
         for r in got:
             assert (r.kept_text, r.n_removed) == want[r.doc_id, r.text]
             assert r.n_words == len(plain.spaced(r.text))
-    assert substrings.drop_repeated_substrings(empty.drop("_chunk")).count() == 0
+    assert substrings.drop_repeated_substrings(empty).count() == 0
 
 
 def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
