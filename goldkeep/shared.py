@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -81,3 +82,45 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder with all it holds, if it is there."""
     system, where = _at(spark, path)
     system.delete(where, True)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where there is no folder."""
+    system, where = _at(spark, path)
+    if not system.exists(where):
+        return []
+    return sorted(f.getPath().getName() for f in system.listStatus(where))
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file only if there is none, and say whether it was written.
+
+    The file system decides between two who try at once: HDFS and stores with conditional
+    writes let exactly one create a file.
+    """
+    system, where = _at(spark, path)
+    try:
+        stream = system.create(where, False)
+    except Py4JJavaError as refused:
+        if "AlreadyExists" not in refused.java_exception.getClass().getName():
+            raise
+        return False
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file, or nothing if it is gone."""
+    system, where = _at(spark, path)
+    if not system.exists(where):
+        return None
+    try:
+        stream = system.open(where)
+    except Py4JJavaError as gone:
+        if "FileNotFound" not in gone.java_exception.getClass().getName():
+            raise
+        return None
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text

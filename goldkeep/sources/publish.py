@@ -1,22 +1,26 @@
 """Write-audit-publish of related tables: readers see a complete, checked set or the one before.
 
-A publication writes its tables once, under a new version, and checks all keys there. Only then is
-the version appended to a list of publications, in one small file; readers take the latest
-entry. Until that file is in place nothing changes for them, whenever the job stops. A version
-that fails its checks is removed, and so are versions before the last one.
+A publication writes its tables once, under a new version, and checks all keys there. Only then
+is the version entered in the list of publications under the next free number, by creating an
+entry that must not exist yet; readers take the latest entry. Until the entry is complete nothing
+changes for them, whenever the job stops. Of two publishers who try one number at once only one
+can create it; the other reads the list again and takes the next. A version that fails its
+checks is removed, and so are listed versions before the last two, which no reader starts with.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldkeep.operators.constraints import fk_violations, pk_violations
-from goldkeep.shared import path_exists, remove_path
+from goldkeep.shared import create_text, file_names, read_text, remove_path
 
 Sink = Callable[[str, DataFrame], None]
 
@@ -33,6 +37,14 @@ class ForeignKey(NamedTuple):
     parent_column: str
 
 
+class Publication(NamedTuple):
+    """An entry of the list; without a version it is not complete."""
+
+    number: int
+    version: str | None
+    tables: list[str]
+
+
 class ConstraintError(ValueError):
     """Raised before publishing; ``problems`` counts violations per constraint."""
 
@@ -42,7 +54,7 @@ class ConstraintError(ValueError):
 
 
 class ParquetStore:
-    """Versions as folders ``folder/version/table``, publications in ``folder/list``."""
+    """Versions as folders ``folder/version/table``, publications as files in ``folder/list``."""
 
     def __init__(self, folder: str):
         self.folder = folder.rstrip("/")
@@ -53,12 +65,26 @@ class ParquetStore:
     def read(self, spark: SparkSession, version: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{self.folder}/{version}/{name}")
 
-    def add(self, entry: DataFrame) -> None:
-        entry.coalesce(1).write.mode("append").parquet(f"{self.folder}/list")
+    def _entry(self, number: int) -> str:
+        return f"{self.folder}/list/{number:012d}.json"
 
-    def publications(self, spark: SparkSession) -> DataFrame | None:
-        path = f"{self.folder}/list"
-        return spark.read.parquet(path) if path_exists(spark, path) else None
+    def add(self, spark: SparkSession, entry: Publication) -> bool:
+        text = json.dumps({"version": entry.version, "tables": entry.tables})
+        return create_text(spark, self._entry(entry.number), text)
+
+    def publications(self, spark: SparkSession) -> list[Publication]:
+        numbers = [int(n.removesuffix(".json")) for n in file_names(spark, f"{self.folder}/list")]
+        found = []
+        for number in numbers:
+            try:  # an entry that is being written, or was left so, is no publication yet
+                said = json.loads(read_text(spark, self._entry(number)) or "")
+            except ValueError:
+                said = {"version": None, "tables": []}
+            found.append(Publication(number, said["version"], said["tables"]))
+        return found
+
+    def forget(self, spark: SparkSession, number: int) -> None:
+        remove_path(spark, self._entry(number))
 
     def show(self, spark: SparkSession, version: str, names: list[str]) -> None:
         """Readers resolve the latest entry by themselves."""
@@ -82,12 +108,40 @@ class CatalogStore:
     def read(self, spark: SparkSession, version: str, name: str) -> DataFrame:
         return spark.table(self._table(version, name))
 
-    def add(self, entry: DataFrame) -> None:
-        entry.coalesce(1).write.mode("append").saveAsTable(f"{self.start}publications")
+    def _entry(self, number: int) -> str:
+        return f"{self.start}publication_{number:012d}"
 
-    def publications(self, spark: SparkSession) -> DataFrame | None:
-        name = f"{self.start}publications"
-        return spark.table(name) if spark.catalog.tableExists(name) else None
+    def add(self, spark: SparkSession, entry: Publication) -> bool:
+        """The entry is an empty table with its content in properties: creating it is one step."""
+        said = json.dumps({"version": entry.version, "tables": entry.tables}).replace("'", "\\'")
+        try:
+            spark.sql(
+                f"create table {self._entry(entry.number)} (entry string) using parquet "
+                f"tblproperties ('publication' = '{said}')"
+            )
+        except AnalysisException as refused:
+            if refused.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
+                raise
+            return False
+        return True
+
+    def publications(self, spark: SparkSession) -> list[Publication]:
+        database, _, prefix = self.start.rpartition(".")
+        within = f"in {database} " if database else ""
+        found = []
+        for row in spark.sql(f"show tables {within}like '{prefix}publication_*'").collect():
+            number = int(row["tableName"].rpartition("_")[2])
+            name = f"{database}.{row['tableName']}" if database else row["tableName"]
+            try:
+                (said,) = spark.sql(f"show tblproperties {name} ('publication')").collect()
+            except AnalysisException:  # forgotten since the list was read
+                continue
+            said = json.loads(said["value"])
+            found.append(Publication(number, said["version"], said["tables"]))
+        return sorted(found)
+
+    def forget(self, spark: SparkSession, number: int) -> None:
+        spark.sql(f"drop table if exists {self._entry(number)}")
 
     def show(self, spark: SparkSession, version: str, names: list[str]) -> None:
         for name in names:
@@ -127,12 +181,26 @@ def audit(
     return {r.name: r.n for r in merged.where("n > 0").collect()}
 
 
-def _latest(spark: SparkSession, store, n: int) -> list:
-    """The last ``n`` publications, latest first."""
-    found = store.publications(spark)
-    if found is None:
-        return []
-    return found.orderBy(F.desc("number"), F.desc("version")).limit(n).collect()
+def _latest(spark: SparkSession, store: ParquetStore | CatalogStore) -> Publication | None:
+    complete = [p for p in store.publications(spark) if p.version is not None]
+    return complete[-1] if complete else None
+
+
+def _enter(spark: SparkSession, store: ParquetStore | CatalogStore, version: str, names: list[str]) -> None:
+    """Give ``version`` the next free number, however many try at once."""
+    while True:
+        listed = store.publications(spark)
+        number = listed[-1].number + 1 if listed else 0
+        if store.add(spark, Publication(number, version, names)):
+            return
+
+
+def _show_latest(spark: SparkSession, store: ParquetStore | CatalogStore) -> None:
+    """Point readers to the latest publication; if another came meanwhile, to that one."""
+    shown = None
+    while (latest := _latest(spark, store)) != shown:
+        store.show(spark, latest.version, latest.tables)
+        shown = latest
 
 
 def publish(
@@ -144,7 +212,6 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Write ``tables`` as a new version, check its constraints, then point readers to it."""
     version, names = uuid.uuid4().hex, list(tables)
-    before = _latest(spark, store, 2)
     try:
         for name, df in tables.items():
             store.write(version, name, df)
@@ -155,21 +222,19 @@ def publish(
     except Exception:
         store.remove(spark, version, names)
         raise
-    number = before[0]["number"] + 1 if before else 0
-    entry = spark.createDataFrame(
-        [(number, version, names)], "number long, version string, tables array<string>"
-    )
-    store.add(entry)
-    store.show(spark, version, names)
-    # whoever reads the version before this one can finish; older ones are gone
-    for old in before[1:]:
-        store.remove(spark, old["version"], old["tables"])
+    _enter(spark, store, version, names)
+    _show_latest(spark, store)
+    # whoever reads the version before the latest can finish; older ones are gone
+    complete = [p for p in store.publications(spark) if p.version is not None]
+    for old in complete[:-2]:
+        store.remove(spark, old.version, old.tables)
+        store.forget(spark, old.number)
     return written
 
 
 def published(spark: SparkSession, store: ParquetStore | CatalogStore, name: str) -> DataFrame:
     """The table ``name`` of the latest publication."""
-    latest = _latest(spark, store, 1)
-    if not latest:
+    latest = _latest(spark, store)
+    if latest is None:
         raise LookupError("nothing has been published")
-    return store.read(spark, latest[0]["version"], name)
+    return store.read(spark, latest.version, name)

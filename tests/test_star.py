@@ -104,6 +104,37 @@ def test_a_stopped_publication_changes_nothing(spark, store, monkeypatch, step):
     assert state(spark, store) == [[(0, "b")], [(2, 0)]]
 
 
+def test_two_publishers_at_once(spark, store, monkeypatch):
+    """A second publisher comes in between the first one's look at the list and its entry."""
+    publish.publish(spark, family(spark, [(9, "z")], [(9, 9)]), store, KEYS, LINK)
+    kind, add, other = type(store), type(store).add, []
+
+    def late(self, session, entry):
+        if not other:
+            other.append(entry.number)
+            publish.publish(spark, family(spark, [(0, "second")], [(1, 0)]), store, KEYS, LINK)
+            assert state(spark, store) == [[(0, "second")], [(1, 0)]]
+        return add(self, session, entry)
+
+    monkeypatch.setattr(kind, "add", late)
+    publish.publish(spark, family(spark, [(5, "first")], [(2, 5)]), store, KEYS, LINK)
+    assert state(spark, store) == [[(5, "first")], [(2, 5)]]
+    listed = store.publications(spark)
+    assert [p.number for p in listed] == [other[0], other[0] + 1]  # neither is lost
+    assert rows(store.read(spark, listed[0].version, "parent")) == [(0, "second")]
+    if isinstance(store, publish.CatalogStore):
+        assert rows(spark.table(store.start + "parent")) == [(5, "first")]
+
+
+def test_an_unfinished_entry_is_no_publication(spark, tmp_path):
+    store = publish.ParquetStore(str(tmp_path))
+    publish.publish(spark, family(spark, [(0, "a")], [(1, 0)]), store, KEYS, LINK)
+    (tmp_path / "list" / f"{1:012d}.json").write_text('{"version": ')
+    assert state(spark, store) == [[(0, "a")], [(1, 0)]]
+    publish.publish(spark, family(spark, [(3, "b")], [(4, 3)]), store, KEYS, LINK)
+    assert state(spark, store) == [[(3, "b")], [(4, 3)]] and store.publications(spark)[-1].number == 2
+
+
 def test_nothing_is_published_on_a_violation(spark, store):
     good = family(spark, [(0, "a")], [(1, 0)])
     publish.publish(spark, good, store, KEYS, LINK)
