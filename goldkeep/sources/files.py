@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,3 +71,61 @@ def parse_documents(df: DataFrame, column: str, schema: T.StructType | str) -> D
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     return df.withColumn("_doc", F.from_json(column, schema)).select(*df.columns, "_doc.*")
+
+
+def parse_or_reject(df: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:
+    """Add typed fields of JSON documents of any shape, and ``rejected``: why a document is not
+    taken, null for good ones.
+
+    A document is read once as a variant. ``malformed`` is one that is no JSON, ``not an object``
+    one without fields, and ``field x`` one whose field x cannot have its type; a field that is
+    absent or null is null. A null document is no document and not rejected. Fields of a rejected
+    document are null, so nothing of it is taken for data.
+    """
+    document, parts = F.col("_document"), {n: F.col(f"_field_{i}") for i, n in enumerate(fields)}
+    read = df.withColumn("_document", F.try_parse_json(column)).withColumns(
+        {
+            f"_field_{i}": F.try_variant_get(document, f"$.{name}", kind)
+            for i, (name, kind) in enumerate(fields.items())
+        }
+    )
+
+    def misfit(name: str) -> Column:
+        held = F.try_variant_get(document, f"$.{name}", "variant")
+        return held.isNotNull() & ~F.is_variant_null(held) & parts[name].isNull()
+
+    why = F.when(F.col(column).isNotNull() & document.isNull(), "malformed")
+    why = why.when(~F.schema_of_variant(document).startswith("OBJECT"), "not an object")
+    for name in fields:
+        why = why.when(misfit(name), f"field {name}")
+    read = read.withColumn("_why", why)
+    return read.select(
+        *df.columns,
+        *[F.when(F.col("_why").isNull(), parts[n]).alias(n) for n in fields],
+        F.col("_why").alias("rejected"),
+    )
+
+
+def document_shapes(df: DataFrame, column: str) -> DataFrame:
+    """``shape``, ``n_documents``: how many documents have which fields of which types; a null
+    shape stands for what is no JSON."""
+    shape = F.schema_of_variant(F.try_parse_json(column)).alias("shape")
+    return df.where(F.col(column).isNotNull()).groupBy(shape).agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+def common_shape(df: DataFrame, column: str) -> DataFrame:
+    """``shape``: one type that all documents which are JSON fit into."""
+    return df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("shape"))
+
+
+def inventory(spark: SparkSession, path: str) -> DataFrame:
+    """``key``, ``size``, ``ts`` of the stored files under ``path``, keys relative to it.
+
+    Listed with the content pruned away: no file is opened. Empty files and names beginning with
+    ``_`` or ``.`` are no objects, as everywhere in Spark.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    # the store may name the folder in another form than the caller
+    folder = path.rstrip("/").rsplit("/", 1)[-1] + "/"
+    key = F.expr(f"substring(path, instr(path, '/{folder}') + {len(folder) + 1})")
+    return found.select(key.alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("ts"))

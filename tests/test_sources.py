@@ -99,3 +99,34 @@ def test_scratch_is_removed_on_demand(spark):
     spark.range(3).write.parquet(path)
     assert shared.path_exists(spark, path) and shared.clear_scratch(spark) >= 1
     assert not shared.path_exists(spark, path) and shared.clear_scratch(spark) == 0
+
+
+DOCUMENTS = [
+    (1, '{"k": 3, "s": "x"}'), (2, '{"k": 3'), (3, None), (4, '[1]'), (5, '{"k": "many"}'), (6, '{"k": null}'), (7, "{}"),
+    (8, '7'), (9, ""), (10, '{"k": {"deep": 1}, "s": "y"}'), (11, '{"s": 5}'),
+]
+
+
+def test_documents_that_do_not_fit_are_kept_apart(spark):
+    df = spark.createDataFrame(DOCUMENTS, "id int, body string")
+    read = files.parse_or_reject(df, "body", {"k": "bigint", "s": "string"})
+    assert read.columns == ["id", "body", "k", "s", "rejected"]
+    assert {r.id: (r.k, r.s, r.rejected) for r in read.collect()} == {
+        1: (3, "x", None), 2: (None, None, "malformed"), 3: (None, None, None), 4: (None, None, "not an object"),
+        5: (None, None, "field k"), 6: (None, None, None), 7: (None, None, None), 8: (None, None, "not an object"),
+        9: (None, None, "malformed"), 10: (None, None, "field k"), 11: (None, "5", None),
+    }
+    shapes = {r.shape: r.n_documents for r in files.document_shapes(df, "body").collect()}
+    assert shapes[None] == 2 and shapes["OBJECT<k: BIGINT, s: STRING>"] == 1 and sum(shapes.values()) == 10
+    objects = df.where("id in (1, 6, 7)")
+    assert files.common_shape(objects, "body").first().shape == "OBJECT<k: BIGINT, s: STRING>"
+
+
+def test_inventory_opens_no_file(spark, tmp_path):
+    (tmp_path / "store" / "a b").mkdir(parents=True)
+    (tmp_path / "store" / "a b" / "one.txt").write_text("12345")
+    (tmp_path / "store" / "two.bin").write_bytes(b"12")
+    found = files.inventory(spark, str(tmp_path / "store"))
+    assert sorted((r.key, r["size"]) for r in found.collect()) == [("a b/one.txt", 5), ("two.bin", 2)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]

@@ -90,6 +90,12 @@ RULES = """rules as (
     from (select *, (['open/click/', 'open/view/', 'open/signup/', 'ledger/purchase/', 'ledger/error/'])
               [c_nationkey % 5 + 1] as kind from customer))"""
 
+DAMAGED = """damaged as (
+    select *, case when json_valid(props) then props::json end as doc from (
+        select event_id, case event_type when 'error' then left(props, length(props) - 1)
+            when 'signup' then '{"k": "many"}' when 'view' then '[1, 2]'
+            when 'click' then '{"k": null, "x": 1.5}' else props end as props from events))"""
+
 ORACLE: dict[str, str] = {
     "csv_roundtrip": CUSTOMER,
     "json_roundtrip": CUSTOMER,
@@ -98,6 +104,15 @@ ORACLE: dict[str, str] = {
     "nullif(props, 'error') as props) from events",
     "key_projection": "select l_partkey, l_suppkey from lineitem",
     "json_fields": "select event_id, cast(props->>'$.k' as bigint) as k from events",
+    "json_rejects": f"""with {DAMAGED} select event_id, case when rejected is null then try_cast(doc->>'$.k' as bigint) end as k,
+        rejected from (select event_id, doc, case when not json_valid(props) then 'malformed'
+          when json_type(doc) <> 'OBJECT' then 'not an object' when json_type(doc, '$.k') = 'VARCHAR' then 'field k'
+          end as rejected from damaged)""",
+    "json_shapes": f"""with {DAMAGED} select case when not json_valid(props) then null
+        when json_type(doc) = 'ARRAY' then 'ARRAY<BIGINT>' when json_type(doc, '$.k') = 'VARCHAR' then 'OBJECT<k: STRING>'
+        when json_type(doc, '$.k') = 'NULL' then 'OBJECT<k: VOID, x: DECIMAL(2,1)>' else 'OBJECT<k: BIGINT>' end as shape,
+        count(*) as n_documents from damaged group by 1""",
+    "stored_inventory": "select distinct 'event_type=' || event_type as prefix from events",
     "prefix_layout": "select event_type, strftime(ts, '%Y-%m-%d') as day, count(*) as n_objects, "
     "min(event_id) as first_id from events group by all",
     "prefix_read": "select event_id, event_type, value from events where event_type = 'error'",
@@ -114,11 +129,19 @@ ORACLE: dict[str, str] = {
     "fuzzy_pairs": FUZZY + "select name_a, name_b, matched, total, ratio, score from alike",
     "fuzzy_head": FUZZY + "select name_a, name_b, score from alike order by ord_a, ord_b limit 5",
     "fuzzy_topk": FUZZY + "select name_a, name_b, score from alike order by ratio desc, ord_a, ord_b limit 5",
+    "fuzzy_urls_lossy": FUZZY_URLS + "select count(*) as n_exact, true as recalled from alike",
     "fuzzy_urls": FUZZY_URLS + "select name_a, name_b, matched, total, score from alike",
     "two_role_keys": "select c_nationkey as id from customer union select s_nationkey from supplier",
     "two_role_keys_one_table": "select l_partkey as id from lineitem union select l_suppkey from lineitem",
     "orphans": f"with {GROUPED} select distinct l_partkey as id from lineitem "
     "where not exists (select 1 from grouped where golden = l_partkey)",
+    "orphans_filtered": f"with {GROUPED} select distinct l_partkey as id from lineitem "
+    "where not exists (select 1 from grouped where golden = l_partkey)",
+    "unused_filtered": "select c_custkey as id from customer "
+    "where not exists (select 1 from events where user_id = c_custkey)",
+    "fk_filtered": f"with {GROUPED} select l_partkey as id, count(*) as n_rows from lineitem "
+    "where l_partkey is not null and not exists (select 1 from grouped where golden = l_partkey) "
+    "group by all",
     "unused_master": "select c_custkey as id from customer "
     "where not exists (select 1 from events where user_id = c_custkey)",
     "integrity_report": _integrity(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldkeep.functions.missing import normalise_missing
 from goldkeep.functions.tags import tags_to_map
-from goldkeep.operators import constraints, dedup, governance, integrity, profile, ranking, remap
+from goldkeep.operators import constraints, dedup, governance, integrity, keyfilter, profile, ranking, remap
 from goldkeep.operators import rules as rule_tables
 from goldkeep.operators import similarity, star
 from goldkeep.plans import reconcile, star_load
@@ -67,6 +67,34 @@ def json_fields(spark, folder):
     return files.parse_documents(events, "props", "k bigint").select("event_id", "k")
 
 
+def _damaged_events(spark, folder):
+    """Events whose documents are partly cut off and partly of another shape."""
+    kind, props = F.col("event_type"), F.col("props")
+    cut = F.substring(props, F.lit(1), F.length(props) - 1)
+    other = F.when(kind == "view", F.lit("[1, 2]")).when(kind == "click", F.lit('{"k": null, "x": 1.5}'))
+    damaged = F.when(kind == "error", cut).when(kind == "signup", F.lit('{"k": "many"}'))
+    return table(spark, folder, "events").select("event_id", F.coalesce(damaged, other, props).alias("props"))
+
+
+def json_rejects(spark, folder):
+    """Fields of good documents, and why the others are kept apart."""
+    read = files.parse_or_reject(_damaged_events(spark, folder), "props", {"k": "bigint"})
+    return read.select("event_id", "k", "rejected")
+
+
+def json_shapes(spark, folder):
+    return files.document_shapes(_damaged_events(spark, folder), "props")
+
+
+def stored_inventory(spark, folder):
+    """Objects and their prefixes, from the files that were stored under prefixes."""
+    path = scratch_path(spark, "stored")
+    events = table(spark, folder, "events").repartition("event_type")
+    layout.write_by_prefix(events, path, ["event_type"])
+    found = files.inventory(spark, path)
+    return found.select(F.substring_index("key", "/", 1).alias("prefix")).distinct()
+
+
 def _prefixed_events(spark, folder):
     path = scratch_path(spark, "prefixes")
     events = table(spark, folder, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
@@ -140,6 +168,14 @@ def fuzzy_urls(spark, folder):
     return similarity.fuzzy_pairs(names).select("name_a", "name_b", "matched", "total", "score")
 
 
+def fuzzy_urls_lossy(spark, folder):
+    """How many similar page addresses there are, and whether the lossy mode finds nine tenths."""
+    pages = table(spark, folder, "pages", "page_id", "url")
+    names = settle(ranking.distinct_ordered(pages, "url", "page_id").withColumnRenamed("url", "name"))
+    found = similarity.recall(similarity.lossy_fuzzy_pairs(names), similarity.fuzzy_pairs(names))
+    return found.select("n_exact", (F.col("recall") >= 0.9).alias("recalled"))
+
+
 # --- integrity and remap -------------------------------------------------------------
 
 def _golden_parts(spark, folder):
@@ -167,6 +203,24 @@ def orphans(spark, folder):
     return integrity.orphans(ids, _golden_parts(spark, folder))
 
 
+def orphans_filtered(spark, folder):
+    """The same through a filter of the master keys: what is surely no master key is not joined."""
+    ids = integrity.key_set(table(spark, folder, "lineitem"), "l_partkey")
+    return keyfilter.orphans(ids, _golden_parts(spark, folder))
+
+
+def unused_filtered(spark, folder):
+    return keyfilter.unused(
+        integrity.keys(table(spark, folder, "events"), "user_id"),
+        integrity.key_set(table(spark, folder, "customer"), "c_custkey"),
+    )
+
+
+def fk_filtered(spark, folder):
+    parents = _golden_parts(spark, folder)
+    return keyfilter.fk_violations(table(spark, folder, "lineitem"), "l_partkey", parents, "id")
+
+
 def unused_master(spark, folder):
     """Customers no event refers to."""
     return integrity.unused(
@@ -351,12 +405,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__.rstrip("_"): f
     for f in (
         csv_roundtrip, json_roundtrip, parquet_roundtrip, normalise_missing_, key_projection,
-        json_fields, prefix_layout, prefix_read,
+        json_fields, json_rejects, json_shapes, stored_inventory, prefix_layout, prefix_read,
         exact_duplicates, golden_records, crosswalk, dedup_counts, distinct_ordered,
-        fuzzy_pairs, fuzzy_head, fuzzy_topk, fuzzy_urls,
-        two_role_keys, two_role_keys_one_table, orphans, unused_master, integrity_report,
+        fuzzy_pairs, fuzzy_head, fuzzy_topk, fuzzy_urls, fuzzy_urls_lossy,
+        two_role_keys, two_role_keys_one_table, orphans, orphans_filtered, unused_master, unused_filtered, integrity_report,
         integrity_before_remap, integrity_after_remap, remap_keys, remap_two_roles, remap_literal,
         dim_borough, dim_service, star_dim, star_head, star_publish, star_publish_tables, pk_violations, fk_violations,
+        fk_filtered,
         entity_profile, schema_profile, reference_values,
         object_inventory, retention_expired, grant_check, prefix_rules, retention_rules, grant_rules, tags_to_map_, tags_exploded,
         tag_violations, manifest_prefixes, prefix_purpose, prefix_usage,
