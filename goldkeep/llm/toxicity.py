@@ -6,8 +6,9 @@ of the number of distinct n-grams of the text, so length does not matter, and we
 logistic regression. Only n-grams with a clear ratio carry a weight; all others count in the
 length alone.
 
-The model is fitted on a bounded sample of labelled rows (``SAMPLE`` of each class, chosen by
-a hash of their id). Rows are weighed so that toxic ones make up ``PRIOR`` of the whole, whatever
+The model is fitted on a bounded sample of labelled rows: at most ``SAMPLE`` rows and
+``SAMPLE_BYTES`` bytes of text of each class, in the order of a hash of their id. Rows equal in id
+and text are learnt from once. Rows are weighed so that toxic ones make up ``PRIOR`` of the whole, whatever
 their share of the labels or of the sample: a score means the same for few labels and for many.
 Scoring reads every text once and shuffles nothing. No other column than the text enters a score.
 
@@ -24,17 +25,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldkeep.llm.blobs import pack_arrays, unpack_arrays
-from goldkeep.llm.words import LOWER, slices, text_bytes
+from goldkeep.llm.words import slices
+from goldkeep.shared import settle
 
 #: Most labelled rows of each class that the model is fitted on.
 SAMPLE = 2000
+#: Most bytes of their texts, of each class.
+SAMPLE_BYTES = 16 << 20
 #: Share of toxic texts that scores are meant for.
 PRIOR = 0.1
-#: Lengths of the n-grams in bytes, and how many hashed n-grams are told apart.
+#: Lengths of the n-grams in characters, and how many hashed n-grams are told apart.
 ORDERS = (5, 6)
 FEATURES = 1 << 20
 #: N-grams in fewer sample texts, or with a smaller ratio, carry no weight.
@@ -42,10 +46,11 @@ MIN_TEXTS, MIN_RATIO = 5, 1.0
 ROUNDS, PENALTY = 1500, 1e-7
 
 
-def text_grams(data: np.ndarray, begin: int, end: int) -> np.ndarray:
-    """Distinct hashed n-grams of the bytes ``data[begin:end]``, with a blank at both ends."""
-    text = np.full(end - begin + 2, 32, np.uint32)
-    text[1:-1] = data[begin:end]
+def text_grams(value: str | None) -> np.ndarray:
+    """Distinct hashed n-grams of the characters of a text, A-Z in lower case, with a blank at
+    both ends."""
+    text = np.frombuffer(f" {value or ''} ".encode("utf-32-le"), np.uint32).copy()
+    text[(text >= ord("A")) & (text <= ord("Z"))] += 32
     found = []
     for n in ORDERS:
         if len(text) >= n:
@@ -68,20 +73,16 @@ class Model:
     intercept: float
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        data, offsets = text_bytes(texts)
-        data = LOWER[data]
         margin = np.empty(len(texts))
-        for i in range(len(texts)):
-            grams = text_grams(data, offsets[i], offsets[i + 1])
+        for i in range(len(texts)):  # one text at a time is held as characters
+            grams = text_grams(texts[i].as_py())
             margin[i] = self.weights[grams].sum() / np.sqrt(max(1, len(grams)))
         return 1 / (1 + np.exp(-np.clip(margin + self.intercept, -500, 500)))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        data, offsets = text_bytes(batch.column(0))
-        data = LOWER[data]
-        grams = [text_grams(data, offsets[i], offsets[i + 1]) for i in range(batch.num_rows)]
+        grams = [text_grams(batch.column(0)[i].as_py()) for i in range(batch.num_rows)]
         blob = pack_arrays(
             # ordered within a text, so their differences are small
             steps=np.diff(np.concatenate([np.zeros(1, np.uint32), *grams])),
@@ -162,6 +163,7 @@ def train(
     labels: DataFrame,
     learnt: Column | None = None,
     sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
@@ -177,10 +179,23 @@ def train(
         known.where(F.col("_label") == c).orderBy(F.xxhash64("_id"), "_id").limit(sample)
         for c in (0, 1)
     ]
-    # at most two times ``sample`` rows of two numbers
+    # at most two times ``sample`` ids, but an id may have any number of rows
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))
-    texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
-    rows = texts.join(chosen, "_id").select("_text", "_label")
+    texts = docs.select(
+        F.col(id_column).alias("_id"),
+        F.col(text_column).alias("_text"),
+        F.xxhash64(text_column).alias("_digest"),
+        F.coalesce(F.octet_length(text_column), F.lit(0)).alias("_bytes"),
+    )
+    rows = texts.join(chosen, "_id")
+    order = [F.xxhash64("_id"), F.col("_id"), F.col("_digest")]
+    distinct = rows.select("_id", "_digest", "_label", "_bytes").distinct()
+    first = [distinct.where(F.col("_label") == c).orderBy(*order).limit(sample) for c in (0, 1)]
+    total = F.sum("_bytes").over(Window.partitionBy("_label").orderBy(*order))
+    taken = first[0].unionByName(first[1]).withColumn("_total", total)
+    taken = settle(taken.where(F.col("_total") <= sample_bytes).select("_id", "_digest"))
+    rows = rows.join(F.broadcast(taken), ["_id", "_digest"]).dropDuplicates(["_id", "_digest"])
+    rows = rows.select("_text", "_label")
     found = rows.mapInArrow(_features, "blob binary").collect()
     return fit([row["blob"] for row in found], prior)
 

@@ -175,6 +175,75 @@ def test_toxicity_of_odd_rows(spark, odd, empty):
     assert toxicity.score_toxicity(empty, model).count() == 0
 
 
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    """Neither rows of one id nor long texts make the sample larger."""
+    docs = [(1, f"copy {i % 2}") for i in range(900)] + [(i, "x" * 50) for i in range(2, 40)] + [(40, "y" * 5000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 41)], "doc_id long, toxic int")
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda blobs, prior: fitted.extend(toxicity._texts(blobs)))
+    toxicity.train(frame, labels, sample=15, sample_bytes=1000)
+    assert 10 <= len(fitted) <= 30 and max(len(g) for g, _ in fitted) < 200
+    fitted.clear()
+    toxicity.train(frame, labels)
+    assert len(fitted) == 2 + 38 + 1
+
+
+def test_ratios_and_weights_equal_a_plain_fit(spark):
+    """Characters, counts, ratios and the regression written out over dictionaries."""
+    rng = np.random.default_rng(3)
+    words_ = ["calm", "sea", "ÉTÉ", "naïve", "vile", "日本語", "scum", "tea"]
+    texts = [" ".join(rng.choice(words_[:4] + words_[7:] if i % 3 else words_[3:7], 6)) for i in range(60)]
+    labels = [int(i % 3 == 0) for i in range(60)]
+    batch = pa.record_batch({"text": texts, "label": labels})
+    model = toxicity.fit([b for out in toxicity._features(iter([batch])) for b in out.column(0).to_pylist()])
+
+    def grams(text):
+        lower = " " + "".join(c.lower() if c.isascii() else c for c in text) + " "
+        return {lower[i : i + n] for n in toxicity.ORDERS for i in range(len(lower) - n + 1)}
+
+    own = [grams(t) for t in texts]
+    seen = [{}, {}]
+    for g, y in zip(own, labels):
+        for x in g:
+            seen[y][x] = seen[y].get(x, 0) + 1
+    total = [sum(c.values()) + toxicity.FEATURES for c in seen]
+    ratio = {}
+    for x in set(seen[0]) | set(seen[1]):
+        clean, toxic = seen[0].get(x, 0), seen[1].get(x, 0)
+        r = np.log((toxic + 1) / total[1]) - np.log((clean + 1) / total[0])
+        if toxic + clean >= toxicity.MIN_TEXTS and abs(r) >= toxicity.MIN_RATIO:
+            ratio[x] = r
+    names = sorted(ratio)
+    x = np.array([[ratio[n] / np.sqrt(len(g)) if n in g else 0 for n in names] for g in own])
+    y = np.array(labels, float)
+    weight = np.where(y == 1, toxicity.PRIOR / y.mean(), (1 - toxicity.PRIOR) / (1 - y.mean()))
+
+    def pulled(w, b):
+        return weight * (1 / (1 + np.exp(-(x @ w + b))) - y)
+
+    # weights of the fit, by the plain names of the n-grams, are where the gradient vanishes
+    at = {n: int(g) for n in names for g in [single_hash(n)]}
+    w = np.array([model.weights[at[n]] / ratio[n] for n in names])
+    score = 1 / (1 + np.exp(-(x @ w + model.intercept)))
+    assert model.score(pa.array(texts)) == pytest.approx(score, abs=1e-6)
+    residual = pulled(w, model.intercept)
+    assert np.abs(x.T @ residual / len(y)).max() < 1e-3 and abs(residual.mean()) < 1e-3
+
+
+def single_hash(gram):
+    """The hash that the operator gives one n-gram, from a text that has it and no blanks of its own."""
+    text = np.frombuffer(gram.encode("utf-32-le"), np.uint32)
+    h = np.uint32(len(text))
+    with np.errstate(over="ignore"):
+        for c in text:
+            h = np.uint32(h * np.uint32(0x01000193)) ^ c
+        h ^= h >> np.uint32(15)
+        h = np.uint32(h * np.uint32(0x2C1B3C6D))
+        h ^= h >> np.uint32(12)
+    return h & np.uint32(toxicity.FEATURES - 1)
+
+
 # --- chat ------------------------------------------------------------------------------
 
 TURNS = [(1, 0, "system", "be & kind"), (1, 2, "assistant", "b"), (1, 1, "user", "a<|im_sep|>"),
