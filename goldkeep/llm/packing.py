@@ -92,13 +92,15 @@ class WordTokenizer:
         self.plain = Tokenizer.from_file(file)
         self.plain.encode_special_tokens = literal_marks
         self.marks = [t.content.lower() for t in self.plain.get_added_tokens_decoder().values()]
+        # most words are told apart by what all marks begin with
+        self.mark_head = os.path.commonprefix(self.marks)
         self.by_word = splits_words(file) and self.mark is not None
         self.end = end
         self.forget()
 
     def _has_mark(self, word: str) -> bool:
         lower = word.lower()
-        return any(m in lower for m in self.marks)
+        return self.mark_head in lower and any(m in lower for m in self.marks)
 
     def _stem(self, word: str) -> tuple[str, str]:
         """``word`` without what does not change its ids, and the mark to be put after it."""
@@ -123,8 +125,9 @@ class WordTokenizer:
         new = {s for s, _ in stems if s not in self.place} | {
             m for _, m in stems if m and m not in self.place
         }
-        self._encode([s for s in new if not self._has_mark(s)], self.tokenizer, 50)
-        self._encode([s for s in new if self._has_mark(s)], self.plain, 1)
+        marked = [s for s in new if self._has_mark(s)]
+        self._encode(list(new.difference(marked)), self.tokenizer, 50)
+        self._encode(marked, self.plain, 1)
         rest = [(w, s, m) for w, (s, m) in zip(words, stems) if w not in self.place]
         whole = np.fromiter((self.place[s] for _, s, _ in rest), np.int64, len(rest))
         tail = np.fromiter((self.place[m] if m else -1 for _, _, m in rest), np.int64, len(rest))
