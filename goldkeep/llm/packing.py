@@ -335,7 +335,8 @@ def pack(
     group = F.expr(f"shiftright(sequence_id, 40) div {MERGED_PARTITIONS}")
     grouped = left.withColumn("group", group)
     groups = (grouped.agg(F.max("group")).first()[0] or 0) + 1
-    dealt = grouped.repartition(groups, "group").sortWithinPartitions("group", "sequence_id", "offset")
+    dealt = grouped.repartitionById(groups, F.col("group").cast("int"))
+    dealt = dealt.sortWithinPartitions("group", "sequence_id", "offset")
     merged = dealt.mapInArrow(_merge(window, 1 << 62), schema)
     return stored.where("not open").unionByName(merged).drop("open")
 
