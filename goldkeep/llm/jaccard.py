@@ -12,32 +12,33 @@ short lists alone bring up all candidates, and long ones need only be probed.
 3. The first shingles of every set meet in buckets by hash. A list of at most ``LIST`` documents
    yields pairs, which are kept where they meet often enough; a longer list ties its documents
    of similar size together without listing pairs. What is tied is a family.
-4. Only documents of families are read again. Within a family, each document searches the
-   others: merge its short inverted lists, keep what occurs T - L times, probe the L longest
-   lists by binary search, stop where the overlap is out of reach. A family that is too large
-   for one task is a grid of cells, each of two blocks of bounded size.
-5. Links of families are joined to components.
-
-Documents already known to be in one component are not compared again, so links are reported
-as spanning links, which give the same components as all links.
+4. Only documents of families are read again. Within a family, each document searches all
+   others: merge its short inverted lists by a heap, keep what occurs T - L times, probe the L
+   longest lists by binary search, drop what can no longer reach T. Lists of the same documents
+   count as one with a weight. A family that is too large for one task is dealt to blocks of
+   bounded size; each sends its sets, numbered and packed, to the cells where two blocks meet.
+5. Every link is found and counted for both ends, with the rows that have equal sets. Links
+   themselves are reported as far as they span what they connect, and joined to components.
 
 Results for unusual input: a null or wordless text has the empty set, is linked with nothing and
 is its own component; a text of fewer words than a shingle has its whole sequence as the only
 shingle; rows that repeat an id are linked under that id; rows with a null id are given a null
-component; an empty table gives no rows; other columns are ignored, and kept by ``keep_one``.
+component and number of links, and count for no other row; an empty table gives no rows; other columns are ignored, and kept by ``keep_one``.
 Ids are integers.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldkeep.llm.blobs import groups_for, pack, unpack
+from goldkeep.llm.blobs import groups_for, pack, pack_arrays, unpack, unpack_arrays
 from goldkeep.llm.components import components
 from goldkeep.llm.words import (
     WHITE_SPACE,
@@ -49,6 +50,7 @@ from goldkeep.llm.words import (
     split,
     word_hashes,
 )
+from goldkeep.operators.joins import attach
 from goldkeep.shared import settle
 
 SHINGLE = 4
@@ -58,13 +60,30 @@ PERCENT = 85
 COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
 #: Longest list that is turned into pairs.
 LIST = 16
-#: Bytes of postings in a bucket, about; documents in a cell of a large family.
-BUCKET_BYTES, CELL = 8 << 20, 1000
+#: Bytes of postings in a bucket, about; documents and shingles in a block of a large family.
+BUCKET_BYTES, CELL, CELL_SHINGLES = 8 << 20, 1000, 1 << 21
 #: Cost of merging against probing; sets how many of the longest lists are only probed.
-SKIP = 0.1
+SKIP = 0.01
 #: Bits of the filter for documents that are read again.
 FILTER_BITS = 1 << 23
 
+#: What stands for a set, its rows' ids apart.
+PRINTS = ["size", "print1", "print2"]
+
+_FOUND = pa.schema(
+    [
+        ("kind", pa.string()),
+        *[(c, pa.int64()) for c in ("id", *PRINTS, "other", "n", "component")],
+        ("own", pa.int32()),
+        ("blocks", pa.int32()),
+        ("blob", pa.binary()),
+    ]
+)
+_FOUND_TYPES = (
+    "kind string, id long, size long, print1 long, print2 long, other long, n long, component long, "
+    "own int, blocks int, blob binary"
+)
+
 
 def required(size: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
     """Smallest overlap that links sets of these sizes."""
@@ -136,6 +155,15 @@ def list_lengths(texts: DataFrame, n: int) -> np.ndarray:
     return np.minimum(total.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
+def _prints(own: np.ndarray) -> tuple[int, int]:
+    """Two fingerprints of a set of shingles, both zero for the empty one."""
+    if not len(own):
+        return 0, 0
+    mixed = mix(own)
+    other = np.bitwise_xor.reduce(mix(mixed + np.uint64(1)))
+    return int(mixed.sum().view(np.int64)), int(other.view(np.int64))
+
+
 def _describe(lengths, n: int, percent: int):
     """Documents in; size, fingerprint and first shingles of each set out."""
 
@@ -145,10 +173,10 @@ def _describe(lengths, n: int, percent: int):
             size, one, two, head = [], [], [], []
             for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
                 own = np.unique(hashes[a:b])
-                mixed = mix(own)
+                sum_of, xor_of = _prints(own)
                 size.append(len(own))
-                one.append(mixed.sum().view(np.int64) if len(own) else 0)
-                two.append(np.bitwise_xor.reduce(mix(mixed + np.uint64(1))).view(np.int64) if len(own) else 0)
+                one.append(sum_of)
+                two.append(xor_of)
                 order = np.argsort(
                     lengths.value[(own & np.uint64(COUNTERS - 1)).view(np.int64)], kind="stable"
                 )
@@ -256,92 +284,194 @@ def _tally(low: np.ndarray, high: np.ndarray, need: np.ndarray):
     return low[at], high[at], need[at], np.diff(at, append=len(low))
 
 
-def _reread(seen):
-    """Texts in; those whose id the filter admits out."""
+def _reread(seen, n: int):
+    """Texts in; those whose id the filter admits, with size and fingerprints of their set, out."""
 
     def reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(seen.value, np.uint8)).view(bool)
-        for batch in batches:
+        for batch in slices(batches):
             slot = batch.column("slot").to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(bits[slot]))
+            batch = batch.filter(pa.array(bits[slot]))
+            hashes, first = shingle_sets(batch.column("text"), n)
+            sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            told = np.array([(len(s), *_prints(s)) for s in sets], np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), *map(pa.array, told.T), batch.column("text")], ["id", *PRINTS, "text"]
+            )
 
     return reread
 
 
+@dataclass
+class _Block:
+    """Documents of a family, ordered by size: id, size, fingerprints and how many rows have that
+    set. Shingles are numbered by ``known``; ``number`` has the sets one after another."""
+
+    docs: dict[str, np.ndarray]
+    known: np.ndarray
+    number: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table, n: int) -> _Block:
+        table = table.sort_by([("size", "ascending"), ("id", "ascending")])
+        hashes, first = shingle_sets(table["text"].combine_chunks(), n)
+        sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+        known, number = np.unique(np.concatenate(sets), return_inverse=True)
+        return cls({c: table[c].to_numpy() for c in ("id", *PRINTS, "weight")}, known, number)
+
+    def pack(self) -> bytes:
+        steps = np.diff(self.known, prepend=np.uint64(0))
+        return pack_arrays(**self.docs, known=steps, number=self.number.astype(np.int32))
+
+    @classmethod
+    def unpack(cls, blob: bytes) -> _Block:
+        held = unpack_arrays(blob)
+        return cls(held, np.cumsum(held.pop("known")), held.pop("number").astype(np.int64))
+
+    def sets(self) -> list[np.ndarray]:
+        return np.split(self.number, np.cumsum(self.docs["size"])[:-1])
+
+
 class _Index:
-    """Inverted lists of a cell. Shingles are numbered; list s is ``docs[first[s]:first[s+1]]``."""
-
-    def __init__(self, sets: list[np.ndarray], percent: int):
-        self.percent = percent
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        every = np.concatenate([np.zeros(0, np.uint64), *sets])
-        known, number = np.unique(every, return_inverse=True)
-        self.own = np.split(number, np.cumsum(self.sizes)[:-1]) if sets else []
-        of = np.repeat(np.arange(len(sets)), self.sizes)
-        order = np.argsort(number, kind="stable")
-        self.docs = of[order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(known)))])
-        # (list, document) in one number, sorted, for binary probes
-        self.pairs = number[order] * max(1, len(sets)) + self.docs
-
-    def search(self, x: int, wanted: np.ndarray) -> np.ndarray:
-        """Documents among ``wanted`` (a mask) whose overlap with x links them to x."""
-        size = self.sizes[x]
-        wanted = wanted & _similar_size(
-            np.minimum(self.sizes, size), np.maximum(self.sizes, size), self.percent
-        )
-        if not wanted.any():
-            return np.zeros(0, np.int64)
-        need = required(self.sizes, size, self.percent)
-        least = int(need[wanted].min())
-        own = self.own[x]
-        length = self.first[own + 1] - self.first[own]
-        own = own[np.argsort(length, kind="stable")]
+    """Inverted lists of a block: (list, document) in one number, sorted. Documents are ordered by
+    size, so partners of fitting size are a stretch of every list."""
+
+    def __init__(self, block: _Block, percent: int):
+        self.percent, self.sizes = percent, block.docs["size"]
+        self.n = len(self.sizes)
+        of = np.repeat(np.arange(self.n), self.sizes)
+        self.pairs = np.sort(block.number * self.n + of)
+        first = np.searchsorted(self.pairs, np.arange(len(block.known)) * self.n)
+        held = mix((self.pairs % self.n + 1).astype(np.uint64))
+        # lists of the same documents are merged and probed once, with their number as weight
+        _, self.kind = np.unique(np.add.reduceat(held, first), return_inverse=True)
+
+    def search(self, own: np.ndarray, size: int, low: int) -> np.ndarray:
+        """Documents from ``low`` on that are linked to a set of ``size`` shingles, ``own`` being
+        those of them that occur here."""
+        nothing = np.zeros(0, np.int64)
+        low = max(low, int(np.searchsorted(self.sizes, -(-self.percent * size // 100))))
+        high = int(np.searchsorted(self.sizes, 100 * size // self.percent, "right"))
+        if low >= high:
+            return nothing
+        need = required(self.sizes[low:high], size, self.percent)
+        least = int(need[0])
+        if len(own) < least:
+            return nothing
+        _, one, weight = np.unique(self.kind[own], return_index=True, return_counts=True)
+        lists = own[one] * self.n
+        start, stop = np.searchsorted(self.pairs, np.stack([lists + low, lists + high]))
+        order = np.argsort(stop - start, kind="stable")
+        order = order[np.count_nonzero(start == stop) :]
+        lists, start, stop, weight = lists[order], start[order], stop[order], weight[order]
+        if weight.sum() < least:
+            return nothing
         # DivideSkip: the longest lists are set aside and only probed
-        aside = int(min(least - 1, least / (SKIP * np.log(max(2, int(length.max()))) + 1)))
-        short, long = own[: len(own) - aside], own[len(own) - aside :]
-        merged = self.docs[runs(self.first[short], self.first[short + 1] - self.first[short])]
-        times = np.bincount(merged, minlength=len(self.sizes))
-        found = np.flatnonzero(wanted & (times >= need - aside) & (times > 0))
-        times = times[found]
-        for i in range(0, len(long), 64):
-            probe = long[i : i + 64, None] * len(self.sizes) + found[None, :]
-            at = np.minimum(np.searchsorted(self.pairs, probe), len(self.pairs) - 1)
-            times = times + (self.pairs[at] == probe).sum(0)
-            left = max(0, len(long) - i - 64)
-            reach = times >= need[found] - left
-            found, times = found[reach], times[reach]
+        longest = int(stop[-1] - start[-1])
+        aside = min(least - 1, int(least / (SKIP * np.log(max(2, longest)) + 1)))
+        short = len(order) - int(np.searchsorted(np.cumsum(weight[::-1]), aside, "right"))
+        found, times = self._merge(start[:short], stop[:short], weight[:short])
+        left = int(weight[short:].sum())
+        reach = times >= need[found - low] - left
+        found, times = found[reach], times[reach]
+        for i in range(short, len(order), 64):
             if not len(found):
                 break
-        return found[times >= need[found]]
+            probe = lists[i : i + 64, None] + found[None, :]
+            at = np.minimum(np.searchsorted(self.pairs, probe), len(self.pairs) - 1)
+            times = times + weight[i : i + 64] @ (self.pairs[at] == probe)
+            left -= int(weight[i : i + 64].sum())
+            reach = times >= need[found - low] - left
+            found, times = found[reach], times[reach]
+        return found
+
+    def _merge(self, start: np.ndarray, stop: np.ndarray, weight: np.ndarray):
+        """Documents of some lists, in order, and the weight of the lists that hold them. The
+        lists are merged by a heap of their heads."""
+        k = len(start)
+        held = [
+            (self.pairs[a:b] % self.n * k + i).tolist()
+            for i, (a, b) in enumerate(zip(start.tolist(), stop.tolist()))
+        ]
+        merged = np.fromiter(heapq.merge(*held), np.int64)
+        docs, of = np.divmod(merged, k)
+        first = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
+        return docs[first], np.add.reduceat(weight[of], first)
+
+
+def _compare(a: _Block, b: _Block, percent: int) -> tuple[dict, np.ndarray, list[tuple]]:
+    """The documents of one or two blocks, how many rows each is linked to within the block or
+    across the two, and links that span what all links connect."""
+    index, within = _Index(b, percent), a is b
+    docs, shift = a.docs, 0
+    place = np.arange(len(b.known))
+    if not within:
+        docs = {c: np.concatenate([a.docs[c], b.docs[c]]) for c in a.docs}
+        shift = len(a.docs["id"])
+        at = np.minimum(np.searchsorted(b.known, a.known), len(b.known) - 1)
+        place = np.where(b.known[at] == a.known, at, -1)
+    ids, size, weight = docs["id"], docs["size"], docs["weight"]
+    group, counts = np.arange(len(ids)), np.zeros(len(ids), np.int64)
+    links = []
+    for x, own in enumerate(a.sets()):
+        here = place[own]
+        found = index.search(here[here >= 0], int(size[x]), x + 1 if within else 0) + shift
+        counts[x] += weight[found].sum()
+        counts[found] += weight[x]
+        for y in found[group[found] != group[x]].tolist():
+            if group[y] != group[x]:
+                links.append((ids[x], ids[y]))
+                group[group == group[y]] = group[x]
+    return docs, counts, links
+
+
+def _told(docs: dict, counts: np.ndarray, links: list[tuple], block: pa.Table | None = None) -> pa.Table:
+    at = np.flatnonzero(counts)
+    ends = np.array(links, np.int64).reshape(-1, 2)
+    counted = {c: docs[c][at] for c in ("id", *PRINTS)}
+    parts = [
+        _FOUND.empty_table(),
+        pa.table({"kind": pa.array(["count"] * len(at), pa.string()), **counted, "n": counts[at]}),
+        pa.table({"kind": pa.array(["link"] * len(ends), pa.string()), "id": ends[:, 0], "other": ends[:, 1]}),
+    ]
+    if block is not None:
+        parts.append(block)
+    return pa.concat_tables(parts, promote_options="default")
+
+
+def _within(n: int, percent: int):
+    """The documents of a block in; links within it and, if its family has more blocks, the
+    packed block out."""
+
+    def within(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        blocks = table["blocks"][0].as_py()
+        block = _Block.of(table, n)
+        packed = None
+        if blocks > 1:
+            packed = pa.table(
+                {
+                    "kind": ["block"],
+                    "component": pa.array([key[0].as_py()], pa.int64()),
+                    "own": pa.array([key[1].as_py()], pa.int32()),
+                    "blocks": pa.array([blocks], pa.int32()),
+                    "blob": pa.array([block.pack()], pa.binary()),
+                }
+            )
+        return _told(*_compare(block, block, percent), packed)
 
+    return within
 
-def _link(n: int, percent: int):
-    """The documents of a cell in, spanning links between them out."""
 
-    def link(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
-        ids = table["id"].to_numpy()
-        hashes, first = shingle_sets(table["text"].combine_chunks(), n)
-        sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-        index = _Index(sets, percent)
-        group = np.arange(len(ids))
-        block = table["own"].to_numpy()
-        across = key[1].as_py() != key[2].as_py()
-        links = []
-        for x in range(len(ids)):
-            later = group != group[x]
-            later[: x + 1] = False
-            if across:  # pairs within a block have a cell of their own
-                later &= block != block[x]
-            for y in index.search(x, later).tolist():
-                if group[y] != group[x]:
-                    links.append((ids[x], ids[y]))
-                    group[group == group[y]] = group[x]
-        table = np.array(links, np.int64).reshape(-1, 2)
-        return pa.table({"u": table[:, 0], "v": table[:, 1]})
-
-    return link
+def _across(percent: int):
+    """Two blocks of a family in, links between them out."""
+
+    def across(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        blocks = [_Block.unpack(b) for b in table.sort_by("own")["blob"].to_pylist()]
+        if len(blocks) < 2:  # no document is in the other one
+            return _FOUND.empty_table()
+        return _told(*_compare(*blocks, percent))
+
+    return across
 
 
 def _families(rows: DataFrame, percent: int) -> DataFrame:
@@ -355,21 +485,41 @@ def _families(rows: DataFrame, percent: int) -> DataFrame:
     return components(edges.where("times >= need").select("u", "v"))
 
 
-def _cells(families: DataFrame) -> DataFrame:
-    """Ids with the cells of their families: one, or a row and a column of a grid."""
-    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / CELL).cast("int")
-    placed = families.join(sizes, "component").withColumn("blocks", blocks)
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = placed.withColumn("own", own)
-    other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
-    return placed.select("node", "component", "own", other).select(
-        F.col("node").alias("id"),
-        "component",
-        "own",
-        F.least("own", "other").alias("row"),
-        F.greatest("own", "other").alias("column"),
+def _blocks(same: DataFrame, families: DataFrame) -> DataFrame:
+    """Sets of families with the block of the family they are in."""
+    members = settle(same.drop("head").join(families.withColumnRenamed("node", "id"), "id"))
+    totals = members.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("members") / CELL), F.ceil(F.col("shingles") / CELL_SHINGLES)).cast("int")
+    totals = settle(totals.select("component", blocks.alias("blocks")))
+    placed = attach(members, totals, {"component": "component"}, how="inner")
+    return placed.withColumn("own", F.pmod(F.xxhash64("id", *PRINTS), F.col("blocks")).cast("int"))
+
+
+def _search_families(
+    texts: DataFrame, same: DataFrame, families: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """Numbers of links (kind ``count``) and spanning links (kind ``link``) of all families."""
+    sent = texts.sparkSession.sparkContext.broadcast(_filter_of(families))
+    again = texts.where("id is not null").withColumn("slot", _slot("id"))
+    again = again.mapInArrow(
+        _reread(sent, shingle), "id long, size long, print1 long, print2 long, text string"
+    )
+    again = again.groupBy("id", *PRINTS).agg(F.first("text").alias("text"))
+    inside = settle(
+        again.join(_blocks(same, families), ["id", *PRINTS])
+        .groupBy("component", "own")
+        .applyInArrow(_within(shingle, percent), _FOUND_TYPES)
+    )
+    cells = inside.where("kind = 'block'").select(
+        "component", "own", "blob", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+    )
+    cells = cells.where("own <> other").select(
+        "component", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("column"), "own", "blob"
     )
+    between = settle(
+        cells.groupBy("component", "row", "column").applyInArrow(_across(percent), _FOUND_TYPES)
+    )
+    return inside.where("kind <> 'block'").unionByName(between).drop("blob")
 
 
 def _filter_of(ids: DataFrame) -> bytes:
@@ -392,8 +542,8 @@ def link_documents(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """One row per document: its id, ``n_shingles``, the size of its set, and
-    ``component_id``, the smallest id that links lead to."""
+    """One row per document: its id, ``n_shingles``, the size of its set, ``component_id``, the
+    smallest id that links lead to, and ``n_links``, the number of other rows it is linked to."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     lengths = spark.sparkContext.broadcast(list_lengths(texts.select("text"), shingle))
@@ -402,41 +552,37 @@ def link_documents(
             _describe(lengths, shingle, percent), "id long, size long, print1 long, print2 long, head binary"
         )
     )
-    prints = ["size", "print1", "print2"]
-    named = described.where("id is not null and size > 0").select("id", *prints)
     # equal sets have equal first shingles
     same = settle(
         described.where("id is not null and size > 0")
-        .groupBy(*prints)
-        .agg(F.min("id").alias("id"), F.first("head").alias("head"))
+        .groupBy(*PRINTS)
+        .agg(F.min("id").alias("id"), F.first("head").alias("head"), F.count(F.lit(1)).alias("weight"))
     )
     families = settle(_families(same, percent))
-    cells = settle(_cells(families))
-    sent = spark.sparkContext.broadcast(_filter_of(families))
-    again = texts.where("id is not null").withColumn("slot", _slot("id"))
-    again = again.mapInArrow(_reread(sent), "id long, text string, slot int").drop("slot")
-    linked = (
-        again.join(cells, "id")
-        .groupBy("component", "row", "column")
-        .applyInArrow(_link(shingle, percent), "u long, v long")
-    )
+    found = _search_families(texts, same, families, shingle, percent)
 
-    stands = named.join(same.select(F.col("id").alias("stands"), *prints), prints).select(
-        "id", "stands"
-    )
+    counts = found.where("kind = 'count'").groupBy("id", *PRINTS).agg(F.sum("n").alias("n"))
+    others = F.col("weight") - 1 + F.coalesce("n", F.lit(0))
+    lookup = same.drop("head").join(counts, ["id", *PRINTS], "left")
+    lookup = settle(lookup.select(*PRINTS, F.col("id").alias("stands"), others.alias("n_links")))
+    # a set with a null id only stands for nothing
+    rows = settle(attach(described.drop("head"), lookup, {c: c for c in PRINTS}))
+
+    stands = rows.where("id is not null and stands is not null").select("id", "stands")
     # an id that names several sets links them
     several = stands.groupBy("id").agg(F.min("stands").alias("u"), F.max("stands").alias("last"))
     several = several.where("u <> last").join(stands, "id").select("u", F.col("stands").alias("v"))
-    joined = components(linked.unionByName(several))
-    known = joined.select(F.col("node").alias("stands"), F.col("component").alias("linked"))
-    component = stands.join(known, "stands", "left").groupBy("id").agg(
+    links = found.where("kind = 'link'").select(F.col("id").alias("u"), F.col("other").alias("v"))
+    joined = components(links.unionByName(several))
+    known = settle(joined.select(F.col("node").alias("stands"), F.col("component").alias("linked")))
+    component = attach(stands, known, {"stands": "stands"}).groupBy("id").agg(
         F.min(F.coalesce("linked", "stands")).alias("component")
     )
-    rows = described.select("id", "size")
     return rows.join(component, "id", "left").select(
         F.col("id").alias(id_column),
         F.col("size").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links"),
     )
 
 

@@ -104,10 +104,11 @@ links as (
     where 100 * c >= 85 * (x.n + y.n - c)),
 reach as (
     select doc_id as a, doc_id as b from docs
-    union select r.a, l.b from reach r join links l on r.b = l.a)
-select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+    union select r.a, l.b from reach r join links l on r.b = l.a),
+others as (select a as doc_id, count(*) as m from links group by a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, coalesce(m, 0)::bigint as n_links
 from (select a as doc_id, min(b) as component_id from reach group by a)
-left join sizes using (doc_id)
+left join sizes using (doc_id) left join others using (doc_id)
 """
 
 #: CRC-32: the reflected polynomial of the checksum is a fixed value.

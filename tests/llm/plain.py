@@ -79,6 +79,21 @@ def linked(docs, n=4, percent=85):
     return {i: find(i) for i, _ in sets}
 
 
+def link_counts(docs, n=4, percent=85):
+    """Sorted (id, number of other rows linked), over rows with an id; null without one."""
+    sets = [(i, shingles(t, n)) for i, t in docs]
+    out = []
+    for k, (i, a) in enumerate(sets):
+        if i is None:
+            continue
+        out.append((i, sum(
+            1 for j, (other, b) in enumerate(sets)
+            if j != k and other is not None and a and b
+            and 100 * len(a & b) >= percent * len(a | b)
+        )))
+    return sorted(out)
+
+
 def without_repeats(docs, n=13):
     """{(id, text): (kept words, removed)}; a null id is the largest."""
     first = {}

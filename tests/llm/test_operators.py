@@ -325,6 +325,8 @@ def test_links(spark, odd, monkeypatch, longest, cell):
     assert len(got) == len(rows)
     assert {(r.doc_id, r.component_id) for r in got} == {(i, want.get(i)) for i, _ in rows}
     assert sorted(r.n_shingles for r in got) == sorted(len(plain.shingles(t, 4)) for _, t in rows)
+    assert sorted((r.doc_id, r.n_links) for r in got if r.doc_id is not None) == plain.link_counts(rows)
+    assert all(r.n_links is None for r in got if r.doc_id is None)
 
 
 def near_copies(n):
@@ -344,11 +346,22 @@ def test_links_of_near_copies(spark, monkeypatch, longest, cell):
     monkeypatch.setattr(jaccard, "LIST", longest)
     monkeypatch.setattr(jaccard, "CELL", cell)
     rows = near_copies(60)
+    # copies of near copies: a set may stand for several rows
+    rows += [(100 + i, text.upper()) for i, text in rows[:9]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for n, percent in ((4, 85), (5, 80), (3, 70)):
         want = plain.linked(rows, n, percent)
         got = jaccard.link_documents(docs, n, percent).collect()
         assert {r.doc_id: r.component_id for r in got} == want
+        assert sorted((r.doc_id, r.n_links) for r in got) == plain.link_counts(rows, n, percent)
+
+
+def test_links_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST", 2)
+    monkeypatch.setattr(jaccard, "CELL_SHINGLES", 200)
+    rows = near_copies(40)
+    got = jaccard.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_links) for r in got) == plain.link_counts(rows)
 
 
 def test_links_empty(empty, odd):
