@@ -173,6 +173,20 @@ ORACLE: dict[str, str] = {
     "fk_violations": f"with {GROUPED} select l_partkey as id, count(*) as n_rows from lineitem "
     "where l_partkey is not null and not exists (select 1 from grouped where golden = l_partkey) "
     "group by all",
+    "pk_over_batches": "select l_partkey, l_suppkey, count(*) as n_rows from lineitem group by all "
+    "having count(*) > 1 or l_partkey is null or l_suppkey is null",
+    "fk_over_batches": f"with {GROUPED} select l_partkey as id, count(*) as n_rows from lineitem "
+    "where l_partkey is not null and not exists (select 1 from grouped where golden = l_partkey) "
+    "group by all",
+    "integrity_stored": "select 'before' as remap, * from ("
+    + _integrity("select l_partkey from lineitem", GOLDEN, GROUPED + ",")
+    + ") union all select 'after' as remap, * from ("
+    + _integrity(
+        "select coalesce(golden, l_partkey) from lineitem left join grouped on l_partkey = p_partkey",
+        GOLDEN,
+        GROUPED + ",",
+    )
+    + ")",
     "entity_profile": """
       select 'part' as table_name, 'master' as entity_class, count(*) as n_rows,
              format('{:,}', count(*)) as n_rows_text from part

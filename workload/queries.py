@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from goldkeep.functions.missing import normalise_missing
 from goldkeep.functions.tags import tags_to_map
-from goldkeep.operators import constraints, dedup, governance, integrity, keyfilter, profile, ranking, remap
+from goldkeep.operators import constraints, dedup, governance, integrity, keycounts, keyfilter, profile, ranking
+from goldkeep.operators import remap
 from goldkeep.operators import rules as rule_tables
 from goldkeep.operators import similarity, star
 from goldkeep.plans import reconcile, star_load
-from goldkeep.shared import scratch_path, settle
+from goldkeep.shared import scratch_path, scratch_table, settle
 from goldkeep.sources import files, layout, publish
 from workload.tables import (
     AS_OF,
@@ -314,6 +315,34 @@ def fk_violations(spark, folder):
     return constraints.fk_violations(lines, "l_partkey", _golden_parts(spark, folder), "id")
 
 
+def _stored_lines(spark, folder, *columns):
+    """Counts of line-item keys, loaded as one batch per way of return; one is loaded twice."""
+    stored = keycounts.KeyCounts(spark, scratch_table("key_counts"), columns, buckets=32)
+    rows = table(spark, folder, "lineitem", "l_returnflag", *columns)
+    for flag in ("A", "N", "A"):
+        stored.load(flag, rows.where(F.col("l_returnflag") == flag))
+    stored.load("other", rows.where(~F.coalesce(F.col("l_returnflag").isin("A", "N"), F.lit(False))))
+    return stored
+
+
+def pk_over_batches(spark, folder):
+    """Suppliers that one part has in several lines, whichever batches those came in."""
+    return _stored_lines(spark, folder, "l_partkey", "l_suppkey").pk_violations()
+
+
+def fk_over_batches(spark, folder):
+    parents = _golden_parts(spark, folder)
+    return _stored_lines(spark, folder, "l_partkey").fk_violations(parents, "id")
+
+
+def integrity_stored(spark, folder):
+    """Both reports of the part keys, before and after the remap, from their stored counts."""
+    stored = _stored_lines(spark, folder, "l_partkey")
+    done = reconcile.check_stored(stored, parts(spark, folder), MATCH, "p_partkey")
+    before = done.before.summary.select(F.lit("before").alias("remap"), "*")
+    return before.unionByName(done.after.summary.select(F.lit("after").alias("remap"), "*"))
+
+
 # --- profiles ------------------------------------------------------------------------
 
 def entity_profile(spark, folder):
@@ -411,7 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         two_role_keys, two_role_keys_one_table, orphans, orphans_filtered, unused_master, unused_filtered, integrity_report,
         integrity_before_remap, integrity_after_remap, remap_keys, remap_two_roles, remap_literal,
         dim_borough, dim_service, star_dim, star_head, star_publish, star_publish_tables, pk_violations, fk_violations,
-        fk_filtered,
+        fk_filtered, pk_over_batches, fk_over_batches, integrity_stored,
         entity_profile, schema_profile, reference_values,
         object_inventory, retention_expired, grant_check, prefix_rules, retention_rules, grant_rules, tags_to_map_, tags_exploded,
         tag_violations, manifest_prefixes, prefix_purpose, prefix_usage,
