@@ -1,29 +1,37 @@
-"""Scores of texts under a word bigram model with Katz backoff.
-
-The probability of a token after its predecessor is its discounted relative count where the pair
-was seen in training, else the backoff weight of the predecessor times the probability of the
-token alone; that in turn is its discounted relative count, or the mass left for unknown words,
-which are one class. Discounts are Good-Turing's, from counts of counts over the whole training
-part. Backoff weights make the probabilities after every predecessor sum to one exactly.
-
-The text is read once. Its tokens go to buckets by their predecessor: a part of the corpus sends a
-bucket its distinct pairs and, for each, the documents it occurs in.
-
-1. A bucket adds up pair counts and writes them, bucketed, with the occurrences. It asks for the
-   counts of the second words it has seen, and adds its own to them.
+"""Scores of texts under a word n-gram model with Katz backoff.
+
+The probability of a token after the ``order - 1`` tokens before it is its discounted relative
+count where the n-gram was seen in training, else the backoff weight of that context times the
+probability under the context without its earliest token, and so on down to the token alone;
+that is its discounted relative count, or the mass left for unknown words, which are one class.
+Discounts are Good-Turing's, one set per length of n-gram, from counts of counts over the whole
+training part. Backoff weights make the probabilities after every context sum to one exactly.
+Places before a text hold one begin token each.
+
+The text is read once. A token goes to a bucket by its predecessor, so the n-grams of all lengths
+from two on, their contexts and what these back off to are in one bucket, and only single words
+are counted elsewhere. A part of the corpus sends a bucket its distinct n-grams and, for each, the
+documents it occurs in.
+
+1. A bucket adds up n-gram counts of every length and writes them, bucketed, with the occurrences.
+   It asks for the counts of the words it has seen, and adds its own to them.
 2. Word counts are added up per vocabulary bucket and sent back in the order they were asked for.
-3. Every bucket computes its discounts and backoff weights, evaluates all occurrences and sends
-   one sum per document to where the document's sums meet.
+3. Every bucket computes backoff weights and probabilities from pairs up to the longest n-grams,
+   each length from the one below, evaluates all occurrences and sends one sum per document to
+   where the document's sums meet.
 
-A predecessor with a large share of all tokens is spread over several buckets by the token that
-follows; its counts, kept and backed-off probability are then added up over those buckets before
-step 3. There are at most ``2 * SPREAD * MOST_SPREAD`` of them.
+A predecessor with a large share of all tokens is spread over several buckets by the token before
+it (in a pair model, by the token that follows). Contexts of two and more tokens stay whole; only
+pairs of such a predecessor are in several buckets. Their counts are added up in step 2 with those
+of the words, and the sums over all tokens after the predecessor between steps 2 and 3. There are
+at most ``2 * SPREAD * MOST_SPREAD`` such predecessors. One context of two tokens is not split.
 
-Pair and word counts stay in the written tables, see :func:`ngram_tables`.
+Counts stay in the written tables, see :func:`ngram_tables`.
 
 Good-Turing's formula can leave no or negative discounts where counts of counts are few or
-uneven; they are then put on a log-log line first, and if that fails (r - 1/2) / r is the discount. A predecessor whose counts all exceed the discounted ones gives up one part in
-its count plus one, so no token ever has probability zero.
+uneven; they are then put on a log-log line first, and if that fails (r - 1/2) / r is the discount.
+A context whose counts all exceed the discounted ones gives up one part in its count plus one, so
+no token ever has probability zero.
 
 Results for unusual input: a null or empty text is the end token alone; a text of unknown words
 scores as such; without training texts every token is unknown and has probability one; repeated rows
@@ -49,24 +57,27 @@ from goldkeep.shared import scratch_path, scratch_table, settle
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
 #: Bytes of text whose tokens meet in one bucket, about.
-BUCKET_BYTES = 24 << 20
-#: Most file groups of the bucketed table; beyond, several buckets share one.
-MOST_BUCKETS = 4096
-
-#: Texts of a part of the corpus; more of them share more pairs but need more memory.
-PART_ROWS = 5000
+BUCKET_BYTES = 12 << 20
+#: Most file groups of the bucketed table, and most tasks that add up buckets; beyond, several
+#: buckets share one.
+MOST_BUCKETS, MOST_TASKS = 4096, 20_000
+
+#: Tokens of an n-gram.
+ORDER = 3
+#: Texts of a part of the corpus; more of them share more n-grams but need more memory.
+PART_ROWS = 4000
 #: A predecessor is spread from one part in ``SPREAD`` of a bucket's share on; shares of buckets
 #: are taken as if there were no more than ``MOST_SPREAD``.
 SPREAD, MOST_SPREAD = 4, 10_000
 
-#: Hashes that stand for the place before a text and the end of it.
+#: Hashes that stand for a place before a text and the end of it.
 BEGIN, END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC2B2AE3D27D4EB4F)
 
-_STORED = "kind string, bucket int, target long, blob binary"
+_STORED = "kind string, bucket int, target long, blob binary, docs binary, n array<bigint>"
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Predecessor, token and text number of every token, the ends included."""
+    """Hashes of all tokens, the ends included; first token and number of tokens of every text."""
     words = split(texts, WHITE_SPACE, lower=True)
     counts = words.counts + 1
     first = np.cumsum(counts) - counts
@@ -74,11 +85,15 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     place = np.ones(len(token), bool)
     place[first + counts - 1] = False
     token[place] = word_hashes(words)
-    del words, place
+    return token, first, counts
+
+
+def _before(token: np.ndarray, first: np.ndarray, begin) -> np.ndarray:
+    """What stands before every token of its text."""
     before = np.empty_like(token)
     before[1:] = token[:-1]
-    before[first] = BEGIN
-    return before, token, np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    before[first] = begin
+    return before
 
 
 def _count_heads(least: float):
@@ -87,12 +102,12 @@ def _count_heads(least: float):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, PART_ROWS):
-            before, _, _ = _tokens(batch.column(0))
-            head, n = _run_lengths(np.sort(before))
-            often = n >= least * len(before)
+            token, first, _ = _tokens(batch.column(0))
+            head, n = _run_lengths(np.sort(_before(token, first, BEGIN)))
+            often = n >= least * len(token)
             head = np.append(head[often], np.uint64(0)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(head), pa.array(np.append(n[often], len(before)))], ["head", "n"]
+                [pa.array(head), pa.array(np.append(n[often], len(token)))], ["head", "n"]
             )
 
     return count
@@ -112,55 +127,95 @@ def frequent_heads(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarr
     return head[order], parts[order]
 
 
-def _deal(buckets: int, frequent):
-    """Texts in, their pairs by bucket out; ``target`` is the part of the corpus. The ids of a
+def _grouped(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows by columns of numbers below ``size``, the first column first, and which
+    rows of that order begin a group of equal ones."""
+    bits = max(1, (size - 1).bit_length())
+    if bits * len(columns) < 64:
+        key = np.zeros(len(columns[0]), np.int64)
+        for column in columns:
+            key = key << bits | column
+        order = np.argsort(key)
+        return order, _begins([key[order]])
+    order = np.lexsort(columns[::-1])
+    return order, _begins([c[order] for c in columns])
+
+
+def _begins(columns: list[np.ndarray]) -> np.ndarray:
+    """Where a value of any column differs from the one before it."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
+def _sizes(new: np.ndarray) -> np.ndarray:
+    return np.diff(np.flatnonzero(new), append=len(new))
+
+
+def _pack_grams(words: np.ndarray, grams: np.ndarray, train: np.ndarray) -> bytes:
+    """Ordered n-grams of a part for one bucket: a context as one number and its size."""
+    used, place = np.unique(grams, return_inverse=True)
+    place = place.reshape(grams.shape).astype(np.int32)
+    arrays = {"words": _steps(words[used]), "last": place[-1], "train": train.astype(np.int32)}
+    for level in range(len(grams) - 1):
+        new = _begins(list(place[: level + 1]))
+        arrays[f"context{level}"] = place[level][new]
+        arrays[f"size{level}"] = _sizes(new).astype(np.int32)
+    return pack_arrays(**arrays)
+
+
+def _deal(order: int, buckets: int, frequent):
+    """Texts in, their n-grams by bucket out; ``target`` is the part of the corpus. The ids of a
     part travel to a bucket with a negative number."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
         for batch in slices(batches, PART_ROWS):
-            before, token, text = _tokens(batch.column(1))
+            token, first, counts = _tokens(batch.column(1))
             learnt = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            order = np.lexsort((token, before))
-            before, token, text = before[order], token[order], text[order]
-            del order
-            new = np.ones(len(token), bool)
-            new[1:] = (before[1:] != before[:-1]) | (token[1:] != token[:-1])
+            words, code = np.unique(np.append(token, BEGIN), return_inverse=True)
+            code, begin = code[:-1].astype(np.int32), code[-1]
+            del token
+            # from the predecessor to the earliest token, then the token itself
+            columns = [_before(code, first, begin)]
+            while len(columns) < order - 1:
+                columns.append(_before(columns[-1], first, begin))
+            columns.append(code)
+            by, new = _grouped(columns, len(words))
+            text = np.repeat(np.arange(len(counts), dtype=np.int32), counts)[by]
             at = np.flatnonzero(new)
-            times = np.diff(at, append=len(token))
-            train = np.add.reduceat(learnt[text], at, dtype=np.int64) if len(at) else at
-            bucket = _bucket(before[at], token[at], buckets, *frequent.value)
-            order = np.argsort(bucket, kind="stable")
-            at, times, train, bucket = at[order], times[order], train[order], bucket[order]
-            text = text[runs(at, times)]
+            times = _sizes(new)
+            train = np.add.reduceat(learnt[text], at, dtype=np.int64)
+            grams = np.stack([c[by[at]] for c in columns])
+            del columns, code, by, new
+            bucket = _bucket(words[grams[0]], words[grams[1]], buckets, *frequent.value)
+            by = np.argsort(bucket, kind="stable")
+            times, train, bucket, grams = times[by], train[by], bucket[by], grams[:, by]
+            text = text[runs(at[by], times)]
             place = np.cumsum(times) - times
             used, first = np.unique(bucket, return_index=True)
-            ends = np.append(first[1:], len(at))
-            blobs = []
+            ends = np.append(first[1:], len(bucket))
+            blobs, docs = [], []
             for a, b in zip(first.tolist(), ends.tolist()):
-                heads, count = _run_lengths(before[at[a:b]])
-                words, second = np.unique(token[at[a:b]], return_inverse=True)
-                blobs.append(
+                blobs.append(_pack_grams(words, grams[:, a:b], train[a:b]))
+                docs.append(
                     pack_arrays(
-                        head=_steps(heads),
-                        head_pairs=count.astype(np.int32),
-                        words=_steps(words),
-                        second=second.astype(np.int32),
                         times=times[a:b].astype(np.int32),
-                        train=train[a:b].astype(np.int32),
-                        docs=text[place[a] : place[b - 1] + times[b - 1]].astype(np.int32),
+                        docs=text[place[a] : place[b - 1] + times[b - 1]],
                     )
                 )
-            tokens = np.bincount(text, minlength=batch.num_rows)
-            ids = pa.table({"id": batch.column(0), "learnt": learnt, "n_tokens": tokens})
+            ids = pa.table({"id": batch.column(0), "learnt": learnt, "n_tokens": counts})
             numbers = np.append(used, -1 - (part + (part >> 32)) % buckets).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(numbers),
                     pa.array(np.full(len(numbers), part)),
                     pa.array([*blobs, pack(ids)], pa.binary()),
+                    pa.array([*docs, None], pa.binary()),
                 ],
-                ["bucket", "target", "blob"],
+                ["bucket", "target", "blob", "docs"],
             )
             part += 1
 
@@ -170,7 +225,7 @@ def _deal(buckets: int, frequent):
 def _bucket(
     head: np.ndarray, word: np.ndarray, buckets: int, frequent: np.ndarray, parts: np.ndarray
 ) -> np.ndarray:
-    """Bucket of pairs of hashes: that of the first, or one of several for a frequent first."""
+    """Bucket of a predecessor, or one of several, by another word, for a frequent one."""
     bucket = ((head >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     at, place = _find(head, frequent)
     bucket[at] += (mix(word[at]) % parts[place].astype(np.uint64)).astype(np.int64)
@@ -204,100 +259,145 @@ def _counts_of_counts(counts: np.ndarray) -> np.ndarray:
 
 
 def _rows(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary()]
-    columns = zip(*rows) if rows else [[], [], [], []]
-    names = ["kind", "bucket", "target", "blob"]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+    names = ["kind", "bucket", "target", "blob", "docs", "n"]
+    full = [row + (None,) * (len(names) - len(row)) for row in rows]
+    columns = zip(*full) if full else [[] for _ in names]
     return pa.table({n: pa.array(list(c), k) for n, c, k in zip(names, columns, kinds)})
 
 
-def _add_pairs(vocabularies: int):
-    """All pairs of a bucket in; their counts, their occurrences, what the bucket asks of the
+def _statistics_row(number: int, level: int, n: np.ndarray) -> tuple:
+    return ("statistics", number, level, None, None, n.tolist())
+
+
+def _merged(sent: list[dict], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Words of all parts, and their n-grams as columns of places of words with train counts."""
+    words, place = np.unique(
+        np.concatenate([np.cumsum(s["words"]) for s in sent]), return_inverse=True
+    )
+    ends = np.cumsum([len(s["words"]) for s in sent])
+    places = [p.astype(np.int32) for p in np.split(place, ends[:-1])]
+    columns = [
+        np.concatenate(
+            [np.repeat(p[s[f"context{j}"]], s[f"size{j}"]) for p, s in zip(places, sent)]
+        )
+        for j in range(order - 1)
+    ]
+    columns.append(np.concatenate([p[s["last"]] for p, s in zip(places, sent)]))
+    return words, columns, np.concatenate([s["train"] for s in sent])
+
+
+def _add_grams(order: int, vocabularies: int, frequent):
+    """All n-grams of a bucket in; their counts, their occurrences, what the bucket asks of the
     vocabulary, and counts of counts out."""
 
     def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         bucket = key[0].as_py()
-        parts, blobs = table["target"].to_pylist(), table["blob"].to_pylist()
+        parts, blobs, docs = (table[c].to_pylist() for c in ("target", "blob", "docs"))
         if bucket < 0:
             return _rows([("ids", bucket, part, blob) for part, blob in zip(parts, blobs)])
         sent = [unpack_arrays(b) for b in blobs]
-        head = np.concatenate([np.repeat(np.cumsum(s["head"]), s["head_pairs"]) for s in sent])
-        word = np.concatenate([np.cumsum(s["words"])[s["second"]] for s in sent])
-        order = np.lexsort((word, head))
-        head, word = head[order], word[order]
-        new = np.ones(len(head), bool)
-        new[1:] = (head[1:] != head[:-1]) | (word[1:] != word[:-1])
-        at = np.flatnonzero(new)
-        pair = np.empty(len(head), np.int32)
-        pair[order] = np.cumsum(new) - 1
-        train = np.concatenate([s["train"] for s in sent])[order]
-        count = np.add.reduceat(train, at, dtype=np.int64)
-        heads, head_pairs = _run_lengths(head[at])
-        vocabulary = (mix(word[at]) % np.uint64(vocabularies)).astype(np.int64)
-        # words in the order of the questions, so that answers need no names
-        by = np.lexsort((word[at], vocabulary))
-        words, size = _run_lengths(word[at][by])
-        second = np.empty(len(at), np.int32)
-        second[by] = np.repeat(np.arange(len(words)), size)
-        rows = [
-            (
-                "pairs",
-                bucket,
-                0,
-                pack_arrays(
-                    head=_steps(heads),
-                    head_pairs=head_pairs.astype(np.int32),
-                    second=second,
-                    count=count,
-                ),
-            ),
-            ("statistics", bucket, 2, pack_arrays(n=_counts_of_counts(count))),
-        ]
-        start = 0
-        for part, own in zip(parts, sent):
-            mine = pair[start : start + len(own["second"])]
-            start += len(mine)
-            blob = pack_arrays(pair=mine, times=own["times"], docs=own["docs"])
-            rows.append(("occurrences", bucket, part, blob))
-        asked = vocabulary[by][np.cumsum(size) - size]
-        own = np.bincount(second, weights=count, minlength=len(words)).astype(np.int64)
-        for number, first, length in zip(*_stretches(asked)):
-            stop = first + length
-            blob = pack_arrays(words=_steps(words[first:stop]), count=own[first:stop])
-            rows.append(("questions", bucket, int(number), blob))
+        words, columns, count = _merged(sent, order)
+        sizes = [len(s["last"]) for s in sent]
+        del sent, blobs
+        by, new = _grouped(columns, len(words))
+        gram = np.empty(len(by), np.int32)
+        gram[by] = np.cumsum(new) - 1
+        rows, start = [], 0
+        for part, size, own in zip(parts, sizes, docs):
+            # a part sends its n-grams in the order they have here
+            mine = np.diff(gram[start : start + size], prepend=np.int32(0))
+            rows.append(("occurrences", bucket, part, pack_arrays(gram=mine), own))
+            start += size
+        arrays = {}
+        for level in range(order, 1, -1):
+            at = np.flatnonzero(new)
+            count = np.add.reduceat(count[by], at, dtype=np.int64)
+            columns = [c[by[at]] for c in columns]
+            arrays[f"count{level}"] = count
+            arrays[f"size{level}"] = _sizes(_begins(columns[:-1])).astype(np.int32)
+            if level > 2:
+                rows.append(_statistics_row(bucket, level, _counts_of_counts(count)))
+                # the n-grams without their earliest token
+                del columns[-2]
+                by, new = _grouped(columns, len(words))
+                lower = np.empty(len(by), np.int32)
+                lower[by] = np.cumsum(new) - 1
+                arrays[f"lower{level}"] = lower
+        head, last = words[columns[0]], columns[-1]
+        # words and spread pairs in the order of the questions, so that answers need no names
+        used = np.unique(last)
+        target, by = _targets(words[used], vocabularies)
+        asked = words[used][by]
+        rank = np.empty(len(words), np.int32)
+        rank[used[by]] = np.arange(len(used))
+        arrays["lower2"] = rank[last]
+        own = np.bincount(rank[last], weights=count, minlength=len(used)).astype(np.int64)
+        spread, _ = _find(head, frequent.value[0])
+        rows.append(_statistics_row(bucket, 2, _counts_of_counts(np.delete(count, spread))))
+        names = mix(head[spread] * _PAIR + words[last[spread]])
+        pair_target, by = _targets(names, vocabularies)
+        arrays["spread"] = spread[by].astype(np.int32)
+        names, pair_count = names[by], count[spread[by]]
+        arrays["heads"] = _steps(_run_lengths(head)[0])
+        rows.append(("grams", bucket, 0, pack_arrays(**arrays)))
+        for number in np.union1d(target, pair_target).tolist():
+            a, b = np.searchsorted(target, [number, number + 1])
+            c, d = np.searchsorted(pair_target, [number, number + 1])
+            blob = pack_arrays(
+                words=_steps(asked[a:b]),
+                words_count=own[a:b],
+                pairs=_steps(names[c:d]),
+                pairs_count=pair_count[c:d],
+            )
+            rows.append(("questions", bucket, number, blob))
         return _rows(rows)
 
     return add
 
 
-def _stretches(values: np.ndarray):
-    found, length = _run_lengths(values)
-    return found, np.cumsum(length) - length, length
+#: Odd, so that different predecessors give different names to pairs.
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _targets(names: np.ndarray, vocabularies: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vocabulary buckets of hashes, in order, and the order of the hashes by them."""
+    target = (mix(names) % np.uint64(vocabularies)).astype(np.int64)
+    by = np.lexsort((names, target))
+    return target[by], by
 
 
 def _add_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """All questions to a vocabulary bucket in; word counts, answers and counts of counts out."""
+    """All questions to a vocabulary bucket in; counts of words and of spread pairs, answers and
+    counts of counts out. The first that asks for a pair is told to count it for its predecessor."""
     number, blobs = key[0].as_py(), table["blob"].to_pylist()
     sent = [unpack_arrays(b) for b in blobs]
-    asked = np.concatenate([np.cumsum(s["words"]) for s in sent])
-    words, place = np.unique(asked, return_inverse=True)
-    own = np.concatenate([s["count"] for s in sent])
-    count = np.bincount(place, weights=own, minlength=len(words)).astype(np.int64)
+    totals, told, owner = {}, {}, {}
+    for what in ("words", "pairs"):
+        asked = np.concatenate([np.cumsum(s[what]) for s in sent])
+        own = np.concatenate([s[f"{what}_count"] for s in sent])
+        names, first, place = np.unique(asked, return_index=True, return_inverse=True)
+        count = np.bincount(place, weights=own, minlength=len(names)).astype(np.int64)
+        totals[what], told[what] = (names, count), count[place]
+        owner[what] = np.zeros(len(asked), np.uint8)
+        owner[what][first] = 1
+    words, count = totals["words"]
+    known = [(count > 0).sum(), count.sum()]
     rows = [
         ("words", number, 0, pack_arrays(words=_steps(words), count=count)),
-        (
-            "statistics",
-            number,
-            1,
-            pack_arrays(
-                n=np.append(_counts_of_counts(count), [(count > 0).sum(), count.sum()]).astype(np.int64)
-            ),
-        ),
+        _statistics_row(number, 1, np.append(_counts_of_counts(count), known).astype(np.int64)),
+        _statistics_row(number, 2, _counts_of_counts(totals["pairs"][1])),
     ]
-    start = 0
+    at = {"words": 0, "pairs": 0}
     for bucket, one in zip(table["bucket"].to_pylist(), sent):
-        stop = start + len(one["words"])
-        rows.append(("answers", bucket, number, pack_arrays(count=count[place[start:stop]])))
-        start = stop
+        part = {what: slice(a, a + len(one[what])) for what, a in at.items()}
+        answer = pack_arrays(
+            count=told["words"][part["words"]],
+            pairs=told["pairs"][part["pairs"]],
+            owner=owner["pairs"][part["pairs"]],
+        )
+        rows.append(("answers", bucket, number, answer))
+        at = {what: own.stop for what, own in part.items()}
     return _rows(rows)
 
 
@@ -324,114 +424,132 @@ def _on_a_line(n: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What all buckets need to know: discounts of pairs and words, tokens and distinct tokens
-    in training, and the probability of the class of unknown words."""
+    """What all buckets need to know: discounts of n-grams by their length, tokens and distinct
+    tokens in training, and the probability of the class of unknown words."""
 
-    pair_discount: np.ndarray
-    word_discount: np.ndarray
+    discounts: dict[int, np.ndarray]
     tokens: int
     types: int
     unknown: float = 1.0
     known_share: float = 1.0
 
     @classmethod
-    def of(cls, pairs: np.ndarray, words: np.ndarray, types: int, tokens: int) -> Model:
-        model = cls(good_turing(pairs), good_turing(words), tokens, types)
+    def of(cls, counts: dict[int, np.ndarray], types: int, tokens: int) -> Model:
+        """From counts of counts by length."""
+        model = cls({k: good_turing(n) for k, n in counts.items()}, tokens, types)
         r = np.arange(1, DISCOUNTED + 1)
         if tokens:
-            freed = float((words[r] * r * (1 - model.word_discount[r])).sum())
+            freed = float((counts[1][r] * r * (1 - model.discounts[1][r])).sum())
             model.unknown = freed / tokens if freed else 1 / (tokens + 1)
             model.known_share = 1.0 if freed else tokens / (tokens + 1)
         return model
 
+    def discounted(self, level: int, count: np.ndarray) -> np.ndarray:
+        return self.discounts[level][np.minimum(count, DISCOUNTED + 1)] * count
+
     def word_probability(self, count: np.ndarray) -> np.ndarray:
-        discounted = self.word_discount[np.minimum(count, DISCOUNTED + 1)] * count
-        known = self.known_share * discounted / max(1, self.tokens)
+        known = self.known_share * self.discounted(1, count) / max(1, self.tokens)
         return np.where(count > 0, known, self.unknown)
 
     def base(self, count: np.ndarray) -> np.ndarray:
         """Log probability by add-one counts."""
         return np.log10((count + 1) / (self.tokens + self.types + 1))
 
-    def head_sums(
-        self, count: np.ndarray, head_of: np.ndarray, heads: int, word: np.ndarray
+    def context_sums(
+        self, level: int, count: np.ndarray, context: np.ndarray, contexts: int, lower: np.ndarray
     ) -> np.ndarray:
-        """Of each first word: tokens after it in training, discounted ones, and the probability
-        of those tokens alone. ``head_of`` numbers the first word of a pair, ``word`` is the
-        probability of its second word alone."""
-        discounted = self.pair_discount[np.minimum(count, DISCOUNTED + 1)] * count
-        parts = (count, discounted, np.where(count > 0, word, 0))
-        return np.stack([np.bincount(head_of, part, minlength=heads) for part in parts])
-
-    def pair_probability(
-        self, count: np.ndarray, head_of: np.ndarray, sums: np.ndarray, word: np.ndarray
+        """Of each context: tokens after it in training, discounted ones, and the probability
+        of those tokens under the shorter context. ``context`` numbers that of an n-gram,
+        ``lower`` is the probability under the shorter one."""
+        parts = (count, self.discounted(level, count), np.where(count > 0, lower, 0))
+        return np.stack([np.bincount(context, part, minlength=contexts) for part in parts])
+
+    def probability(
+        self, level: int, count: np.ndarray, context: np.ndarray, sums: np.ndarray, lower: np.ndarray
     ) -> np.ndarray:
-        """Probability of each pair, given the sums over all pairs of its first word."""
-        total, discounted, seen_alone = sums[:, head_of]
-        kept = self.pair_discount[np.minimum(count, DISCOUNTED + 1)] * count / np.maximum(total, 1)
+        """Probability of the last token of each n-gram, given the sums of all contexts."""
+        total, discounted, seen_lower = sums
         left = 1 - discounted / np.maximum(total, 1)
-        # nothing was discounted after this word
+        # nothing was discounted after this context
         full = (left < 1e-12) & (total > 0)
-        kept = np.where(full, kept * total / (total + 1), kept)
+        share = np.where(full, total / (total + 1), 1.0) / np.maximum(total, 1)
         left = np.where(full, 1 / (total + 1), left)
-        backoff = np.where(total > 0, left / np.maximum(1 - seen_alone, 1e-300), 1.0)
-        return np.where(count > 0, kept, backoff * word)
-
-
-def _counts(pairs: dict, answers: pa.Table, model: Model):
-    """Count, first word and count of the second word of the pairs of a bucket."""
-    told = answers.sort_by("target")["blob"].to_pylist()
-    count = np.concatenate([unpack_arrays(b)["count"] for b in told])
-    head_of = np.repeat(np.arange(len(pairs["head"])), pairs["head_pairs"])
-    word_count = count[pairs["second"]]
-    own = pairs["count"]
-    sums = model.head_sums(own, head_of, len(pairs["head"]), model.word_probability(word_count))
-    return own, head_of, word_count, sums
+        backoff = np.where(total > 0, left / np.maximum(1 - seen_lower, 1e-300), 1.0)
+        kept = self.discounted(level, count) * share[context]
+        return np.where(count > 0, kept, backoff[context] * lower)
+
+
+class _Bucket:
+    """N-grams of a bucket with the answers it got."""
+
+    def __init__(self, blob: bytes, answers: pa.Table):
+        told = [unpack_arrays(b) for b in answers.sort_by("target")["blob"].to_pylist()]
+        self.grams = unpack_arrays(blob)
+        self.heads = np.cumsum(self.grams["heads"])
+        self.word_count = np.concatenate([t["count"] for t in told])
+        self.spread_count = np.concatenate([t["pairs"] for t in told])
+        self.owner = np.concatenate([t["owner"] for t in told]).astype(bool)
+
+    def _level(self, level: int, below: np.ndarray):
+        size = self.grams[f"size{level}"]
+        count = self.grams[f"count{level}"]
+        if level == 2:
+            count[self.grams["spread"]] = self.spread_count
+        return count, np.repeat(np.arange(len(size)), size), len(size), below[self.grams[f"lower{level}"]]
+
+    def spread_sums(self, model: Model, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Frequent predecessors of the bucket and its part of their sums."""
+        count, head, heads, lower = self._level(2, model.word_probability(self.word_count))
+        count[self.grams["spread"]] = np.where(self.owner, self.spread_count, 0)
+        at, _ = _find(self.heads, frequent)
+        return self.heads[at], model.context_sums(2, count, head, heads, lower)[:, at]
+
+    def scores(self, model: Model, order: int, frequent: np.ndarray, over_all: np.ndarray):
+        """Probability of each n-gram and how often its last token was seen in training."""
+        below, word = model.word_probability(self.word_count), self.word_count
+        for level in range(2, order + 1):
+            count, context, contexts, lower = self._level(level, below)
+            sums = model.context_sums(level, count, context, contexts, lower)
+            if level == 2:
+                at, place = _find(self.heads, frequent)
+                sums[:, at] = over_all[:, place]
+            below = model.probability(level, count, context, sums, lower)
+            word = word[self.grams[f"lower{level}"]]
+        return below, word
 
 
 def _spread_sums(model, frequent):
-    """Pairs and answers of a bucket in; the bucket's part of the sums of frequent heads out."""
+    """N-grams and answers of a bucket in; the bucket's part of the sums of frequent heads out."""
 
     def add(stored: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["head", "total", "discounted", "alone"]
         head, sums = np.zeros(0, np.uint64), np.zeros((3, 0))
         for blob in stored["blob"].to_pylist():
-            pairs = unpack_arrays(blob)
-            *_, sums = _counts(pairs, answers, model.value)
-            head = np.cumsum(pairs["head"])
-            at, _ = _find(head, frequent.value[0])
-            head, sums = head[at], sums[:, at]
+            head, sums = _Bucket(blob, answers).spread_sums(model.value, frequent.value[0])
         return pa.table([pa.array(head.view(np.int64)), *map(pa.array, sums)], names=names)
 
     return add
 
 
-def _evaluate(model, spread):
+def _evaluate(order: int, model, spread):
     """Counts, occurrences and answers of a bucket in; sums per document, by part, out."""
 
     def evaluate(stored: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = list(zip(*(stored[c].to_pylist() for c in ("kind", "target", "blob"))))
-        pairs = [unpack_arrays(b) for kind, _, b in rows if kind == "pairs"]
-        if not pairs:
+        rows = list(zip(*(stored[c].to_pylist() for c in ("kind", "target", "blob", "docs"))))
+        grams = [blob for kind, _, blob, _ in rows if kind == "grams"]
+        if not grams:
             return _rows([])
-        known = model.value
-        own, head_of, word_count, sums = _counts(pairs[0], answers, known)
-        frequent, over_all = spread.value
-        at, place = _find(np.cumsum(pairs[0]["head"]), frequent)
-        sums[:, at] = over_all[:, place]
-        probability = known.pair_probability(
-            own, head_of, sums, known.word_probability(word_count)
-        )
-        score, base = np.log10(probability), known.base(word_count)
+        probability, count = _Bucket(grams[0], answers).scores(model.value, order, *spread.value)
+        score, base = np.log10(probability), model.value.base(count)
         out = []
-        for kind, part, blob in rows:
+        for kind, part, blob, docs in rows:
             if kind == "occurrences":
-                own = unpack_arrays(blob)
-                pair = np.repeat(own["pair"], own["times"])
+                own = unpack_arrays(docs)
+                gram = np.repeat(np.cumsum(unpack_arrays(blob)["gram"]), own["times"])
                 sums = {
-                    "score": np.bincount(own["docs"], score[pair]),
-                    "base": np.bincount(own["docs"], base[pair]),
-                    "known": np.bincount(own["docs"], word_count[pair] > 0).astype(np.int32),
+                    "score": np.bincount(own["docs"], score[gram]),
+                    "base": np.bincount(own["docs"], base[gram]),
+                    "known": np.bincount(own["docs"], count[gram] > 0).astype(np.int32),
                 }
                 out.append(("sums", 0, part, pack_arrays(**sums)))
         return _rows(out)
@@ -463,18 +581,24 @@ def _finish(id_type: pa.DataType):
     return finish
 
 
-def _statistics(rows: DataFrame, level: int, width: int) -> np.ndarray:
-    """Sum of a few numbers per bucket."""
-    chosen = rows.where((F.col("kind") == "statistics") & (F.col("target") == level))
-    total = np.zeros(width, np.int64)
-    for row in chosen.select("blob").toLocalIterator():
-        total += unpack_arrays(row["blob"])["n"]
-    return total
+def _statistics(rows: DataFrame, width: int) -> dict[int, np.ndarray]:
+    """Sums of the numbers of all buckets by level, added up by Spark."""
+    sums = [F.sum(F.get("n", F.lit(i))) for i in range(width)]
+    found = rows.where("kind = 'statistics'").groupBy("target").agg(*sums).collect()
+    return {r[0]: np.array([n or 0 for n in r[1:]], np.int64) for r in found}
 
 
-def ngram_tables(docs: DataFrame, learnt: Column, id_column: str = "doc_id", text_column: str = "text"):
-    """The written tables of pairs (bucketed by predecessor) and of words, and which
+def ngram_tables(
+    docs: DataFrame,
+    learnt: Column,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    order: int = ORDER,
+):
+    """The written tables of n-grams (bucketed by predecessor) and of words, and which
     predecessors are spread over several buckets."""
+    if order < 2:
+        raise ValueError("an n-gram has two tokens at least")
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_column).alias("id"),
@@ -483,35 +607,49 @@ def ngram_tables(docs: DataFrame, learnt: Column, id_column: str = "doc_id", tex
     )
     buckets = groups_for(text_size(docs, text_column), BUCKET_BYTES)
     frequent = spark.sparkContext.broadcast(frequent_heads(rows.select("text"), buckets))
-    dealt = rows.mapInArrow(_deal(buckets, frequent), "bucket int, target long, blob binary")
-    added = dealt.groupBy("bucket").applyInArrow(_add_pairs(buckets), _STORED)
-    # bucketed, so that the answers can come to the pairs without moving them
-    name = scratch_table("pairs")
+    # a task that is run again numbers its rows alike
+    rows = rows.sortWithinPartitions("id", F.xxhash64("text"), "learnt")
+    dealt = rows.mapInArrow(
+        _deal(order, buckets, frequent), "bucket int, target long, blob binary, docs binary"
+    )
+    # one bucket per task
+    dealt = dealt.repartitionById(min(buckets, MOST_TASKS), "bucket")
+    added = dealt.groupBy("bucket").applyInArrow(_add_grams(order, buckets, frequent), _STORED)
+    # bucketed, so that the answers can come to the n-grams without moving them
+    name = scratch_table("grams")
     # what is in the blobs is compressed already
     written = added.write.option("compression", "none")
     written.bucketBy(min(buckets, MOST_BUCKETS), "bucket").saveAsTable(name)
-    pairs = spark.table(name)
+    grams = spark.table(name)
     path = scratch_path(spark, "words")
-    questions = pairs.where("kind = 'questions'").select("target", "bucket", "blob")
+    questions = grams.where("kind = 'questions'").select("target", "bucket", "blob")
     counted = questions.groupBy("target").applyInArrow(_add_words, _STORED)
     counted.write.option("compression", "none").parquet(path)
-    return pairs, spark.read.schema(_STORED).parquet(path), frequent
+    return grams, spark.read.schema(_STORED).parquet(path), frequent
 
 
 def score_texts(
-    docs: DataFrame, learnt: Column, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    learnt: Column,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    order: int = ORDER,
 ) -> DataFrame:
     """``id``, ``learnt``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and
-    ``score`` of every text; the model learns from the rows of which ``learnt`` is true."""
+    ``score`` of every text; the model of n-grams of ``order`` tokens (two at least) learns from
+    the rows of which ``learnt`` is true."""
     spark = docs.sparkSession
-    pairs, words, frequent = ngram_tables(docs, learnt, id_column, text_column)
-    of_pairs = _statistics(pairs, 2, DISCOUNTED + 2)
-    of_words = _statistics(words, 1, DISCOUNTED + 4)
-    model = Model.of(of_pairs, of_words[: DISCOUNTED + 2], *(int(n) for n in of_words[-2:]))
+    grams, words, frequent = ngram_tables(docs, learnt, id_column, text_column, order)
+    width = DISCOUNTED + 4
+    of = _statistics(grams.select("kind", "target", "n").union(words.select("kind", "target", "n")), width)
+    of = {level: of.get(level, np.zeros(width, np.int64)) for level in range(1, order + 1)}
+    types, tokens = (int(n) for n in of[1][-2:])
+    model = Model.of({level: n[: DISCOUNTED + 2] for level, n in of.items()}, types, tokens)
     sent = spark.sparkContext.broadcast(model)
-    answers = words.where("kind = 'answers'").groupBy("bucket")
+    answers = words.where("kind = 'answers'").select("bucket", "target", "blob").groupBy("bucket")
     parts = (
-        pairs.where("kind = 'pairs'")
+        grams.where("kind = 'grams'")
+        .select("bucket", "blob")
         .groupBy("bucket")
         .cogroup(answers)
         .applyInArrow(
@@ -525,12 +663,13 @@ def score_texts(
     over_all = np.array([r[1:] for r in found], float).reshape(-1, 3).T
     spread = spark.sparkContext.broadcast((head, over_all))
     sums = (
-        pairs.where("kind in ('pairs', 'occurrences')")
+        grams.where("kind in ('grams', 'occurrences')")
+        .select("kind", "bucket", "target", "blob", "docs")
         .groupBy("bucket")
         .cogroup(answers)
-        .applyInArrow(_evaluate(sent, spread), _STORED)
+        .applyInArrow(_evaluate(order, sent, spread), _STORED)
     )
-    ids = pairs.where("kind = 'ids'")
+    ids = grams.where("kind = 'ids'")
     kind = docs.schema[id_column].dataType
     scored = ids.groupBy("target").cogroup(sums.groupBy("target")).applyInArrow(
         _finish(to_arrow_type(kind)),

@@ -113,20 +113,26 @@ def without_repeats(docs, n=13):
 
 
 class Katz:
-    """The bigram model of plain counts; ``discounts`` maps counts of counts to discounts."""
-
-    def __init__(self, texts, discounts, top):
-        tokens = [self.tokens(t) for t in texts]
-        self.one = Counter(w for t in tokens for w in t[1:])
-        self.two = Counter(p for t in tokens for p in zip(t, t[1:]))
-        self.total, self.top = sum(self.one.values()), top
-        self.d1, self.d2 = (discounts(self.ofs(c)) for c in (self.one, self.two))
+    """The model of plain counts; ``discounts`` maps counts of counts to discounts."""
+
+    def __init__(self, texts, discounts, top, order=3):
+        self.order, self.top = order, top
+        self.counts = {k: Counter() for k in range(1, order + 1)}
+        for tokens in map(self.tokens, texts):
+            for i in range(order - 1, len(tokens)):
+                for k in self.counts:
+                    self.counts[k][tuple(tokens[i - k + 1 : i + 1])] += 1
+        self.one = Counter({w: n for (w,), n in self.counts[1].items()})
+        self.total = sum(self.one.values())
+        self.d = {k: discounts(self.ofs(c)) for k, c in self.counts.items()}
         self.after = defaultdict(list)
-        for (a, b), n in self.two.items():
-            self.after[a].append((b, n))
-        freed = sum(n * (1 - self.d1[min(n, top)]) for n in self.one.values())
+        for k in range(2, order + 1):
+            for gram, n in self.counts[k].items():
+                self.after[gram[:-1]].append((gram[-1], n))
+        freed = sum(n * (1 - self.d[1][min(n, top)]) for n in self.one.values())
         self.unknown = (freed or 1) / (self.total + (0 if freed else 1)) if self.total else 1.0
         self.share = 1.0 if freed else self.total / (self.total + 1)
+        self.known = {}
 
     def ofs(self, counts):
         import numpy as np
@@ -134,28 +140,38 @@ class Katz:
         of = Counter(counts.values())
         return np.array([0, *(of[r] for r in range(1, self.top + 1))])
 
-    @staticmethod
-    def tokens(text):
-        return ["<begin>", *spaced((text or "").translate(ASCII)), "<end> "]
+    def tokens(self, text):
+        return ["<begin>"] * (self.order - 1) + spaced((text or "").translate(ASCII)) + ["<end> "]
 
     def word(self, w):
         n = self.one[w]
-        return self.share * self.d1[min(n, self.top)] * n / self.total if n else self.unknown
-
-    def pair(self, a, b):
-        if a not in self.after:
-            return self.word(b)
-        total = sum(n for _, n in self.after[a])
-        kept = {w: self.d2[min(n, self.top)] * n / total for w, n in self.after[a]}
-        left = 1 - sum(kept.values())
-        if left < 1e-12:
-            kept = {w: p * total / (total + 1) for w, p in kept.items()}
-            left = 1 / (total + 1)
-        return kept.get(b) or left / (1 - sum(self.word(w) for w in kept)) * self.word(b)
+        return self.share * self.d[1][min(n, self.top)] * n / self.total if n else self.unknown
+
+    def given(self, context):
+        """Probabilities kept for the words seen after a context, and its backoff weight."""
+        if context not in self.known:
+            seen = self.after[context]
+            total, d = sum(n for _, n in seen), self.d[len(context) + 1]
+            kept = {w: d[min(n, self.top)] * n / total for w, n in seen}
+            left = 1 - sum(kept.values())
+            if left < 1e-12:
+                kept = {w: p * total / (total + 1) for w, p in kept.items()}
+                left = 1 / (total + 1)
+            shorter = sum(self.probability(context[1:], w) for w in kept)
+            self.known[context] = kept, left / (1 - shorter)
+        return self.known[context]
+
+    def probability(self, context, w):
+        if not context:
+            return self.word(w)
+        if context not in self.after:
+            return self.probability(context[1:], w)
+        kept, backoff = self.given(context)
+        return kept.get(w) or backoff * self.probability(context[1:], w)
 
     def score(self, text):
-        t = self.tokens(text)
-        return sum(math.log10(self.pair(a, b)) for a, b in zip(t, t[1:]))
+        t, n = self.tokens(text), self.order
+        return sum(math.log10(self.probability(tuple(t[i - n + 1 : i]), t[i])) for i in range(n - 1, len(t)))
 
 
 def aligned(docs, a, b, spell_a, spell_b):

@@ -490,21 +490,21 @@ def test_tokenizer_forgets(monkeypatch):
 # --- language model --------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("size", [24 << 20, 20_000])
-def test_katz(spark, odd, monkeypatch, size):
+@pytest.mark.parametrize("size, order", [(24 << 20, 3), (20_000, 3), (20_000, 2), (60_000, 4)])
+def test_katz(spark, odd, monkeypatch, size, order):
     monkeypatch.setattr(katz, "BUCKET_BYTES", size)
     more = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     docs = odd.select("doc_id", "text").unionByName(more)
     learnt = F.col("doc_id") % 5 != 0
-    got = katz.score_texts(docs, learnt).collect()
+    got = katz.score_texts(docs, learnt, order=order).collect()
     rows = odd_rows(docs)
     assert len(got) == len(rows)
     train = [t for i, t in rows if i is not None and i % 5]
-    model = plain.Katz(train, katz.good_turing, katz.DISCOUNTED + 1)
+    model = plain.Katz(train, katz.good_turing, katz.DISCOUNTED + 1, order)
     size = len(model.one) + 1
     want = []
     for i, t in rows:
-        tokens = model.tokens(t)[1:]
+        tokens = model.tokens(t)[order - 1 :]
         base = sum(np.log10((model.one[w] + 1) / (model.total + size)) for w in tokens)
         known = sum(model.one[w] > 0 for w in tokens)
         want.append((str(i), len(tokens), known, model.total, base, model.score(t)))
@@ -515,11 +515,39 @@ def test_katz(spark, odd, monkeypatch, size):
         assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9)
 
 
-def test_katz_sums_to_one():
+def test_good_turing():
+    """Discounts written out for counts of counts 100, 40, 20, 10, 5 and 3."""
+    top = 6 * 3 / 100
+    want = [(ratio - top) / (1 - top) for ratio in (0.8, 0.75, 2 / 3, 0.625, 0.72)]
+    assert katz.good_turing(np.array([0, 100, 40, 20, 10, 5, 3])) == pytest.approx([0, *want, 1])
+    # no counts of counts to go by
+    assert katz.good_turing(np.zeros(7, int))[1:3] == pytest.approx([0.5, 0.75])
+
+
+def test_katz_sums_to_one(spark, monkeypatch):
+    """Every word after every context, the operator's own scores: one text per ending, less the
+    score of the text without it."""
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 40)
     texts = ["a b c a b", "b c c d", "a a a", "e"] * 3
+    words = ["a", "b", "c", "d", "e", "never"]
+    # a score of "x y w" begins with those of x and y, which all endings share
+    contexts = ["a b", "b c", "c d", "never a", "never never"]
+    rows = [(i, t, True) for i, t in enumerate(texts)]
+    tried = [(c, w) for c in contexts for w in words]
+    rows += [(1000 + i, f"{c} {w}", False) for i, (c, w) in enumerate(tried)]
+    rows += [(5000 + i, c, False) for i, c in enumerate(contexts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    got = {r.id: r.score for r in katz.score_texts(docs, F.col("learn")).collect()}
     model = plain.Katz(texts, katz.good_turing, katz.DISCOUNTED + 1)
-    for before in [*model.one, "<begin>", "not seen"]:
-        assert sum(model.pair(before, w) for w in [*model.one, "unknown"]) == pytest.approx(1)
+    for i, c in enumerate(contexts):
+        x, y = c.split()
+        begun = model.probability(("<begin>",) * 2, x) * model.probability(("<begin>", x), y)
+        # the end follows as the token of the context alone
+        total = 10 ** got[5000 + i] / begun
+        for j, (d, w) in enumerate(tried):
+            if d == c:
+                total += 10 ** got[1000 + j] / begun / model.probability((y, w), "<end> ")
+        assert total == pytest.approx(1)
 
 
 def test_katz_without_training(odd, empty):
