@@ -6,6 +6,12 @@ few, so they travel as one string, a super-k-mer, to the bucket of the minimiser
 have equal minimisers and meet in one bucket, which sorts its windows, compares equal ones
 word by word and knows the smallest document of each.
 
+A minimiser that stands for a large share of all super-k-mers, as a frequent phrase with many
+surroundings does, is heavy. A window under a heavy minimiser goes by the hash of all its words
+instead, which equal windows share as well, so such windows spread over all buckets. Heavy
+minimisers are found beforehand in one pass over the texts; there are at most
+``2 * SPREAD * MOST_SPREAD`` of them.
+
 1. Documents are dealt into chunks of bounded size. A chunk sends each distinct super-k-mer
    once per bucket, with the smallest and largest document that has it, so a passage that
    everybody copies reaches its bucket once per chunk.
@@ -21,6 +27,8 @@ are replaced, all others are kept. Ids are integers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,14 +43,20 @@ from goldkeep.llm.words import (
     gram_places,
     mix,
     runs,
+    slices,
     split,
     word_hashes,
 )
+from goldkeep.shared import settle
 
 WINDOW, MINIMISER = 13, 3
 #: Bytes of text that one chunk or one bucket holds, about.
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 
+#: A minimiser is heavy from one part in ``SPREAD`` of a bucket's share on; shares of buckets are
+#: taken as if there were no more than ``MOST_SPREAD``.
+SPREAD, MOST_SPREAD = 4, 100_000
+
 NO_ID = np.iinfo(np.int64).max
 ADDED = {"n_words": "bigint", "n_removed": "bigint", "kept_text": "string"}
 
@@ -57,22 +71,30 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
+def _super_kmer_runs(words: Words, window: int, minimiser: int, heavy: np.ndarray):
+    """First word, number of windows and key of all super-k-mers. The key is the minimiser, or
+    the hash of the whole window where that is ``heavy`` (in order)."""
+    minimiser = min(minimiser, window)
+    places = gram_places(words.first, window)
+    least = np.zeros(0, np.uint64)
+    if len(places):
+        hashes = word_hashes(words)
+        least = _sliding_min(gram_hashes(hashes, minimiser), window - minimiser + 1)[places]
+        if len(heavy):
+            at = np.flatnonzero(heavy[np.searchsorted(heavy[:-1], least)] == least)
+            least[at] = gram_hashes(hashes, window)[places[at]]
+    new = np.ones(len(places), bool)
+    new[1:] = (least[1:] != least[:-1]) | (np.diff(places) != 1)
+    first = np.flatnonzero(new)
+    return places[first], np.diff(first, append=len(places)), least[first]
+
+
 class _SuperKmers:
     """Super-k-mers of a chunk: occurrence i begins at word ``start[i]`` of row ``row[i]``,
     covers ``windows[i]`` windows and spells ``distinct[which[i]]``."""
 
-    def __init__(self, words: Words, window: int, minimiser: int):
-        minimiser = min(minimiser, window)
-        places = gram_places(words.first, window)
-        hashes = gram_hashes(word_hashes(words), minimiser)
-        least = np.zeros(0, np.uint64)
-        if len(places):
-            least = _sliding_min(hashes, window - minimiser + 1)[places]
-        new = np.ones(len(places), bool)
-        new[1:] = (least[1:] != least[:-1]) | (np.diff(places) != 1)
-        first = np.flatnonzero(new)
-        self.start = places[first]
-        self.windows = np.diff(first, append=len(places))
+    def __init__(self, words: Words, window: int, minimiser: int, heavy: np.ndarray):
+        self.start, self.windows, key = _super_kmer_runs(words, window, minimiser, heavy)
         self.row = words.text_of()[self.start]
         last = self.start + self.windows + window - 2
         raw = words.data.tobytes()
@@ -81,8 +103,49 @@ class _SuperKmers:
         coded = spelled.dictionary_encode()
         self.distinct = coded.dictionary
         self.which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.minimiser = np.zeros(len(self.distinct), np.uint64)
-        self.minimiser[self.which] = least[first]
+        self.key = np.zeros(len(self.distinct), np.uint64)
+        self.key[self.which] = key
+
+
+def _count_minimisers(window: int, minimiser: int, least: float):
+    """Texts in; minimisers with at least this share of the bytes of a batch's different
+    super-k-mers, added up, and all such bytes (no minimiser), out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = split(batch.column(0), WHITE_SPACE)
+            start, windows, key = _super_kmer_runs(words, window, minimiser, np.zeros(0, np.uint64))
+            if not len(start):
+                continue
+            # a super-k-mer is named by its first window and its length, well enough to count
+            name = gram_hashes(word_hashes(words), window)[start] + mix(windows.astype(np.uint64))
+            one = np.unique(name, return_index=True)[1]
+            size = words.ends[start + windows + window - 2] - words.starts[start]
+            keys, place = np.unique(key[one], return_inverse=True)
+            total = np.bincount(place, size[one]).astype(np.int64)
+            often = total >= least * total.sum()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*keys[often].view(np.int64).tolist(), None], pa.int64()),
+                    pa.array(np.append(total[often], total.sum())),
+                ],
+                ["key", "n"],
+            )
+
+    return count
+
+
+def heavy_minimisers(texts: DataFrame, window: int, minimiser: int, buckets: int) -> np.ndarray:
+    """Hashes, in order, of the minimisers with a large share of all super-k-mers."""
+    shares = SPREAD * min(buckets, MOST_SPREAD)
+    # counting leaves out less than one part in 2 * shares, so none above 1 / shares is missed
+    counted = texts.mapInArrow(
+        _count_minimisers(window, minimiser, 1 / (2 * shares)), "key long, n long"
+    )
+    counted = settle(counted.groupBy("key").agg(F.sum("n").alias("n")))
+    total = counted.where("key is null").agg(F.max("n")).first()[0] or 0
+    found = counted.where(F.col("key").isNotNull() & (F.col("n") * (2 * shares) >= total)).collect()
+    return np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
 
 
 def _chunk_rows(table: pa.Table, id_column: str, text_column: str):
@@ -97,17 +160,17 @@ def _chunk_rows(table: pa.Table, id_column: str, text_column: str):
     return table, ids, split(text, WHITE_SPACE)
 
 
-def _send(id_column: str, text_column: str, window: int, minimiser: int, buckets: int):
+def _send(id_column: str, text_column: str, window: int, minimiser: int, buckets: int, heavy):
     """Chunk in, one row per bucket with its distinct super-k-mers out."""
 
     def send(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         _, ids, words = _chunk_rows(table, id_column, text_column)
-        found = _SuperKmers(words, window, minimiser)
+        found = _SuperKmers(words, window, minimiser, heavy.value)
         count = len(found.distinct)
         low, high = np.full(count, NO_ID), np.full(count, np.iinfo(np.int64).min)
         np.minimum.at(low, found.which, ids[found.row])
         np.maximum.at(high, found.which, ids[found.row])
-        bucket = (mix(found.minimiser) % np.uint64(buckets)).astype(np.int64)
+        bucket = (mix(found.key) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         all_rows = pa.table(
             {
@@ -213,12 +276,14 @@ _NO_RUNS = pa.table(
 )
 
 
-def _remove(names: list[str], id_column: str, text_column: str, window: int, minimiser: int):
+def _remove(
+    names: list[str], id_column: str, text_column: str, window: int, minimiser: int, heavy
+):
     """A chunk and its answers in, its documents without the repeated words out."""
 
     def remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
         rows, ids, words = _chunk_rows(docs, id_column, text_column)
-        found = _SuperKmers(words, window, minimiser)
+        found = _SuperKmers(words, window, minimiser, heavy.value)
         told = pa.concat_tables([_NO_RUNS, *(unpack(b) for b in answers["blob"].to_pylist())])
         told = told.sort_by("index")
         index = told["index"].to_numpy()
@@ -270,18 +335,21 @@ def drop_repeated_substrings(
     chunks = groups_for(size, CHUNK_BYTES)
     # a word is in about three super-k-mers
     buckets = groups_for(3 * size, BUCKET_BYTES)
+    heavy = docs.sparkSession.sparkContext.broadcast(
+        heavy_minimisers(kept.select(text_column), window, minimiser, buckets)
+    )
     dealt = kept.withColumn("_digest", F.xxhash64(text_column)).withColumn(
         "_chunk", group_of(chunks, id_column, "_digest")
     )
     # laid out once; both passes over the chunks read this exchange
     dealt = dealt.repartition("_chunk")
     sent = dealt.groupBy("_chunk").applyInArrow(
-        _send(id_column, text_column, window, minimiser, buckets),
+        _send(id_column, text_column, window, minimiser, buckets, heavy),
         "_bucket int, _chunk int, blob binary",
     )
     answers = sent.groupBy("_bucket").applyInArrow(_answer(window), "_chunk int, blob binary")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
     schema = ", ".join([*fields, *(f"{name} {kind}" for name, kind in ADDED.items())])
-    remove = _remove(kept.columns, id_column, text_column, window, minimiser)
+    remove = _remove(kept.columns, id_column, text_column, window, minimiser, heavy)
     found = dealt.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(remove, schema)
     return found.toDF(*names, *ADDED)

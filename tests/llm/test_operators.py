@@ -487,6 +487,38 @@ def test_tokenizer_forgets(monkeypatch):
     assert small(texts)[0].tolist() == small(texts)[0].tolist() == plain_ids
 
 
+def test_substrings_heavy_minimiser(spark, monkeypatch):
+    """One phrase is the minimiser of most windows, in ever other surroundings."""
+    tried = [f"p{i} q{i} r{i}" for i in range(60_000)]
+    spelled = words.split(pa.array(tried), words.WHITE_SPACE)
+    phrase = tried[int(np.argmin(words.gram_hashes(words.word_hashes(spelled), 3)[::3]))]
+    rng = np.random.default_rng(1)
+    texts = [
+        " ".join(f"w{rng.integers(10**6)} w{rng.integers(10**6)} {phrase}" for _ in range(120))
+        for _ in range(200)
+    ]
+    texts += [t + " own end" for t in texts[:50]] + [f"own start {t}" for t in texts[25:60]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 100_000)
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 100_000)
+    heavy = substrings.heavy_minimisers(docs.select("text"), 13, 3, 40)
+    assert len(heavy) >= 1
+    spelled = words.split(pa.array(texts), words.WHITE_SPACE)
+
+    def sizes(heavy):
+        found = substrings._SuperKmers(spelled, 13, 3, heavy)
+        length = [len(t) for t in found.distinct.to_pylist()]
+        return np.bincount((words.mix(found.key) % np.uint64(40)).astype(int), length, minlength=40)
+
+    assert sizes(heavy).max() < 2 * np.median(sizes(heavy))
+    assert sizes(heavy[:0]).max() > 10 * np.median(sizes(heavy[:0]))
+    want = plain.without_repeats(list(enumerate(texts)))
+    got = substrings.drop_repeated_substrings(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.kept_text, r.n_removed) == want[r.doc_id, r.text]
+
+
 # --- language model --------------------------------------------------------------------
 
 
