@@ -211,7 +211,9 @@ def _tile(group: pa.Table) -> pa.Table:
     width = group["width"][0].as_py()
     side = group["side"].to_numpy()
     names = group["source"].combine_chunks().dictionary_encode()
-    code = names.indices.to_numpy(zero_copy_only=False)
+    # a pair is named the same way round in every tile, in whatever order its rows come in
+    order = pc.sort_indices(names.dictionary)
+    code = np.argsort(order.to_numpy())[names.indices.to_numpy(zero_copy_only=False)]
     ordinal = group["ordinal"].to_numpy(zero_copy_only=False)
     share = group["share"].to_numpy(zero_copy_only=False)
     base = np.isnan(ordinal.astype(float))
@@ -238,7 +240,7 @@ def _tile(group: pa.Table) -> pa.Table:
         a.append(np.full(len(chosen), sources[i]))
         b.append(others[chosen])
         value.append(np.abs(right[chosen] - left[i]).sum(1))
-    label = names.dictionary
+    label = names.dictionary.take(order)
     return pa.table(
         {
             "lang": pa.array([group["lang"][0].as_py()] * sum(map(len, a)), pa.string()),

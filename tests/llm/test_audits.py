@@ -216,6 +216,20 @@ def test_audit(spark, monkeypatch, small):
     assert sorted(map(tuple, got.collect())) == sorted(plain.divergence(docs, 9, 4))
 
 
+def test_rows_of_a_tile_may_come_in_any_order(spark, monkeypatch):
+    tile = divergence._tile
+
+    def shuffled(group: pa.Table) -> pa.Table:
+        mixed = np.random.default_rng(group["low"][0].as_py()).permutation(group.num_rows)
+        return tile(group.take(pa.array(mixed)))
+
+    monkeypatch.setattr(divergence, "TILE_TERMS", 3)
+    monkeypatch.setattr(divergence, "_tile", shuffled)
+    docs = corpus()
+    got = divergence.audit(spark.createDataFrame(docs, "lang string, source string, text string"), least=2, top=4)
+    assert sorted(map(tuple, got.collect())) == sorted(plain.divergence(docs, 2, 4))
+
+
 def test_audit_of_odd_tables(spark):
     schema = "lang string, source string, text string"
     assert divergence.audit(spark.createDataFrame([], schema)).count() == 0
