@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 from goldkeep.functions.patterns import literal_head, wildcard_column
 from goldkeep.operators.joins import attach
+from goldkeep.operators.ranking import dense_index
 from goldkeep.shared import settle
 
+#: Distinct keys that one task cuts and judges.
+KEYS_PER_TASK = 100_000
+
 
 def matching(keys: DataFrame, rules: DataFrame, key: str, prefix: str) -> DataFrame:
     """``keys`` (one column) with every row of ``rules`` whose ``prefix`` they begin with.
@@ -34,21 +38,30 @@ def matching(keys: DataFrame, rules: DataFrame, key: str, prefix: str) -> DataFr
     return attach(tried, named, {"_cut": "_prefix"}, how="inner").drop("_cut")
 
 
+def _dealt(keys: DataFrame) -> DataFrame:
+    """``keys`` (one column, distinct), settled and dealt so that a task has ``KEYS_PER_TASK`` at
+    most: their cuts are many times their bytes, by which partitions would be put together."""
+    held = settle(keys)
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return held.repartition(max(tasks, -(-held.count() // KEYS_PER_TASK)), *keys.columns)
+
+
 def longest_prefix(
     objects: DataFrame, rules: DataFrame, prefix: str = "prefix", value: str = "purpose"
 ) -> DataFrame:
     """``key``, ``prefix`` and ``value`` of the longest rule each key begins with, null where none
     does. Of rules with one prefix the smallest value counts."""
     own = settle(rules.groupBy(prefix).agg(F.min(value).alias(value)).where(F.col(prefix).isNotNull()))
-    keys = objects.select("key").distinct()
-    found = matching(keys, own, "key", prefix)
-    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in own.schema.fields]
-    # a key that no rule fits has a row of nulls alone
-    rows = found.unionByName(keys.select("key", *none))
-    best = F.max_by(F.struct(prefix, value), F.length(prefix))
-    return rows.groupBy("key").agg(best.alias("_best")).select(
-        "key", F.col("_best")[prefix].alias(prefix), F.col("_best")[value].alias(value)
-    )
+    keys = _dealt(objects.select("key").distinct())
+    found = matching(keys, own.select(prefix), "key", prefix)
+    # a key that no rule fits has a row without a length alone; numbers are added up by hash, so
+    # no task sorts the rows, and texts come to the one rule that is left
+    lengths = found.select("key", F.length(prefix).alias("_n"))
+    rows = lengths.unionByName(keys.select("key", F.lit(None).cast("int").alias("_n")))
+    best = settle(rows.groupBy("key").agg(F.max("_n").alias("_n")))
+    named = best.select("key", F.substring("key", F.lit(1), F.col("_n")).alias("_best"))
+    named = attach(named, own.select(prefix, F.col(prefix).alias("_own"), value), {"_best": prefix})
+    return named.select("key", F.col("_own").alias(prefix), value)
 
 
 def retention_expired_by(objects: DataFrame, rules: DataFrame, as_of: datetime) -> DataFrame:
@@ -73,8 +86,13 @@ def retention_expired_by(objects: DataFrame, rules: DataFrame, as_of: datetime)
     if least is None:
         return objects.limit(0).withColumn("rule_id", F.lit(None).cast("string"))
     old = objects.where(F.col("ts") < cutoff(F.lit(least)))  # no rule can expire the others
-    found = matching(old.select("key").distinct(), own, "key", "prefix")
-    decided = settle(found.groupBy("key").agg(F.min("rule").alias("_rule")))
+    # a rule goes by its place among all rules: numbers are compared by hash, without a sort
+    placed = dense_index(own.select(F.struct("rule", "prefix").alias("at")), "at", "_place")
+    placed = settle(placed.select("at.prefix", "at.rule", "_place"))
+    found = matching(_dealt(old.select("key").distinct()), placed.select("prefix", "_place"), "key", "prefix")
+    first = settle(found.groupBy("key").agg(F.min("_place").alias("_first")))
+    rule = placed.select("_place", F.col("rule").alias("_rule"))
+    decided = settle(attach(first, rule, {"_first": "_place"}, how="inner").select("key", "_rule"))
     judged = attach(old, decided, {"key": "key"}, how="inner")
     expired = judged.where(F.col("ts") < cutoff(F.col("_rule.days").cast("int")))
     return expired.select(*objects.columns, F.col("_rule.rule_id").alias("rule_id"))

@@ -212,6 +212,15 @@ def test_grants_of_a_table_equal_the_document(spark, keyed, join_path):
     assert not any(r.allowed for r in rules.grant_check_by(keyed, table.limit(0), "s3:GetObject").collect())
 
 
+def test_texts_of_rules_are_not_sorted_with_the_keys(spark, keyed):
+    """Rows per key are added up by hash, in tasks whose number follows the keys."""
+    given = spark.createDataFrame([rule("vault/"), rule("v", purpose="q")], RULE)
+    many = spark.range(rules.KEYS_PER_TASK * 9).select(F.concat(F.lit("vault/"), "id").alias("key"))
+    found = rules.longest_prefix(many, given)
+    assert found.rdd.getNumPartitions() > 8
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_plans_do_not_grow_with_the_rules(spark, keyed):
     def plan(n):
         many = spark.range(n).selectExpr(
