@@ -11,6 +11,7 @@ A key is judged once however often it occurs. A null key fits no rule, an empty
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,8 @@ from goldkeep.shared import settle
 
 #: Distinct keys that one task cuts and judges.
 KEYS_PER_TASK = 100_000
+#: Masks of patterns that every key is cut by.
+MASKS = 128
 
 
 def matching(keys: DataFrame, rules: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -98,6 +101,45 @@ def retention_expired_by(objects: DataFrame, rules: DataFrame, as_of: datetime)
     return expired.select(*objects.columns, F.col("_rule.rule_id").alias("rule_id"))
 
 
+def _masked(resources: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Patterns by what they fix: ``_text``, the mask and the characters that it fixes, whether a key
+    that has them fits at once (``_all``), and the patterns to verify otherwise.
+
+    The mask of a pattern is the part before its first ``*`` with every character written ``x``, and
+    that ``*``. Of the masks the ``MASKS`` most frequent ones are used as they are; a pattern of another
+    goes by the text before its first wildcard and is always verified.
+    """
+    start = F.regexp_extract("resource", "^[^*]*", 0)
+    open_ = F.contains("resource", F.lit("*"))
+    mask = F.concat(F.regexp_replace(start, "(?s)[^?]", "x"), F.when(open_, F.lit("*")).otherwise(F.lit("")))
+    sure = ~open_ | (F.col("resource") == F.concat(start, F.lit("*")))
+    named = settle(
+        resources.where("resource is not null").select("resource", mask.alias("_mask"), sure.alias("_sure")).distinct()
+    )
+    common = named.groupBy("_mask").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_mask").limit(MASKS)
+    kept = [r[0] for r in common.collect()]
+    head = literal_head(F.col("resource"))
+    used = F.col("_mask").isin(*kept) if kept else F.lit(False)
+    text = F.when(used, F.replace(start, F.lit("?"), F.lit(""))).otherwise(head)
+    mask = F.when(used, F.col("_mask")).otherwise(F.concat(F.regexp_replace(head, "(?s).", "x"), F.lit("*")))
+    known = named.select("resource", (used & F.col("_sure")).alias("_sure"), mask.alias("_mask"), text.alias("_own"))
+    patterns = F.array_compact(F.collect_set(F.when(~F.col("_sure"), wildcard_column(F.col("resource")))))
+    own = settle(
+        known.groupBy(F.concat("_mask", F.lit(":"), "_own").alias("_text"), "_mask")
+        .agg(F.max("_sure").alias("_all"), patterns.alias("_patterns"))
+    )
+    masks = [r[0] for r in own.select("_mask").distinct().collect()]
+    return own.drop("_mask"), sorted(masks)
+
+
+def _fixed(key: str, mask: str) -> Column:
+    """The mask and the characters that it fixes, null for a key that is too short or too long."""
+    length = len(mask.removesuffix("*"))
+    pieces = [F.substring(key, m.start() + 1, m.end() - m.start()) for m in re.finditer("x+", mask)]
+    fits = F.length(key) >= length if mask.endswith("*") else F.length(key) == length
+    return F.when(fits, F.concat(F.lit(mask + ":"), *pieces))
+
+
 def grant_check_by(
     objects: DataFrame,
     grants: DataFrame,
@@ -107,22 +149,17 @@ def grant_check_by(
 ) -> DataFrame:
     """``(key, allowed)``: whether a grant lets ``principal`` do ``action`` on the object.
 
-    ``grants`` has ``principal``, ``action`` and ``resource`` with wildcards. A resource is
-    indexed by the text before its first wildcard; what begins with it is verified by the
-    whole pattern, unless the pattern is that text and a final ``*``.
+    ``grants`` has ``principal``, ``action`` and ``resource`` with wildcards. A resource is looked up by
+    the characters that it fixes before its first ``*``, those behind a ``?`` included; what follows
+    is verified by the whole pattern, unless nothing or a final ``*`` does.
     """
     asked = grants.where(F.col("principal").isin("*", principal))
     asked = asked.where(F.rlike(F.lit(action), wildcard_column(F.col("action"))))
-    head = literal_head(F.col("resource"))
-    plain = F.col("resource") == F.concat(head, F.lit("*"))
-    patterns = F.array_compact(F.collect_set(F.when(~plain, wildcard_column(F.col("resource")))))
-    own = settle(
-        asked.where("resource is not null")
-        .groupBy(head.alias("_head"))
-        .agg(F.max(plain).alias("_all"), patterns.alias("_patterns"))
-    )
-    keys = objects.select("key", F.concat(F.lit(resource_root), "key").alias("_resource")).distinct()
-    found = matching(keys.select("_resource").distinct(), own, "_resource", "_head")
+    own, masks = _masked(asked)
+    keys = _dealt(objects.select(F.concat(F.lit(resource_root), "key").alias("_resource")).distinct())
+    cuts = F.array(*[_fixed("_resource", m) for m in masks]) if masks else F.array().cast("array<string>")
+    tried = keys.select("_resource", F.explode(F.array_compact(cuts)).alias("_cut"))
+    found = attach(tried, own, {"_cut": "_text"}, how="inner")
     fits = F.col("_all") | F.exists("_patterns", lambda p: F.rlike(F.col("_resource"), p))
     hits = found.select("_resource", fits.alias("_hit"))
     every = hits.unionByName(keys.select("_resource", F.lit(False).alias("_hit")))

@@ -212,6 +212,23 @@ def test_grants_of_a_table_equal_the_document(spark, keyed, join_path):
     assert not any(r.allowed for r in rules.grant_check_by(keyed, table.limit(0), "s3:GetObject").collect())
 
 
+@pytest.mark.parametrize("masks", [128, 2])
+def test_grants_are_looked_up_by_all_they_fix(spark, monkeypatch, masks):
+    """Patterns alike up to their first wildcard are not tried one by one."""
+    monkeypatch.setattr(rules, "MASKS", masks)
+    held = ["a/1\N{GRINNING FACE}7", "a/x17", "a/x1", "b/1.7", "b/\N{GRINNING FACE}17", "c", "", "a/17?", None]
+    frame = spark.createDataFrame([(k,) for k in held], "key string")
+    given = ["a/?17", "a/??7", "?/1*7", "b/?17*", "a/17?", "?", "*?.*", "b/??*7"]
+    given = [rule("", resource=p) for p in [*given, *[f"a/?{n}" for n in range(18, 60)]]]
+    listed = [g.Grant("s", r[5], r[6], r[7]) for r in given]
+    want = {r.key: bool(r.allowed) for r in g.grant_check(frame, listed, "s3:GetObject").collect()}
+    table = spark.createDataFrame(given, RULE)
+    assert {r.key: r.allowed for r in rules.grant_check_by(frame, table, "s3:GetObject").collect()} == want
+    if masks > 2:
+        own, _ = rules._masked(table.select("resource"))
+        assert own.agg(F.max(F.size("_patterns"))).first()[0] == 1
+
+
 def test_texts_of_rules_are_not_sorted_with_the_keys(spark, keyed):
     """Rows per key are added up by hash, in tasks whose number follows the keys."""
     given = spark.createDataFrame([rule("vault/"), rule("v", purpose="q")], RULE)
