@@ -8,17 +8,21 @@ Discounts are Good-Turing's, one set per length of n-gram, from counts of counts
 training part. Backoff weights make the probabilities after every context sum to one exactly.
 Places before a text hold one begin token each.
 
-The text is read once. A token goes to a bucket by its predecessor, so the n-grams of all lengths
-from two on, their contexts and what these back off to are in one bucket, and only single words
-are counted elsewhere. A part of the corpus sends a bucket its distinct n-grams and, for each, the
-documents it occurs in.
+A token goes to a bucket by its predecessor, so the n-grams of all lengths from two on, their
+contexts and what these back off to are in one bucket, and only single words are counted elsewhere.
+A part of the corpus sends a bucket its distinct n-grams and, for each, the documents it occurs in.
+
+Every part names its words to every bucket, which would be most of what is sent. So the words are
+counted first, and get short names, see :class:`Naming`: frequent words the smallest numbers, others
+as many bits of their hashes as tell nearly all words apart. Words that these bits do not tell apart
+are listed, so different hashes never share a name. The list is broadcast and has a bounded length.
 
 1. A bucket adds up n-gram counts of every length and writes them, bucketed, with the occurrences.
    It asks for the counts of the words it has seen, and adds its own to them.
 2. Word counts are added up per vocabulary bucket and sent back in the order they were asked for.
 3. Every bucket computes backoff weights and probabilities from pairs up to the longest n-grams,
-   each length from the one below, evaluates all occurrences and sends one sum per document to
-   where the document's sums meet.
+   each length from the one below, evaluates all occurrences and sends sums per document to where
+   the document's sums meet. A family of a few buckets adds up its own sums before.
 
 A predecessor with a large share of all tokens is spread over several buckets by the token before
 it (in a pair model, by the token that follows). Contexts of two and more tokens stay whole; only
@@ -40,11 +44,13 @@ and ids are scored one by one; an empty table gives no rows; other columns are i
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,11 +75,22 @@ PART_ROWS = 4000
 #: A predecessor is spread from one part in ``SPREAD`` of a bucket's share on; shares of buckets
 #: are taken as if there were no more than ``MOST_SPREAD``.
 SPREAD, MOST_SPREAD = 4, 10_000
+#: ``2 ** FAMILY`` consecutive buckets are evaluated by one task, one after another.
+FAMILY = 2
+#: Frequent words with names of their own, and others that their hashes' first bits do not tell
+#: apart, about.
+MOST_FREQUENT, MOST_ALIKE = 1 << 16, 1 << 14
+#: Fewest and most bits of a hash in a name.
+LEAST_BITS, MOST_BITS = 24, 62
+#: Words that a task holds while it counts them.
+HELD_WORDS = 1 << 21
 
 #: Hashes that stand for a place before a text and the end of it.
 BEGIN, END = np.uint64(0x5BD1E9955BD1E995), np.uint64(0xC2B2AE3D27D4EB4F)
 
 _STORED = "kind string, bucket int, target long, blob binary, docs binary, n array<bigint>"
+#: A family's number, from that of a bucket.
+_FAMILY = f"shiftright(bucket, {FAMILY}) as family"
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,35 +113,136 @@ def _before(token: np.ndarray, first: np.ndarray, begin) -> np.ndarray:
     return before
 
 
-def _count_heads(least: float):
-    """Texts in; predecessors with at least this share of a batch's tokens, counted, and the
-    number of tokens (head 0), out."""
+def _counted(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words in order, and the sums of their counts."""
+    distinct, place = np.unique(np.concatenate(words), return_inverse=True)
+    sums = np.bincount(place, np.concatenate(counts), len(distinct))
+    return distinct, sums.astype(np.int64)
+
+
+def _count_words(ranges: int, bits: int, held: int):
+    """Texts in; distinct words, counted, by range of hashes out; begin tokens are counted too.
+    Words that agree in the first ``bits`` bits are in one range. A task holds about ``held``."""
+
+    def ranged(words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        first = words >> np.uint64(64 - bits)
+        number = (first * np.uint64(ranges) >> np.uint64(bits)).astype(np.int64)
+        used, at = np.unique(number, return_index=True)
+        ends = np.append(at[1:], len(words))
+        blobs = [
+            pack_arrays(words=_steps(words[a:b]), count=n[a:b])
+            for a, b in zip(at.tolist(), ends.tolist())
+        ]
+        columns = [pa.array(used), pa.array(blobs, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["number", "blob"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts = [], []
         for batch in slices(batches, PART_ROWS):
-            token, first, _ = _tokens(batch.column(0))
-            head, n = _run_lengths(np.sort(_before(token, first, BEGIN)))
-            often = n >= least * len(token)
-            head = np.append(head[often], np.uint64(0)).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(head), pa.array(np.append(n[often], len(token)))], ["head", "n"]
-            )
+            token, _, own = _tokens(batch.column(0))
+            for found in (_run_lengths(np.sort(token)), ([BEGIN], [len(own)])):
+                words.append(np.array(found[0], np.uint64))
+                counts.append(np.array(found[1], np.int64))
+            if sum(map(len, words)) > held:
+                one = _counted(words, counts)
+                words, counts = [one[0]], [one[1]]
+                if len(one[0]) > held // 2:
+                    yield ranged(*one)
+                    words, counts = [], []
+        if words:
+            yield ranged(*_counted(words, counts))
 
     return count
 
 
-def frequent_heads(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of frequent predecessors, in order, and how many buckets each is spread over."""
+def _list_words(ranges: int, bits: int):
+    """Counted words of a range in; the most frequent ones and all that share the first ``bits``
+    bits with another out, the latter with the number of bits they share. A row without a word
+    has the number of tokens."""
+    most = 64 + 2 * MOST_FREQUENT // ranges
+
+    def find(table: pa.Table) -> pa.Table:
+        sent = [unpack_arrays(b) for b in table["blob"].to_pylist()]
+        words, n = _counted([np.cumsum(s["words"]) for s in sent], [s["count"] for s in sent])
+        differ = words[1:] ^ words[:-1]
+        near = np.flatnonzero(differ >> np.uint64(64 - bits) == 0)
+        length = np.array([64 - d.bit_length() for d in differ[near].tolist()], np.int32)
+        shared = np.zeros(len(words), np.int32)
+        np.maximum.at(shared, near, length)
+        np.maximum.at(shared, near + 1, length)
+        often = np.argsort(-n, kind="stable")[:most]
+        listed = np.union1d(often, np.flatnonzero(shared))
+        return pa.table(
+            {
+                "word": pa.array([None, *words[listed].view(np.int64).tolist()], pa.int64()),
+                "n": np.append(n[words != BEGIN].sum(), n[listed]),
+                "shared": np.append(np.int32(0), shared[listed]),
+            }
+        )
+
+    return find
+
+
+@dataclass
+class Naming:
+    """Short names of words, given as hashes: those of ``listed``, in order, have ``number``, all
+    others the first ``bits`` bits of the hash after these. ``heads``, in order, are the frequent
+    predecessors, ``parts`` says how many buckets each is spread over."""
+
+    listed: np.ndarray
+    number: np.ndarray
+    bits: int
+    heads: np.ndarray
+    parts: np.ndarray
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        names = (words >> np.uint64(64 - self.bits)) + np.uint64(len(self.listed))
+        at, place = _find(words, self.listed)
+        names[at] = self.number[place]
+        return names
+
+    @property
+    def head_names(self) -> np.ndarray:
+        return np.sort(self.of(self.heads))
+
+
+def name_words(texts: DataFrame, size: int, buckets: int) -> Naming:
+    """Names of all words of ``texts``, which have ``size`` bytes, and their frequent predecessors."""
+    least = min(MOST_BITS, max(LEAST_BITS, size.bit_length() - 2))
+    counted = texts.mapInArrow(_count_words(buckets, LEAST_BITS, HELD_WORDS), "number long, blob binary")
+    found = settle(
+        counted.groupBy("number").applyInArrow(
+            _list_words(buckets, least), "word long, n long, shared int"
+        )
+    )
+    words = found.where("word is not null")
+    total = found.where("word is null").agg(F.sum("n")).first()[0] or 0
+    alike = dict(words.where(F.col("shared") >= least).groupBy("shared").count().collect())
+    bits = next(
+        (
+            b
+            for b in range(least, MOST_BITS)
+            if sum(n for shared, n in alike.items() if shared >= b) <= MOST_ALIKE
+        ),
+        MOST_BITS,
+    )
+    # quarters of doublings of counts, from the highest down, as long as there are not too many words
+    step = F.floor(F.log2("n") * 4)
+    steps = sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True)
+    fits = np.cumsum([n for _, n in steps]) <= MOST_FREQUENT
+    lowest = min([s for (s, _), fit in zip(steps, fits) if fit], default=1 << 30)
     shares = SPREAD * min(buckets, MOST_SPREAD)
-    # counting leaves out less than one part in 2 * shares, so none above 1 / shares is missed
-    counted = texts.mapInArrow(_count_heads(1 / (2 * shares)), "head long, n long")
-    counted = settle(counted.groupBy("head").agg(F.sum("n").alias("n")))
-    total = counted.where("head = 0").agg(F.max("n")).first()[0] or 0
-    found = counted.where((F.col("head") != 0) & (F.col("n") * (2 * shares) >= total)).collect()
-    head = np.array([r["head"] for r in found], np.int64).view(np.uint64)
-    parts = 1 + np.array([r["n"] for r in found], np.int64) * shares // max(1, total)
-    order = np.argsort(head)
-    return head[order], parts[order]
+    heavy = F.col("n") * (2 * shares) >= total
+    listed = words.where((step >= lowest) | (F.col("shared") >= bits) | heavy).toArrow()
+    hashes = listed["word"].to_numpy().view(np.uint64)
+    n = listed["n"].to_numpy()
+    order = np.argsort(hashes)
+    hashes, n = hashes[order], n[order]
+    number = np.empty(len(n), np.uint64)
+    number[np.argsort(-n, kind="stable")] = np.arange(len(n), dtype=np.uint64)
+    # nothing follows an end
+    often = (n * (2 * shares) >= total) & (hashes != END)
+    return Naming(hashes, number, bits, hashes[often], 1 + n[often] * shares // max(1, total))
 
 
 def _grouped(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,11 +272,11 @@ def _sizes(new: np.ndarray) -> np.ndarray:
     return np.diff(np.flatnonzero(new), append=len(new))
 
 
-def _pack_grams(words: np.ndarray, grams: np.ndarray, train: np.ndarray) -> bytes:
+def _pack_grams(names: np.ndarray, grams: np.ndarray, train: np.ndarray) -> bytes:
     """Ordered n-grams of a part for one bucket: a context as one number and its size."""
     used, place = np.unique(grams, return_inverse=True)
     place = place.reshape(grams.shape).astype(np.int32)
-    arrays = {"words": _steps(words[used]), "last": place[-1], "train": train.astype(np.int32)}
+    arrays = {"words": _steps(names[used]), "last": place[-1], "train": train.astype(np.int32)}
     for level in range(len(grams) - 1):
         new = _begins(list(place[: level + 1]))
         arrays[f"context{level}"] = place[level][new]
@@ -166,7 +284,7 @@ def _pack_grams(words: np.ndarray, grams: np.ndarray, train: np.ndarray) -> byte
     return pack_arrays(**arrays)
 
 
-def _deal(order: int, buckets: int, frequent):
+def _deal(order: int, buckets: int, naming):
     """Texts in, their n-grams by bucket out; ``target`` is the part of the corpus. The ids of a
     part travel to a bucket with a negative number."""
 
@@ -176,7 +294,12 @@ def _deal(order: int, buckets: int, frequent):
             token, first, counts = _tokens(batch.column(1))
             learnt = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             words, code = np.unique(np.append(token, BEGIN), return_inverse=True)
-            code, begin = code[:-1].astype(np.int32), code[-1]
+            names = naming.value.of(words)
+            by = np.argsort(names)
+            place = np.empty(len(by), np.int32)
+            place[by] = np.arange(len(by), dtype=np.int32)
+            words, names, code = words[by], names[by], place[code]
+            code, begin = code[:-1], code[-1]
             del token
             # from the predecessor to the earliest token, then the token itself
             columns = [_before(code, first, begin)]
@@ -190,7 +313,7 @@ def _deal(order: int, buckets: int, frequent):
             train = np.add.reduceat(learnt[text], at, dtype=np.int64)
             grams = np.stack([c[by[at]] for c in columns])
             del columns, code, by, new
-            bucket = _bucket(words[grams[0]], words[grams[1]], buckets, *frequent.value)
+            bucket = _bucket(words[grams[0]], words[grams[1]], buckets, naming.value)
             by = np.argsort(bucket, kind="stable")
             times, train, bucket, grams = times[by], train[by], bucket[by], grams[:, by]
             text = text[runs(at[by], times)]
@@ -199,7 +322,7 @@ def _deal(order: int, buckets: int, frequent):
             ends = np.append(first[1:], len(bucket))
             blobs, docs = [], []
             for a, b in zip(first.tolist(), ends.tolist()):
-                blobs.append(_pack_grams(words, grams[:, a:b], train[a:b]))
+                blobs.append(_pack_grams(names, grams[:, a:b], train[a:b]))
                 docs.append(
                     pack_arrays(
                         times=times[a:b].astype(np.int32),
@@ -222,13 +345,11 @@ def _deal(order: int, buckets: int, frequent):
     return deal
 
 
-def _bucket(
-    head: np.ndarray, word: np.ndarray, buckets: int, frequent: np.ndarray, parts: np.ndarray
-) -> np.ndarray:
+def _bucket(head: np.ndarray, word: np.ndarray, buckets: int, naming: Naming) -> np.ndarray:
     """Bucket of a predecessor, or one of several, by another word, for a frequent one."""
     bucket = ((head >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    at, place = _find(head, frequent)
-    bucket[at] += (mix(word[at]) % parts[place].astype(np.uint64)).astype(np.int64)
+    at, place = _find(head, naming.heads)
+    bucket[at] += (mix(word[at]) % naming.parts[place].astype(np.uint64)).astype(np.int64)
     return bucket % buckets
 
 
@@ -242,7 +363,7 @@ def _find(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _steps(ordered: np.ndarray) -> np.ndarray:
-    """Ordered hashes as differences, which have fewer bits; ``np.cumsum`` is the inverse."""
+    """Ordered numbers as differences, which have fewer bits; ``np.cumsum`` is the inverse."""
     return np.diff(ordered, prepend=np.uint64(0))
 
 
@@ -271,7 +392,7 @@ def _statistics_row(number: int, level: int, n: np.ndarray) -> tuple:
 
 
 def _merged(sent: list[dict], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Words of all parts, and their n-grams as columns of places of words with train counts."""
+    """Names of words of all parts, and their n-grams as columns of places of words with train counts."""
     words, place = np.unique(
         np.concatenate([np.cumsum(s["words"]) for s in sent]), return_inverse=True
     )
@@ -287,7 +408,7 @@ def _merged(sent: list[dict], order: int) -> tuple[np.ndarray, list[np.ndarray],
     return words, columns, np.concatenate([s["train"] for s in sent])
 
 
-def _add_grams(order: int, vocabularies: int, frequent):
+def _add_grams(order: int, vocabularies: int, naming):
     """All n-grams of a bucket in; their counts, their occurrences, what the bucket asks of the
     vocabulary, and counts of counts out."""
 
@@ -333,9 +454,9 @@ def _add_grams(order: int, vocabularies: int, frequent):
         rank[used[by]] = np.arange(len(used))
         arrays["lower2"] = rank[last]
         own = np.bincount(rank[last], weights=count, minlength=len(used)).astype(np.int64)
-        spread, _ = _find(head, frequent.value[0])
+        spread, _ = _find(head, naming.value.head_names)
         rows.append(_statistics_row(bucket, 2, _counts_of_counts(np.delete(count, spread))))
-        names = mix(head[spread] * _PAIR + words[last[spread]])
+        names = mix(mix(head[spread]) * _PAIR + words[last[spread]])
         pair_target, by = _targets(names, vocabularies)
         arrays["spread"] = spread[by].astype(np.int32)
         names, pair_count = names[by], count[spread[by]]
@@ -361,7 +482,7 @@ _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _targets(names: np.ndarray, vocabularies: int) -> tuple[np.ndarray, np.ndarray]:
-    """Vocabulary buckets of hashes, in order, and the order of the hashes by them."""
+    """Vocabulary buckets of names, in order, and the order of the names by them."""
     target = (mix(names) % np.uint64(vocabularies)).astype(np.int64)
     by = np.lexsort((names, target))
     return target[by], by
@@ -518,45 +639,67 @@ class _Bucket:
         return below, word
 
 
-def _spread_sums(model, frequent):
-    """N-grams and answers of a bucket in; the bucket's part of the sums of frequent heads out."""
+def _family(stored: pa.Table, answers: pa.Table) -> Iterator[tuple[int, _Bucket]]:
+    """The buckets of a family, one after another."""
+    for row, (kind, bucket) in enumerate(zip(stored["kind"].to_pylist(), stored["bucket"].to_pylist())):
+        if kind == "grams":
+            told = answers.filter(pc.equal(answers["bucket"], bucket))
+            yield bucket, _Bucket(stored["blob"][row].as_py(), told)
+
+
+def _spread_sums(model, naming):
+    """N-grams and answers of a family in; its part of the sums of frequent heads out."""
 
     def add(stored: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["head", "total", "discounted", "alone"]
-        head, sums = np.zeros(0, np.uint64), np.zeros((3, 0))
-        for blob in stored["blob"].to_pylist():
-            head, sums = _Bucket(blob, answers).spread_sums(model.value, frequent.value[0])
-        return pa.table([pa.array(head.view(np.int64)), *map(pa.array, sums)], names=names)
+        heads, sums = [np.zeros(0, np.uint64)], [np.zeros((3, 0))]
+        for _, bucket in _family(stored, answers):
+            head, own = bucket.spread_sums(model.value, naming.value.head_names)
+            heads.append(head)
+            sums.append(own)
+        head = np.concatenate(heads).view(np.int64)
+        return pa.table([pa.array(head), *map(pa.array, np.concatenate(sums, 1))], names=names)
 
     return add
 
 
 def _evaluate(order: int, model, spread):
-    """Counts, occurrences and answers of a bucket in; sums per document, by part, out."""
+    """Counts, occurrences and answers of a family in; sums per document, by part, out."""
 
     def evaluate(stored: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = list(zip(*(stored[c].to_pylist() for c in ("kind", "target", "blob", "docs"))))
-        grams = [blob for kind, _, blob, _ in rows if kind == "grams"]
-        if not grams:
-            return _rows([])
-        probability, count = _Bucket(grams[0], answers).scores(model.value, order, *spread.value)
-        score, base = np.log10(probability), model.value.base(count)
-        out = []
-        for kind, part, blob, docs in rows:
+        scored = {}
+        for number, bucket in _family(stored, answers):
+            probability, count = bucket.scores(model.value, order, *spread.value)
+            scored[number] = np.log10(probability), model.value.base(count), count > 0
+        parts = defaultdict(list)
+        columns = (stored[c].to_pylist() for c in ("kind", "bucket", "target"))
+        for row, (kind, bucket, part) in enumerate(zip(*columns)):
             if kind == "occurrences":
-                own = unpack_arrays(docs)
-                gram = np.repeat(np.cumsum(unpack_arrays(blob)["gram"]), own["times"])
-                sums = {
-                    "score": np.bincount(own["docs"], score[gram]),
-                    "base": np.bincount(own["docs"], base[gram]),
-                    "known": np.bincount(own["docs"], count[gram] > 0).astype(np.int32),
-                }
-                out.append(("sums", 0, part, pack_arrays(**sums)))
+                parts[part].append((row, bucket))
+        out = []
+        for part, sent in parts.items():
+            sums = []
+            for row, bucket in sent:
+                own = unpack_arrays(stored["docs"][row].as_py())
+                gram = unpack_arrays(stored["blob"][row].as_py())["gram"]
+                gram = np.repeat(np.cumsum(gram), own["times"])
+                sums.append([np.bincount(own["docs"], values[gram]) for values in scored[bucket]])
+            score, base, known = (_total(each) for each in zip(*sums))
+            blob = pack_arrays(score=score, base=base, known=known.astype(np.int32))
+            out.append(("sums", 0, part, blob))
         return _rows(out)
 
     return evaluate
 
 
+def _total(arrays: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Sum of arrays of several lengths, missing numbers being 0."""
+    total = np.zeros(max(map(len, arrays)))
+    for values in arrays:
+        total[: len(values)] += values
+    return total
+
+
 def _finish(id_type: pa.DataType):
     """Ids and sums of a part of the corpus in, scored documents out."""
 
@@ -595,8 +738,7 @@ def ngram_tables(
     text_column: str = "text",
     order: int = ORDER,
 ):
-    """The written tables of n-grams (bucketed by predecessor) and of words, and which
-    predecessors are spread over several buckets."""
+    """The written tables of n-grams (bucketed by predecessor) and of words, and the words' names."""
     if order < 2:
         raise ValueError("an n-gram has two tokens at least")
     spark = docs.sparkSession
@@ -605,27 +747,30 @@ def ngram_tables(
         F.col(text_column).alias("text"),
         F.coalesce(learnt, F.lit(False)).alias("learnt"),
     )
-    buckets = groups_for(text_size(docs, text_column), BUCKET_BYTES)
-    frequent = spark.sparkContext.broadcast(frequent_heads(rows.select("text"), buckets))
+    size = text_size(docs, text_column)
+    buckets = groups_for(size, BUCKET_BYTES)
+    naming = spark.sparkContext.broadcast(name_words(rows.select("text"), size, buckets))
     # a task that is run again numbers its rows alike
     rows = rows.sortWithinPartitions("id", F.xxhash64("text"), "learnt")
     dealt = rows.mapInArrow(
-        _deal(order, buckets, frequent), "bucket int, target long, blob binary, docs binary"
+        _deal(order, buckets, naming), "bucket int, target long, blob binary, docs binary"
     )
     # one bucket per task
     dealt = dealt.repartitionById(min(buckets, MOST_TASKS), "bucket")
-    added = dealt.groupBy("bucket").applyInArrow(_add_grams(order, buckets, frequent), _STORED)
-    # bucketed, so that the answers can come to the n-grams without moving them
+    added = dealt.groupBy("bucket").applyInArrow(_add_grams(order, buckets, naming), _STORED)
+    # bucketed by family, so that the answers can come to the n-grams without moving them
     name = scratch_table("grams")
+    families = groups_for(buckets, 1 << FAMILY)
     # what is in the blobs is compressed already
-    written = added.write.option("compression", "none")
-    written.bucketBy(min(buckets, MOST_BUCKETS), "bucket").saveAsTable(name)
+    written = added.selectExpr("*", _FAMILY).write.option("compression", "none")
+    # more file groups than families, so that few share one
+    written.bucketBy(min(4 * families, MOST_BUCKETS), "family").saveAsTable(name)
     grams = spark.table(name)
     path = scratch_path(spark, "words")
     questions = grams.where("kind = 'questions'").select("target", "bucket", "blob")
     counted = questions.groupBy("target").applyInArrow(_add_words, _STORED)
     counted.write.option("compression", "none").parquet(path)
-    return grams, spark.read.schema(_STORED).parquet(path), frequent
+    return grams, spark.read.schema(_STORED).parquet(path), naming
 
 
 def score_texts(
@@ -639,21 +784,22 @@ def score_texts(
     ``score`` of every text; the model of n-grams of ``order`` tokens (two at least) learns from
     the rows of which ``learnt`` is true."""
     spark = docs.sparkSession
-    grams, words, frequent = ngram_tables(docs, learnt, id_column, text_column, order)
+    grams, words, naming = ngram_tables(docs, learnt, id_column, text_column, order)
     width = DISCOUNTED + 4
     of = _statistics(grams.select("kind", "target", "n").union(words.select("kind", "target", "n")), width)
     of = {level: of.get(level, np.zeros(width, np.int64)) for level in range(1, order + 1)}
     types, tokens = (int(n) for n in of[1][-2:])
     model = Model.of({level: n[: DISCOUNTED + 2] for level, n in of.items()}, types, tokens)
     sent = spark.sparkContext.broadcast(model)
-    answers = words.where("kind = 'answers'").select("bucket", "target", "blob").groupBy("bucket")
+    answers = words.where("kind = 'answers'").selectExpr(_FAMILY, "bucket", "target", "blob")
+    answers = answers.groupBy("family")
     parts = (
         grams.where("kind = 'grams'")
-        .select("bucket", "blob")
-        .groupBy("bucket")
+        .select("family", "kind", "bucket", "blob")
+        .groupBy("family")
         .cogroup(answers)
         .applyInArrow(
-            _spread_sums(sent, frequent), "head long, total double, discounted double, alone double"
+            _spread_sums(sent, naming), "head long, total double, discounted double, alone double"
         )
     )
     added = parts.groupBy("head").agg(*[F.sum(c).alias(c) for c in ("total", "discounted", "alone")])
@@ -664,8 +810,8 @@ def score_texts(
     spread = spark.sparkContext.broadcast((head, over_all))
     sums = (
         grams.where("kind in ('grams', 'occurrences')")
-        .select("kind", "bucket", "target", "blob", "docs")
-        .groupBy("bucket")
+        .select("family", "kind", "bucket", "target", "blob", "docs")
+        .groupBy("family")
         .cogroup(answers)
         .applyInArrow(_evaluate(order, sent, spread), _STORED)
     )

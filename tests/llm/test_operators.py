@@ -1,10 +1,12 @@
 """Operators against their plain versions, on odd and on empty input."""
 
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import plain
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from goldkeep.llm import (
+    blobs,
     chat,
     components,
     decontaminate,
@@ -547,6 +550,55 @@ def test_katz(spark, odd, monkeypatch, size, order):
         assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-9)
 
 
+def test_katz_names(spark, odd, monkeypatch):
+    """Names of six to eight bits, most words listed, a task that holds ten words: the scores are
+    those of long names."""
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 20_000)
+    more = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = odd.select("doc_id", "text").unionByName(more)
+    learnt = F.col("doc_id") % 5 != 0
+
+    def scores():
+        return sorted((str(r.id), *r[1:]) for r in katz.score_texts(docs, learnt).collect())
+
+    want = scores()
+    monkeypatch.setattr(katz, "LEAST_BITS", 6)
+    monkeypatch.setattr(katz, "MOST_BITS", 8)
+    monkeypatch.setattr(katz, "MOST_FREQUENT", 50)
+    monkeypatch.setattr(katz, "MOST_ALIKE", 20)
+    monkeypatch.setattr(katz, "HELD_WORDS", 10)
+    got = scores()
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-12)
+
+
+def test_katz_sends_little(spark, monkeypatch):
+    """A word costs a bucket less than half of a 64-bit hash, and buckets of a family send the sums
+    of a part at once."""
+    monkeypatch.setattr(katz, "BUCKET_BYTES", 40_000)
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 20_000, 300)) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    grams, counted, naming = katz.ngram_tables(docs, F.lit(True))
+    rows = grams.where("kind = 'questions'").select("blob").collect()
+    asked = [blobs.unpack_arrays(r.blob)["words"] for r in rows]
+    sent = [len(blobs.pack_arrays(w=w)) - len(blobs.pack_arrays(w=w[:0])) for w in asked]
+    assert sum(sent) < 4 * sum(map(len, asked))
+    assert not len(naming.value.heads)
+    numbers = np.zeros(katz.DISCOUNTED + 2, int)
+    model = SimpleNamespace(value=katz.Model.of({k: numbers for k in (1, 2, 3)}, 20_000, 400 * 301))
+    spread = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros((3, 0))))
+    family = grams.where("family = 0 and kind in ('grams', 'occurrences')").toArrow()
+    answers = counted.where("kind = 'answers'").select("bucket", "target", "blob").toArrow()
+    sums = katz._evaluate(3, model, spread)(family, answers)
+    assert len(set(family["bucket"].to_pylist())) == 1 << katz.FAMILY
+    assert sorted(sums["target"].to_pylist()) == sorted(set(family["target"].to_pylist()))
+    known = [blobs.unpack_arrays(b)["known"].sum() for b in sums["blob"].to_pylist()]
+    occurred = family.filter(pc.equal(family["kind"], "occurrences"))["docs"].to_pylist()
+    assert sum(known) == sum(len(blobs.unpack_arrays(d)["docs"]) for d in occurred)
+
+
 def test_good_turing():
     """Discounts written out for counts of counts 100, 40, 20, 10, 5 and 3."""
     top = 6 * 3 / 100
