@@ -641,7 +641,8 @@ class _Bucket:
 
 def _family(stored: pa.Table, answers: pa.Table) -> Iterator[tuple[int, _Bucket]]:
     """The buckets of a family, one after another."""
-    for row, (kind, bucket) in enumerate(zip(stored["kind"].to_pylist(), stored["bucket"].to_pylist())):
+    columns = (stored[c].to_pylist() for c in ("kind", "bucket"))
+    for row, (kind, bucket) in enumerate(zip(*columns)):
         if kind == "grams":
             told = answers.filter(pc.equal(answers["bucket"], bucket))
             yield bucket, _Bucket(stored["blob"][row].as_py(), told)
