@@ -10,13 +10,17 @@ short lists alone bring up all candidates, and long ones need only be probed.
    order gives right results; a good one keeps lists short.
 2. Documents with equal sets are one from here on; the smallest id stands for them.
 3. The first shingles of every set meet in buckets by hash. A list of at most ``LIST`` documents
-   yields pairs, which are kept where they meet often enough; a longer list ties its documents
-   of similar size together without listing pairs. What is tied is a family.
+   yields pairs. A longer list does not: it is noted how many long lists a document is in, and
+   what two documents may share in those, the lesser number at most, is added to the times that
+   they meet as a pair. Pairs that this may make often enough are kept. Documents that can be
+   linked through long lists alone are tied, in each of these lists, to others of similar size.
+   What is tied or kept is a family.
 4. Only documents of families are read again. Within a family, each document searches all
    others: merge its short inverted lists by a heap, keep what occurs T - L times, probe the L
    longest lists by binary search, drop what can no longer reach T. Lists of the same documents
    count as one with a weight. A family that is too large for one task is dealt to blocks of
-   bounded size; each sends its sets, numbered and packed, to the cells where two blocks meet.
+   bounded size; each sends its sets, numbered and packed, to the cells where two blocks meet,
+   one copy after another.
 5. Every link is found and counted for both ends, with the rows that have equal sets. Links
    themselves are reported as far as they span what they connect, and joined to components.
 
@@ -57,11 +61,13 @@ SHINGLE = 4
 #: Links need ``100 * intersection >= percent * union``.
 PERCENT = 85
 #: Counters of list lengths, and how many of them travel in one row.
-COUNTERS, COUNTER_ROW = 1 << 20, 1 << 14
+COUNTERS, COUNTER_ROW = 1 << 22, 1 << 13
 #: Longest list that is turned into pairs.
 LIST = 16
 #: Bytes of postings in a bucket, about; documents and shingles in a block of a large family.
-BUCKET_BYTES, CELL, CELL_SHINGLES = 8 << 20, 1000, 1 << 21
+BUCKET_BYTES, CELL, CELL_SHINGLES = 8 << 20, 1000, 1 << 19
+#: Texts of a block that are cut into shingles at once.
+TEXTS = 50
 #: Cost of merging against probing; sets how many of the longest lists are only probed.
 SKIP = 0.01
 #: Bits of the filter for documents that are read again.
@@ -127,11 +133,14 @@ def _count_lists(n: int):
         total = np.zeros(COUNTERS, np.int64)
         for batch in slices(batches):
             hashes, _ = shingle_sets(batch.column(0), n)
-            total += np.bincount((hashes & np.uint64(COUNTERS - 1)).view(np.int64), minlength=COUNTERS)
-        if total.any():
-            rows = [r.tobytes() for r in total.reshape(-1, COUNTER_ROW)]
+            np.add.at(total, (hashes & np.uint64(COUNTERS - 1)).view(np.int64), 1)
+        rows = total.reshape(-1, COUNTER_ROW)
+        used = np.flatnonzero(rows.any(axis=1))
+        if len(used):
+            # in as few bytes a counter as the row admits
+            held = [rows[i].astype(np.min_scalar_type(rows[i].max())).tobytes() for i in used.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(rows)), pa.int32()), pa.array(rows, pa.binary())], ["slot", "counts"]
+                [pa.array(used.astype(np.int32)), pa.array(held, pa.binary())], ["slot", "counts"]
             )
 
     return count
@@ -140,8 +149,10 @@ def _count_lists(n: int):
 def _add_counters(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(COUNTER_ROW, np.int64)
     for batch in batches:
-        for counts in batch.column("counts").to_pylist():
-            total += np.frombuffer(counts, np.int64)
+        for counts in batch.column("counts"):
+            held = np.frombuffer(counts.as_buffer(), np.uint8)
+            total += held.view(f"u{len(held) // COUNTER_ROW}")
+    total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()])], ["slot", "counts"])
 
 
@@ -149,10 +160,10 @@ def list_lengths(texts: DataFrame, n: int) -> np.ndarray:
     """Upper bounds of the lengths of all inverted lists, by the low bits of the shingle."""
     counted = texts.mapInArrow(_count_lists(n), "slot int, counts binary")
     added = counted.groupBy("slot").applyInArrow(_add_counters, "slot int, counts binary").collect()
-    total = np.zeros((COUNTERS // COUNTER_ROW, COUNTER_ROW), np.int64)
+    total = np.zeros((COUNTERS // COUNTER_ROW, COUNTER_ROW), np.int32)
     for row in added:  # a fixed number of rows
-        total[row["slot"]] = np.frombuffer(row["counts"], np.int64)
-    return np.minimum(total.ravel(), np.iinfo(np.int32).max).astype(np.int32)
+        total[row["slot"]] = np.frombuffer(row["counts"], np.int32)
+    return total.ravel()
 
 
 def _prints(own: np.ndarray) -> tuple[int, int]:
@@ -228,8 +239,9 @@ def _similar_size(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndar
 
 
 def _meet(percent: int):
-    """All postings of a bucket in; pairs with the number of lists they meet in, and ties
-    (number 0), out."""
+    """All postings of a bucket in; pairs (u, v) with the number of lists of at most ``LIST``
+    documents that they meet in, and, marked ``long``, documents u in longer lists out. There v is
+    a number for the list and those of similar size, and ``need`` how many lists a link of u needs."""
 
     def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         postings = pa.concat_tables([unpack(b) for b in table["blob"].to_pylist()])
@@ -251,24 +263,22 @@ def _meet(percent: int):
         low, high = np.minimum(pairs[0], pairs[1]), np.maximum(pairs[0], pairs[1])
         u, v, need, times = _tally(low, high, pairs[2])
 
-        # long lists: documents of similar size are tied to the smallest id among them
+        # documents of a long list that differ too much in size are not linked, nor what they end
         long = length > LIST
         at = runs(first[long], length[long])
         of = np.repeat(np.arange(int(long.sum())), length[long])
         new = np.ones(len(at), bool)
         new[1:] = (of[1:] != of[:-1]) | ~_similar_size(size[at[:-1]], size[at[1:]], percent)
-        begin = np.flatnonzero(new)
-        root = np.minimum.reduceat(ids[at], begin) if len(at) else ids[:0]
-        root = np.repeat(root, np.diff(begin, append=len(at)))
-        ties = np.unique(np.stack([root, ids[at]]), axis=1) if len(at) else np.zeros((2, 0), np.int64)
-        ties = ties[:, ties[0] != ties[1]]
-        nothing = np.zeros(ties.shape[1], np.int64)
+        # equal numbers of two stretches would tie more, not less
+        stretch = mix(shingle[at] ^ mix(np.cumsum(new).astype(np.uint64))).view(np.int64)
+        least = extra(-(-percent * size[at] // 100))
         return pa.table(
             {
-                "u": np.concatenate([u, ties[0]]),
-                "v": np.concatenate([v, ties[1]]),
-                "need": np.concatenate([need, nothing]),
-                "times": np.concatenate([times, nothing]),
+                "u": np.concatenate([u, ids[at]]),
+                "v": np.concatenate([v, stretch]),
+                "need": np.concatenate([need, least]),
+                "times": np.concatenate([times, np.ones(len(at), np.int64)]),
+                "long": np.arange(len(u) + len(at)) >= len(u),
             }
         )
 
@@ -314,8 +324,10 @@ class _Block:
     @classmethod
     def of(cls, table: pa.Table, n: int) -> _Block:
         table = table.sort_by([("size", "ascending"), ("id", "ascending")])
-        hashes, first = shingle_sets(table["text"].combine_chunks(), n)
-        sets = [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+        sets = []
+        for part in slices(table.select(["text"]).to_batches(), TEXTS):
+            hashes, first = shingle_sets(part.column(0), n)
+            sets += [np.unique(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
         known, number = np.unique(np.concatenate(sets), return_inverse=True)
         return cls({c: table[c].to_numpy() for c in ("id", *PRINTS, "weight")}, known, number)
 
@@ -462,6 +474,20 @@ def _within(n: int, percent: int):
     return within
 
 
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed blocks in; a copy for each cell with another block out, made one at a time: Spark's
+    own ``explode`` makes all copies of a row before it hands on the first."""
+    names = ["component", "row", "column", "own", "blob"]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            component, own, blob = (batch.column(c).slice(i, 1) for c in ("component", "own", "blob"))
+            one = own[0].as_py()
+            for other in range(batch.column("blocks")[i].as_py()):
+                if other != one:
+                    ends = [pa.array([end], pa.int32()) for end in (min(one, other), max(one, other))]
+                    yield pa.RecordBatch.from_arrays([component, *ends, own, blob], names)
+
+
 def _across(percent: int):
     """Two blocks of a family in, links between them out."""
 
@@ -480,9 +506,37 @@ def _families(rows: DataFrame, percent: int) -> DataFrame:
     posted = rows.select("id", "size", "head").mapInArrow(
         _post(groups_for(size, BUCKET_BYTES)), "bucket int, blob binary"
     )
-    met = posted.groupBy("bucket").applyInArrow(_meet(percent), "u long, v long, need long, times long")
-    edges = met.groupBy("u", "v").agg(F.min("need").alias("need"), F.sum("times").alias("times"))
-    return components(edges.where("times >= need").select("u", "v"))
+    met = settle(
+        posted.groupBy("bucket").applyInArrow(
+            _meet(percent), "u long, v long, need long, times long, long boolean"
+        ),
+        few=True,
+    )
+    # how many long lists a document is in, and how many a link through them alone needs
+    many = met.where("long").groupBy("u").agg(F.sum("times").alias("many"), F.min("need").alias("least"))
+    many = settle(many.select(F.col("u").alias("id"), "many", "least"))
+    pairs = met.where("not long").groupBy("u", "v").agg(F.min("need").alias("need"), F.sum("times").alias("times"))
+    pairs = settle(pairs, few=True)
+    short = pairs.where("times < need")
+    for end in "uv":
+        both = many.select("id", F.col("many").alias(f"many_{end}"))
+        short = attach(short, both, {end: "id"}, how="inner")
+    kept = pairs.where("times >= need").unionByName(
+        short.where("times + least(many_u, many_v) >= need").select(pairs.columns)
+    )
+    return components(kept.select("u", "v").unionByName(_ties(met, many)))
+
+
+def _ties(met: DataFrame, many: DataFrame) -> DataFrame:
+    """Pairs that tie what long lists alone may link: documents in as many as a link needs, to the
+    smallest id of their list and size."""
+    able = many.where("many >= least").select("id", F.lit(True).alias("able"))
+    in_long = met.where("long").select("u", F.col("v").alias("stretch"))
+    in_long = settle(attach(in_long, settle(able), {"u": "id"}, how="inner").select("u", "stretch"))
+    roots = in_long.groupBy("stretch").agg(F.min("u").alias("root"), F.max("u").alias("last"))
+    roots = settle(roots.where("root <> last").select("stretch", "root"))
+    tied = attach(in_long, roots, {"stretch": "stretch"}, how="inner").where("u <> root")
+    return tied.select(F.col("root").alias("u"), F.col("u").alias("v"))
 
 
 def _blocks(same: DataFrame, families: DataFrame) -> DataFrame:
@@ -508,16 +562,15 @@ def _search_families(
     inside = settle(
         again.join(_blocks(same, families), ["id", *PRINTS])
         .groupBy("component", "own")
-        .applyInArrow(_within(shingle, percent), _FOUND_TYPES)
+        .applyInArrow(_within(shingle, percent), _FOUND_TYPES),
+        few=True,
     )
-    cells = inside.where("kind = 'block'").select(
-        "component", "own", "blob", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
-    )
-    cells = cells.where("own <> other").select(
-        "component", F.least("own", "other").alias("row"), F.greatest("own", "other").alias("column"), "own", "blob"
+    cells = inside.where("kind = 'block'").select("component", "own", "blocks", "blob").mapInArrow(
+        _sent, "component long, row int, column int, own int, blob binary"
     )
     between = settle(
-        cells.groupBy("component", "row", "column").applyInArrow(_across(percent), _FOUND_TYPES)
+        cells.groupBy("component", "row", "column").applyInArrow(_across(percent), _FOUND_TYPES),
+        few=True,
     )
     return inside.where("kind <> 'block'").unionByName(between).drop("blob")
 
@@ -550,13 +603,15 @@ def link_documents(
     described = settle(
         texts.mapInArrow(
             _describe(lengths, shingle, percent), "id long, size long, print1 long, print2 long, head binary"
-        )
+        ),
+        few=True,
     )
     # equal sets have equal first shingles
     same = settle(
         described.where("id is not null and size > 0")
         .groupBy(*PRINTS)
-        .agg(F.min("id").alias("id"), F.first("head").alias("head"), F.count(F.lit(1)).alias("weight"))
+        .agg(F.min("id").alias("id"), F.first("head").alias("head"), F.count(F.lit(1)).alias("weight")),
+        few=True,
     )
     families = settle(_families(same, percent))
     found = _search_families(texts, same, families, shingle, percent)
@@ -566,7 +621,7 @@ def link_documents(
     lookup = same.drop("head").join(counts, ["id", *PRINTS], "left")
     lookup = settle(lookup.select(*PRINTS, F.col("id").alias("stands"), others.alias("n_links")))
     # a set with a null id only stands for nothing
-    rows = settle(attach(described.drop("head"), lookup, {c: c for c in PRINTS}))
+    rows = settle(attach(described.drop("head"), lookup, {c: c for c in PRINTS}), few=True)
 
     stands = rows.where("id is not null and stands is not null").select("id", "stands")
     # an id that names several sets links them

@@ -367,6 +367,51 @@ def test_links_in_small_blocks(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_links) for r in got) == plain.link_counts(rows)
 
 
+def test_long_lists_tie_only_what_they_may_link(spark):
+    """Of these sets a link needs 6 common first shingles, and only the last 20 sets share as many."""
+    rows = []
+    for i in range(60):
+        own = [1000 * (i + 1) + k for k in range(20)]
+        own[:1] = [1]  # a shingle of all
+        if i >= 40:
+            own[:8] = range(1, 9)
+        rows.append((i, 100, np.array(own, np.uint64).tobytes()))
+    heads = spark.createDataFrame(rows, "id long, size long, head binary")
+    found = jaccard._families(heads, 85).collect()
+    assert {r.node for r in found} == set(range(40, 60))
+    assert len({r.component for r in found}) == 1
+
+
+def test_short_and_long_lists_count_together(spark):
+    """Two sets that meet in 4 short lists and 2 long ones, where 6 are needed."""
+    both = [1, 2, 3, 4, 100, 101]
+    rows = [(i, 100, [*both, *range(1000 * (i + 1), 1000 * (i + 1) + 14)]) for i in (0, 1)]
+    rows += [(i, 100, [100, 101, *range(1000 * (i + 1), 1000 * (i + 1) + 18)]) for i in range(2, 40)]
+    rows = [(i, size, np.array(own, np.uint64).tobytes()) for i, size, own in rows]
+    heads = spark.createDataFrame(rows, "id long, size long, head binary")
+    assert {tuple(r) for r in jaccard._families(heads, 85).collect()} == {(0, 0), (1, 0)}
+
+
+def test_copies_of_a_block_are_made_one_at_a_time():
+    block = pa.RecordBatch.from_pylist([{"component": 7, "own": 1, "blocks": 4, "blob": b"sets"}])
+    block = block.cast(pa.schema([("component", pa.int64()), ("own", pa.int32()), ("blocks", pa.int32()), ("blob", pa.binary())]))
+    copies = list(jaccard._sent(iter([block])))
+    assert [c.num_rows for c in copies] == [1, 1, 1]
+    cells = [tuple(c.to_pylist()[0].values()) for c in copies]
+    assert cells == [(7, 0, 1, 1, b"sets"), (7, 1, 2, 1, b"sets"), (7, 1, 3, 1, b"sets")]
+
+
+def test_intermediates_of_links_have_few_files(spark, monkeypatch):
+    from goldkeep import shared
+
+    monkeypatch.setattr(shared, "FILES_PER_CORE", 0)
+    monkeypatch.setattr(shared, "PARTITIONS_PER_FILE", 4)
+    rows = spark.range(0, 100, 1, 50)
+    assert shared.settle(rows).rdd.getNumPartitions() == 50
+    assert shared.settle(rows, few=True).rdd.getNumPartitions() == 2
+    assert shared.settle(rows, few=True).count() == 100
+
+
 def test_links_empty(empty, odd):
     assert jaccard.link_documents(empty).count() == 0
     assert jaccard.keep_one(odd).columns == odd.columns
