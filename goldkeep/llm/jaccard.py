@@ -54,7 +54,7 @@ from goldkeep.llm.words import (
     split,
     word_hashes,
 )
-from goldkeep.operators.joins import attach
+from goldkeep.operators.joins import attach, fits_broadcast
 from goldkeep.shared import settle
 
 SHINGLE = 4
@@ -645,5 +645,6 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame
     """``docs`` without those that are linked to a document with a smaller id. Rows with a
     null id stay."""
     linked = link_documents(docs, id_column=id_column, **options)
-    gone = linked.where(F.col("component_id") < F.col(id_column)).select(id_column).distinct()
-    return docs.join(gone, id_column, "left_anti")
+    gone = settle(linked.where(F.col("component_id") < F.col(id_column)).select(id_column).distinct())
+    # where the ids fit into a broadcast, no text is shuffled
+    return docs.join(F.broadcast(gone) if fits_broadcast(gone) else gone, id_column, "left_anti")

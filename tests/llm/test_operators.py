@@ -412,6 +412,15 @@ def test_intermediates_of_links_have_few_files(spark, monkeypatch):
     assert shared.settle(rows, few=True).count() == 100
 
 
+def test_keep_one_shuffles_no_text(spark, join_path):
+    rows = near_copies(30)
+    want = plain.linked(rows)
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (join_path == "broadcast")
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if want[i] == i}
+
+
 def test_links_empty(empty, odd):
     assert jaccard.link_documents(empty).count() == 0
     assert jaccard.keep_one(odd).columns == odd.columns
